@@ -6,14 +6,13 @@ from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, _parse_datatype_string
+from pyspark.sql.types import DataType, StructField, StructType
 
 
 @dataclass(frozen=True)
 class ColumnSpec:
     name: str
-    type: str
+    type: DataType
     comment: str
     additive: bool = True
 
@@ -29,6 +28,10 @@ class TableContract:
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    @property
+    def schema(self) -> StructType:
+        return StructType([StructField(c.name, c.type, True, {"comment": c.comment}) for c in self.columns])
+
     def without(self, *names: str) -> TableContract:
         return replace(self, columns=tuple(c for c in self.columns if c.name not in names))
 
@@ -40,15 +43,7 @@ class TableContract:
 
 def conform(df: DataFrame, contract: TableContract) -> DataFrame:
     """Select, cast and document exactly the contract's columns in one projection."""
-    present = {f.name: f.dataType for f in df.schema.fields}
-    out = []
-    for spec in contract.columns:
-        wanted: DataType = _parse_datatype_string(spec.type)
-        column = F.col(spec.name)
-        if present[spec.name] != wanted:
-            column = column.cast(wanted)
-        out.append(column.alias(spec.name, metadata={"comment": spec.comment}))
-    return df.select(*out)
+    return df.to(contract.schema)
 
 
 def undocumented_columns(tables: Mapping[str, DataFrame]) -> list[tuple[str, str]]:

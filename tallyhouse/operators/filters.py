@@ -39,5 +39,8 @@ def range_argument(low: Any, high: Any) -> Column:
 
 
 def list_argument(values: Sequence[str]) -> Column:
-    """A text list parameter for `spark.sql(..., args=...)`; may be empty, never NULL."""
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    """A text list parameter for `spark.sql(..., args=...)`; may be empty, never NULL.
+
+    An empty list has no element type: read it in SQL as `CAST(:p AS ARRAY<STRING>)`.
+    """
+    return F.array(*[F.lit(v) for v in values])

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 
 def with_total(df: DataFrame, key: str, aggregates: Mapping[str, Column], total_label: str) -> DataFrame:
-    """One row per value of `key` and one for all rows, from a single pass over `df`."""
-    rolled = df.rollup(key).agg(*[c.alias(n) for n, c in aggregates.items()], F.grouping(key).alias("_total"))
-    label = F.when(F.col("_total") == 1, F.lit(total_label)).otherwise(F.col(key))
-    return rolled.select(label.alias(key), *aggregates, (F.col("_total") == 1).alias("is_total"))
+    """One row per value of `key` and one for everything, which is there even if `df` is empty.
+
+    Give it a frame that is already reduced by an aggregation: both halves then
+    read the same shuffle.
+    """
+    columns = [c.alias(n) for n, c in aggregates.items()]
+    parts = df.groupBy(key).agg(*columns).select(key, *aggregates, F.lit(False).alias("is_total"))
+    whole = df.agg(*columns).select(F.lit(total_label).alias(key), *aggregates, F.lit(True).alias("is_total"))
+    return parts.unionByName(whole)

@@ -34,7 +34,7 @@ class RetailModel:
     def from_folder(
         cls, spark: SparkSession, folder: str, preset: RetailPreset = SAMPLE, staged: bool = False
     ) -> RetailModel:
-        return cls(raw_source.load_raw(spark, folder, list(fixed.STATES)), preset, staged)
+        return cls(raw_source.RawTables(spark, folder, list(fixed.STATES)), preset, staged)
 
     def _table(self, df: DataFrame, contract: TableContract) -> DataFrame:
         out = conform(df, contract)

@@ -28,7 +28,11 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     """Unique customers with a display name and the state's name and region."""
     rows = dedup_dimension(raw, ["customer_id"]).withColumnRenamed("customer_name", "raw_name")
     rows = rows.withColumns(
-        {"customer_name": text.display_name(F.col("raw_name"), fixed.HONORIFIC), "state": text.code(F.col("state"))}
+        {
+            "customer_name": text.display_name(F.col("raw_name"), fixed.HONORIFIC),
+            "state": text.code(F.col("state")),
+            "registered_on": F.to_date("registered_on"),
+        }
     )
     return rows.withColumns(
         {

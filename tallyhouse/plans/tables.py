@@ -2,36 +2,42 @@
 
 from __future__ import annotations
 
+from pyspark.sql.types import BooleanType, DataType, DateType, IntegerType, LongType, StringType, TimestampType
+
+from tallyhouse.functions.money import MONEY, TOTAL
 from tallyhouse.operators.contracts import ColumnSpec, TableContract
 
+TEXT, INT, LONG, FLAG = StringType(), IntegerType(), LongType(), BooleanType()
+DATE, TIMESTAMP = DateType(), TimestampType()
+
 
-def _c(name: str, type_: str, comment: str) -> ColumnSpec:
+def _c(name: str, type_: DataType, comment: str) -> ColumnSpec:
     return ColumnSpec(name, type_, comment)
 
 
-def _not_additive(name: str, type_: str, comment: str) -> ColumnSpec:
+def _not_additive(name: str, type_: DataType, comment: str) -> ColumnSpec:
     return ColumnSpec(name, type_, comment + " Never add this column up over rows.", additive=False)
 
 
-_PRODUCT_ID = _c("product_id", "string", "Product key. Count products by it: names repeat.")
-_PRODUCT_NAME = _c("product_name", "string", "Name for display; several products may share it.")
-_CATEGORY = _c("category", "string", "Product category, or the label for products missing from the catalogue.")
-_BRAND = _c("brand", "string", "Product brand, or the label for products missing from the catalogue.")
-_BAND = _c("price_band", "string", "PREMIUM, MEDIO or BASICO by catalogue price, or the label for missing products.")
-_CUSTOMER_ID = _c("customer_id", "string", "Customer key. Count customers by its distinct values.")
-_CUSTOMER_NAME = _c("customer_name", "string", "Name in title case, without a leading form of address.")
-_STATE = _c("state", "string", "Two-letter state code in upper case.")
-_STATE_NAME = _c("state_name", "string", "Full name of the state.")
-_REGION = _c("region", "string", "Region of Brazil the state belongs to.")
-_SEGMENT = _c("segment", "string", "VIP, TOP_TIER or REGULAR, from the customer's total revenue.")
-_SALE_DATE = _c("sale_date", "date", "UTC calendar date of the sale.")
-_WEEKDAY = _c("weekday", "string", "Weekday name in Portuguese; order by weekday_num.")
-_WEEKDAY_NUM = _c("weekday_num", "int", "1 = Sunday to 7 = Saturday.")
-_SALE_HOUR = _c("sale_hour", "int", "UTC hour of the sale, 0 to 23.")
-_CHANNEL = _c("channel", "string", "ecommerce or loja_fisica, lower case.")
-_REGISTERED = _c("is_registered", "boolean", "False when the sold product is missing from the catalogue.")
-_BEFORE = _c("sold_before_created", "boolean", "True when the sale is dated before the product's creation.")
-_TICKET = _not_additive("avg_ticket", "decimal(10,2)", "Mean revenue per sale. For a group divide summed revenue by summed sales.")
+_PRODUCT_ID = _c("product_id", TEXT, "Product key. Count products by it: names repeat.")
+_PRODUCT_NAME = _c("product_name", TEXT, "Name for display; several products may share it.")
+_CATEGORY = _c("category", TEXT, "Product category, or the label for products missing from the catalogue.")
+_BRAND = _c("brand", TEXT, "Product brand, or the label for products missing from the catalogue.")
+_BAND = _c("price_band", TEXT, "PREMIUM, MEDIO or BASICO by catalogue price, or the label for missing products.")
+_CUSTOMER_ID = _c("customer_id", TEXT, "Customer key. Count customers by its distinct values.")
+_CUSTOMER_NAME = _c("customer_name", TEXT, "Name in title case, without a leading form of address.")
+_STATE = _c("state", TEXT, "Two-letter state code in upper case.")
+_STATE_NAME = _c("state_name", TEXT, "Full name of the state.")
+_REGION = _c("region", TEXT, "Region of Brazil the state belongs to.")
+_SEGMENT = _c("segment", TEXT, "VIP, TOP_TIER or REGULAR, from the customer's total revenue.")
+_SALE_DATE = _c("sale_date", DATE, "UTC calendar date of the sale.")
+_WEEKDAY = _c("weekday", TEXT, "Weekday name in Portuguese; order by weekday_num.")
+_WEEKDAY_NUM = _c("weekday_num", INT, "1 = Sunday to 7 = Saturday.")
+_SALE_HOUR = _c("sale_hour", INT, "UTC hour of the sale, 0 to 23.")
+_CHANNEL = _c("channel", TEXT, "ecommerce or loja_fisica, lower case.")
+_REGISTERED = _c("is_registered", FLAG, "False when the sold product is missing from the catalogue.")
+_BEFORE = _c("sold_before_created", FLAG, "True when the sale is dated before the product's creation.")
+_TICKET = _not_additive("avg_ticket", MONEY, "Mean revenue per sale. For a group divide summed revenue by summed sales.")
 
 PRODUCTS = TableContract(
     "products",
@@ -40,11 +46,11 @@ PRODUCTS = TableContract(
     (
         _PRODUCT_ID,
         _PRODUCT_NAME,
-        _c("category", "string", "Product category."),
-        _c("brand", "string", "Product brand."),
-        _c("current_price", "decimal(10,2)", "Catalogue price."),
-        _c("price_band", "string", "PREMIUM, MEDIO or BASICO by catalogue price."),
-        _c("created_at", "timestamp", "When the product was created, UTC."),
+        _c("category", TEXT, "Product category."),
+        _c("brand", TEXT, "Product brand."),
+        _c("current_price", MONEY, "Catalogue price."),
+        _c("price_band", TEXT, "PREMIUM, MEDIO or BASICO by catalogue price."),
+        _c("created_at", TIMESTAMP, "When the product was created, UTC."),
     ),
 )
 
@@ -54,13 +60,13 @@ CUSTOMERS = TableContract(
     ("customer_id",),
     (
         _CUSTOMER_ID,
-        _c("raw_name", "string", "Name exactly as the source sent it."),
+        _c("raw_name", TEXT, "Name exactly as the source sent it."),
         _CUSTOMER_NAME,
         _STATE,
         _STATE_NAME,
-        _c("region", "string", "Region of Brazil; NULL for an unknown state code, which stops a refresh."),
-        _c("country", "string", "Country as sent by the source."),
-        _c("registered_on", "date", "Date of registration."),
+        _c("region", TEXT, "Region of Brazil; NULL for an unknown state code, which stops a refresh."),
+        _c("country", TEXT, "Country as sent by the source."),
+        _c("registered_on", DATE, "Date of registration."),
     ),
 )
 
@@ -69,8 +75,8 @@ SALES = TableContract(
     "One row per sale with revenue, calendar parts and quality flags; no sale is ever dropped.",
     ("sale_id",),
     (
-        _c("sale_id", "string", "Sale key."),
-        _c("sold_at", "timestamp", "Moment of the sale, UTC."),
+        _c("sale_id", TEXT, "Sale key."),
+        _c("sold_at", TIMESTAMP, "Moment of the sale, UTC."),
         _SALE_DATE,
         _SALE_HOUR,
         _WEEKDAY_NUM,
@@ -78,9 +84,9 @@ SALES = TableContract(
         _CUSTOMER_ID,
         _PRODUCT_ID,
         _CHANNEL,
-        _c("quantity", "bigint", "Units sold."),
-        _not_additive("unit_price", "decimal(10,2)", "Price of one unit in this sale."),
-        _c("revenue", "decimal(10,2)", "Quantity times unit price."),
+        _c("quantity", LONG, "Units sold."),
+        _not_additive("unit_price", MONEY, "Price of one unit in this sale."),
+        _c("revenue", MONEY, "Quantity times unit price."),
         _REGISTERED,
         _BEFORE,
     ),
@@ -92,10 +98,10 @@ COMPETITOR_PRICES = TableContract(
     ("product_id", "competitor"),
     (
         _PRODUCT_ID,
-        _c("competitor", "string", "Name of the competitor."),
-        _not_additive("competitor_price", "decimal(10,2)", "Price the competitor asks."),
-        _c("collected_at", "timestamp", "When the price was collected, UTC."),
-        _c("is_suspect", "boolean", "True when the price is implausibly far below ours; the row still counts."),
+        _c("competitor", TEXT, "Name of the competitor."),
+        _not_additive("competitor_price", MONEY, "Price the competitor asks."),
+        _c("collected_at", TIMESTAMP, "When the price was collected, UTC."),
+        _c("is_suspect", FLAG, "True when the price is implausibly far below ours; the row still counts."),
     ),
 )
 
@@ -109,13 +115,13 @@ CUSTOMER_SEGMENTS = TableContract(
         _STATE,
         _STATE_NAME,
         _REGION,
-        _c("total_orders", "bigint", "Number of sales; 0 for a customer who never bought."),
-        _c("revenue", "decimal(18,2)", "Revenue of all sales, catalogued product or not; 0 for a customer who never bought."),
+        _c("total_orders", LONG, "Number of sales; 0 for a customer who never bought."),
+        _c("revenue", TOTAL, "Revenue of all sales, catalogued product or not; 0 for a customer who never bought."),
         _TICKET,
-        _c("first_purchase", "timestamp", "First sale, UTC; NULL for a customer who never bought."),
-        _c("last_purchase", "timestamp", "Latest sale, UTC; NULL for a customer who never bought."),
+        _c("first_purchase", TIMESTAMP, "First sale, UTC; NULL for a customer who never bought."),
+        _c("last_purchase", TIMESTAMP, "Latest sale, UTC; NULL for a customer who never bought."),
         _SEGMENT,
-        _not_additive("revenue_rank", "int", "Place by revenue, 1 = highest, without ties."),
+        _not_additive("revenue_rank", INT, "Place by revenue, 1 = highest, without ties."),
     ),
 )
 
@@ -129,10 +135,10 @@ SALES_TIME = TableContract(
         _WEEKDAY_NUM,
         _SALE_HOUR,
         _CHANNEL,
-        _c("total_sales", "bigint", "Number of sales."),
-        _c("items_sold", "bigint", "Units sold."),
-        _c("revenue", "decimal(18,2)", "Revenue of all sales."),
-        _not_additive("unique_customers", "bigint", "Distinct customers in this date, hour and channel."),
+        _c("total_sales", LONG, "Number of sales."),
+        _c("items_sold", LONG, "Units sold."),
+        _c("revenue", TOTAL, "Revenue of all sales."),
+        _not_additive("unique_customers", LONG, "Distinct customers in this date, hour and channel."),
     ),
 )
 
@@ -147,12 +153,12 @@ PRODUCT_SALES = TableContract(
         _BRAND,
         _BAND,
         _REGISTERED,
-        _c("total_sales", "bigint", "Number of sales."),
-        _c("items_sold", "bigint", "Units sold."),
-        _c("revenue", "decimal(18,2)", "Revenue of all sales."),
+        _c("total_sales", LONG, "Number of sales."),
+        _c("items_sold", LONG, "Units sold."),
+        _c("revenue", TOTAL, "Revenue of all sales."),
         _TICKET,
-        _not_additive("revenue_rank", "int", "Place by revenue over all products, 1 = highest, without ties."),
-        _not_additive("category_rank", "int", "Place by revenue within the category; products missing from the catalogue rank together."),
+        _not_additive("revenue_rank", INT, "Place by revenue over all products, 1 = highest, without ties."),
+        _not_additive("category_rank", INT, "Place by revenue within the category; products missing from the catalogue rank together."),
     ),
 )
 
@@ -161,8 +167,8 @@ SALES_DETAIL = TableContract(
     "One row per sale with its product and customer, for questions across departments.",
     ("sale_id",),
     (
-        _c("sale_id", "string", "Sale key."),
-        _c("sold_at", "timestamp", "Moment of the sale, UTC."),
+        _c("sale_id", TEXT, "Sale key."),
+        _c("sold_at", TIMESTAMP, "Moment of the sale, UTC."),
         _SALE_DATE,
         _WEEKDAY,
         _WEEKDAY_NUM,
@@ -178,9 +184,9 @@ SALES_DETAIL = TableContract(
         _STATE,
         _REGION,
         _SEGMENT,
-        _c("quantity", "bigint", "Units sold."),
-        _not_additive("unit_price", "decimal(10,2)", "Price of one unit in this sale."),
-        _c("revenue", "decimal(10,2)", "Quantity times unit price."),
+        _c("quantity", LONG, "Units sold."),
+        _not_additive("unit_price", MONEY, "Price of one unit in this sale."),
+        _c("revenue", MONEY, "Quantity times unit price."),
         _REGISTERED,
         _BEFORE,
     ),
@@ -193,19 +199,19 @@ PRICE_POSITION = TableContract(
     (
         _PRODUCT_ID,
         _PRODUCT_NAME,
-        _c("category", "string", "Product category."),
-        _c("brand", "string", "Product brand."),
-        _not_additive("our_price", "decimal(10,2)", "Our catalogue price."),
-        _not_additive("avg_competitor_price", "decimal(10,2)", "Mean competitor price, to the cent, suspect prices included."),
-        _not_additive("min_competitor_price", "decimal(10,2)", "Lowest competitor price, suspect prices included."),
-        _not_additive("max_competitor_price", "decimal(10,2)", "Highest competitor price."),
-        _c("competitor_count", "bigint", "Competitors with a price for the product."),
-        _not_additive("pct_vs_avg", "decimal(10,2)", "Percent points above (+) or below (-) the mean: 10 = 10 % dearer. Use a mean for groups."),
-        _not_additive("pct_vs_min", "decimal(10,2)", "Percent points above (+) or below (-) the lowest price. Use a mean for groups."),
-        _c("price_class", "string", "Place of our price: extremes first, then against the mean."),
-        _c("has_suspect", "boolean", "True when a competitor price must be confirmed before reacting."),
-        _c("revenue", "decimal(18,2)", "Revenue of the product, 0 if never sold. Not the company's total."),
-        _c("items_sold", "bigint", "Units sold, 0 if never sold."),
+        _c("category", TEXT, "Product category."),
+        _c("brand", TEXT, "Product brand."),
+        _not_additive("our_price", MONEY, "Our catalogue price."),
+        _not_additive("avg_competitor_price", MONEY, "Mean competitor price, to the cent, suspect prices included."),
+        _not_additive("min_competitor_price", MONEY, "Lowest competitor price, suspect prices included."),
+        _not_additive("max_competitor_price", MONEY, "Highest competitor price."),
+        _c("competitor_count", LONG, "Competitors with a price for the product."),
+        _not_additive("pct_vs_avg", MONEY, "Percent points above (+) or below (-) the mean: 10 = 10 % dearer. Use a mean for groups."),
+        _not_additive("pct_vs_min", MONEY, "Percent points above (+) or below (-) the lowest price. Use a mean for groups."),
+        _c("price_class", TEXT, "Place of our price: extremes first, then against the mean."),
+        _c("has_suspect", FLAG, "True when a competitor price must be confirmed before reacting."),
+        _c("revenue", TOTAL, "Revenue of the product, 0 if never sold. Not the company's total."),
+        _c("items_sold", LONG, "Units sold, 0 if never sold."),
     ),
 )
 

@@ -29,7 +29,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app_name: str = "tallyhouse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's settings; on a cluster `master` stays unset."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app_name)
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **conf}.items():

@@ -9,132 +9,113 @@ product was created, implausibly low competitor prices.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-HONORIFICS = ("Sr. ", "Sra. ", "Srta. ", "Dr. ", "Dra. ")
-COMPETITORS = ("Competitor A", "Competitor B", "Competitor C", "Competitor D")
-ONLINE_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
-
-# Total order inside one repeated sale.
-SALE_ORDER = ("source_part", "source_supplier", "source_price")
-
-
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def _cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("bigint")
-
-
-def _hundredths(whole: Column) -> Column:
-    return whole.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(2,2)")
-
-
-def _days_after(start: str, days: Column) -> Column:
-    return F.date_add(F.to_date(F.lit(start)), days.cast("int"))
-
-
-def _doubled_when(df: DataFrame, condition: Column) -> DataFrame:
-    """Add one exact copy of the rows that meet `condition`."""
-    copies = F.when(condition, 2).otherwise(1)
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+# One exact copy is added to the rows that meet the condition.
+_COPIES = "explode(sequence(1, if({}, 2, 1))) AS copy"
 
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
-    items = _table(spark, folder, "lineitem")
-    orders = _table(spark, folder, "orders").filter("o_custkey % 50 <> 49")
-    unit_cents = F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)")
-    hours = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 5) % 24).cast("int")
-    return items.join(orders, items.l_orderkey == orders.o_orderkey).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sale_id"),
-        (F.col("o_orderdate") + F.make_dt_interval(hours=hours)).cast("timestamp").alias("sold_at"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.when(F.col("o_orderpriority").isin(*ONLINE_PRIORITIES), "ecommerce").otherwise("loja_fisica").alias("channel"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        _hundredths(unit_cents).alias("unit_price"),
-        F.col("l_partkey").alias("source_part"),
-        F.col("l_suppkey").alias("source_supplier"),
-        F.col("l_extendedprice").alias("source_price"),
+    items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    orders = spark.read.parquet(f"{folder}/orders.parquet").filter("o_custkey % 50 <> 49")
+    return items.join(orders, items.l_orderkey == orders.o_orderkey).selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber) AS sale_id",
+        "cast(o_orderdate + make_dt_interval(0, cast((l_orderkey * 7 + l_linenumber * 5) % 24 AS int)) AS timestamp)"
+        " AS sold_at",
+        "cast(o_custkey AS string) AS customer_id",
+        "cast(l_partkey AS string) AS product_id",
+        "if(o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'), 'ecommerce', 'loja_fisica') AS channel",
+        "cast(l_quantity AS bigint) AS quantity",
+        "cast(cast(round(l_extendedprice * 100) AS bigint) div cast(l_quantity AS bigint) AS decimal(12,0)) * 0.01"
+        " AS unit_price",
+        # Total order inside one repeated sale.
+        "l_partkey AS source_part",
+        "l_suppkey AS source_supplier",
+        "l_extendedprice AS source_price",
     )
 
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
-    part = _table(spark, folder, "part").filter("p_partkey % 200 <> 199")
-    rows = part.select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.concat(F.when(F.col("p_partkey") % 3 == 0, " ").otherwise(""), "p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-        _hundredths(_cents("p_retailprice")).alias("current_price"),
-        _days_after("1995-01-01", F.col("p_partkey") * 37 % 1200).cast("timestamp").alias("created_at"),
-        "p_partkey",
-    )
-    return _doubled_when(rows, F.col("p_partkey") % 25 == 0).drop("p_partkey")
+    part = spark.read.parquet(f"{folder}/part.parquet").filter("p_partkey % 200 <> 199")
+    return part.selectExpr(
+        "cast(p_partkey AS string) AS product_id",
+        "concat(if(p_partkey % 3 = 0, ' ', ''), p_name) AS product_name",
+        "p_type AS category",
+        "p_brand AS brand",
+        "cast(cast(round(p_retailprice * 100) AS bigint) AS decimal(12,0)) * 0.01 AS current_price",
+        "cast(date_add(DATE '1995-01-01', cast(p_partkey * 37 % 1200 AS int)) AS timestamp) AS created_at",
+        _COPIES.format("p_partkey % 25 = 0"),
+    ).drop("copy")
 
 
 def raw_customers(spark: SparkSession, folder: str, state_codes: Sequence[str]) -> DataFrame:
-    customer = _table(spark, folder, "customer")
-    key = F.col("c_custkey")
-    honorific = F.get(F.array(*[F.lit(h) for h in HONORIFICS]), (key % 7).cast("int"))
-    state = F.get(F.array(*[F.lit(s) for s in state_codes]), (key % len(state_codes)).cast("int"))
-    state = F.when(key % 2 == 0, F.lower(state)).otherwise(state)
-    state = F.when(key % 5 == 0, F.concat(F.lit(" "), state, F.lit(" "))).otherwise(state)
-    rows = customer.select(
-        key.cast("string").alias("customer_id"),
-        F.concat(F.coalesce(honorific, F.lit("")), "c_name").alias("customer_name"),
-        state.alias("state"),
-        F.lit("Brasil").alias("country"),
-        _days_after("1994-01-01", key % 365).alias("registered_on"),
-        F.col("c_nationkey").alias("nation_key"),
-        "c_custkey",
+    codes = ", ".join(f"'{code}'" for code in state_codes)
+    customer = spark.read.parquet(f"{folder}/customer.parquet").selectExpr(
+        "*", f"array({codes})[cast(c_custkey % {len(state_codes)} AS int)] AS code"
     )
-    return _doubled_when(rows, key % 10 == 0).drop("c_custkey")
+    return customer.selectExpr(
+        "cast(c_custkey AS string) AS customer_id",
+        "concat(coalesce(get(array('Sr. ', 'Sra. ', 'Srta. ', 'Dr. ', 'Dra. '), cast(c_custkey % 7 AS int)), ''), c_name)"
+        " AS customer_name",
+        "concat(if(c_custkey % 5 = 0, ' ', ''), if(c_custkey % 2 = 0, lower(code), code), if(c_custkey % 5 = 0, ' ', ''))"
+        " AS state",
+        "'Brasil' AS country",
+        "date_add(DATE '1994-01-01', cast(c_custkey % 365 AS int)) AS registered_on",
+        "c_nationkey AS nation_key",
+        _COPIES.format("c_custkey % 10 = 0"),
+    ).drop("copy")
 
 
 def raw_competitor_prices(spark: SparkSession, folder: str) -> DataFrame:
-    part = _table(spark, folder, "part").filter("p_partkey % 10 < 9 AND p_partkey % 200 <> 199")
-    key = F.col("p_partkey")
-    k = F.col("k")
-    offers = part.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(len(COMPETITORS) - 1)))).filter((key + k) % 5 != 0)
-    scheme = F.expr("p_partkey div 4 % 7")
-    percent = (
-        F.when(scheme == 0, F.lit(100))
-        .when(scheme == 1, 115 + 5 * k)
-        .when(scheme == 2, 70 + 5 * k)
-        .otherwise(55 + (key * 31 + 17 * k) % 70)
+    part = spark.read.parquet(f"{folder}/part.parquet").filter("p_partkey % 10 < 9 AND p_partkey % 200 <> 199")
+    offers = part.selectExpr("p_partkey", "p_retailprice", "explode(sequence(0, 3)) AS k").filter(
+        "(p_partkey + k) % 5 <> 0"
     )
-    price = _hundredths(_cents("p_retailprice")) * percent.cast("decimal(3,0)") * F.lit("0.01").cast("decimal(2,2)")
-    hour = F.lpad((key % 24).cast("string"), 2, "0")
-    rows = offers.select(
-        key.cast("string").alias("product_id"),
-        F.get(F.array(*[F.lit(c) for c in COMPETITORS]), k).alias("competitor"),
-        price.cast("decimal(10,2)").alias("competitor_price"),
-        F.concat(F.lit("2001-08-01 "), hour, F.lit(":00:00")).alias("collected_at"),
-        "p_partkey",
+    priced = offers.selectExpr(
+        "*",
+        "cast(cast(round(p_retailprice * 100) AS bigint) AS decimal(12,0)) * 0.01 AS own_price",
+        """CASE p_partkey div 4 % 7 WHEN 0 THEN 100 WHEN 1 THEN 115 + 5 * k WHEN 2 THEN 70 + 5 * k
+           ELSE 55 + (p_partkey * 31 + 17 * k) % 70 END AS percent""",
     )
-    return _doubled_when(rows, key % 40 == 0).drop("p_partkey")
+    return priced.selectExpr(
+        "cast(p_partkey AS string) AS product_id",
+        "array('Competitor A', 'Competitor B', 'Competitor C', 'Competitor D')[k] AS competitor",
+        "cast(own_price * cast(percent AS decimal(3,0)) * 0.01 AS decimal(10,2)) AS competitor_price",
+        "concat('2001-08-01 ', lpad(cast(p_partkey % 24 AS string), 2, '0'), ':00:00') AS collected_at",
+        _COPIES.format("p_partkey % 40 = 0"),
+    ).drop("copy")
 
 
 def raw_states_by_nation(spark: SparkSession, folder: str) -> DataFrame:
     """A lookup table (nation_key, nation_name, region) for the table-driven geography variant."""
-    nation = _table(spark, folder, "nation")
-    region = _table(spark, folder, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
-        F.col("n_nationkey").alias("nation_key"),
-        F.col("n_name").alias("nation_name"),
-        F.col("r_name").alias("region"),
+    nation = spark.read.parquet(f"{folder}/nation.parquet")
+    region = spark.read.parquet(f"{folder}/region.parquet")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").selectExpr(
+        "n_nationkey AS nation_key", "n_name AS nation_name", "r_name AS region"
     )
 
 
-def load_raw(spark: SparkSession, folder: str, state_codes: Sequence[str]) -> dict[str, DataFrame]:
-    return {
-        "sales": raw_sales(spark, folder),
-        "products": raw_products(spark, folder),
-        "customers": raw_customers(spark, folder, state_codes),
-        "competitor_prices": raw_competitor_prices(spark, folder),
-    }
+class RawTables(Mapping[str, DataFrame]):
+    """The raw tables of a folder, each opened when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str, state_codes: Sequence[str]):
+        self._open = {
+            "sales": lambda: raw_sales(spark, folder),
+            "products": lambda: raw_products(spark, folder),
+            "customers": lambda: raw_customers(spark, folder, state_codes),
+            "competitor_prices": lambda: raw_competitor_prices(spark, folder),
+        }
+        self._tables: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._open[name]()
+        return self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._open)
+
+    def __len__(self) -> int:
+        return len(self._open)
