@@ -2,16 +2,18 @@
 
 `row_number() over (order by ...)` sends every row to a single task, and per
 group it sends the largest group there. Instead the rows are sorted globally
-over all tasks (range partitioning on group, measure and the unique key, so
-neither a hot group nor a tie is ever larger than a partition) and written once
-with their place in the sorted order. The rank is that place plus the number of
-rows of the same group in earlier partitions, a table with about one row per
-partition and group.
+over all tasks (range partitioning on the measure and the unique key, so ties
+never gather in one partition) and written once with their place in the sorted
+order. The rank is that place shifted by the number of rows in earlier
+partitions. The order inside a group is the same order, so a rank within a group
+follows from the same written table: rows of the group in earlier partitions
+plus the row number inside one partition, which no group can make larger than
+the partition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,38 +23,55 @@ from tallyhouse.session import stage
 _ROW_BITS = 33  # monotonically_increasing_id: partition number << 33 | row in the partition
 
 
-def _numbered(df: DataFrame, group: Sequence[str], measure: str, key: str, out: str) -> DataFrame:
-    columns = df.columns
-    in_order = df.orderBy(*group, F.col(measure).desc(), key)
-    placed = stage(in_order.withColumn("_place", F.monotonically_increasing_id()), f"rank-{out}")
-    placed = placed.withColumn("_part", F.shiftright("_place", _ROW_BITS))
-
-    parts = placed.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+def _rows_before(placed: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Per partition (and group): how many rows (of the group) lie in earlier partitions."""
+    parts = placed.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1
-    offsets = parts.select(
-        *[F.col(g).alias(f"_of_{g}") for g in group], F.col("_part").alias("_of_part"), shift.alias("_shift")
+    return parts.select(
+        F.col("_part").alias("_of_part"),
+        *[F.col(g).alias(f"_of_{g}") for g in group],
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
     )
-    same = F.col("_part") == F.col("_of_part")
-    if group:
-        # NULL is a group of its own, as in a window's PARTITION BY.
-        for g in group:
-            same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
-    else:
+
+
+def add_ranks(
+    df: DataFrame, measure: str, key: str, out: str | None, group_outs: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Add ranks 1, 2, ... by `measure` descending; equal measures by `key`, which must be unique.
+
+    `out` names the rank over all rows, `group_outs` maps the name of a further
+    rank to the column within whose values it counts (NULL is a value of its own).
+    """
+    columns = list(df.columns)
+    in_order = df.orderBy(F.col(measure).desc(), key)
+    placed = stage(in_order.withColumn("_place", F.monotonically_increasing_id()), f"ranked-by-{measure}")
+    placed = placed.withColumn("_part", F.shiftright("_place", _ROW_BITS))
+    ranked = placed
+
+    if out:
         # One row per written partition: the size is set by the shuffle, not by the data.
-        offsets = F.broadcast(offsets)
-    rank = (F.col("_place") + F.col("_shift")).cast("int")
-    return placed.join(offsets, same).select(*columns, rank.alias(out))
+        before = F.broadcast(_rows_before(placed, []))
+        row = F.col("_place") - F.shiftleft("_part", _ROW_BITS) + 1
+        ranked = ranked.join(before, F.col("_part") == F.col("_of_part"), "left")
+        ranked = ranked.withColumn(out, (F.col("_before") + row).cast("int")).drop("_of_part", "_before")
+        columns.append(out)
+    for name, group in (group_outs or {}).items():
+        inside = F.row_number().over(Window.partitionBy("_part", group).orderBy("_place"))
+        same = (F.col("_part") == F.col("_of_part")) & F.col(group).eqNullSafe(F.col(f"_of_{group}"))
+        ranked = ranked.withColumn("_inside", inside).join(_rows_before(placed, [group]), same, "left")
+        columns.append(name)
+        ranked = ranked.withColumn(name, (F.col("_before") + F.col("_inside")).cast("int")).select(
+            *columns, "_place", "_part"
+        )
+    return ranked.select(*columns)
 
 
 def global_rank(df: DataFrame, measure: str, key: str, out: str) -> DataFrame:
-    """Add `out`: 1, 2, ... by `measure` descending; equal measures by `key`, which must be unique."""
-    return _numbered(df, [], measure, key, out)
+    return add_ranks(df, measure, key, out)
 
 
 def group_rank(df: DataFrame, group: str, measure: str, key: str, out: str) -> DataFrame:
-    """As `global_rank`, counted anew within each value of `group`."""
-    return _numbered(df, [group], measure, key, out)
+    return add_ranks(df, measure, key, None, {out: group})
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int, out: str | None = None) -> DataFrame:

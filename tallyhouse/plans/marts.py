@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import bands, calendar, money
 from tallyhouse.operators.joins import label_missing, lookup, summarise_per_entity
-from tallyhouse.operators.ranking import global_rank, group_rank
+from tallyhouse.operators.ranking import add_ranks, global_rank
 from tallyhouse.plans import preset as fixed
 from tallyhouse.plans.preset import RetailPreset
 from tallyhouse.plans.silver import PRODUCT_LABELS
@@ -67,8 +67,8 @@ def product_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def rank_products(per_product: DataFrame) -> DataFrame:
-    ranked = global_rank(per_product, "revenue", "product_id", "revenue_rank")
-    return group_rank(ranked, "category", "revenue", "product_id", "category_rank")
+    """Rank over all products and within the category; unregistered products are one category."""
+    return add_ranks(per_product, "revenue", "product_id", "revenue_rank", {"category_rank": "category"})
 
 
 def sales_detail(sales: DataFrame, products: DataFrame, segments: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,30 +15,37 @@ from tallyhouse.session import stage
 from tallyhouse.sources import raw as raw_source
 
 
+ALL_TABLES = frozenset(contract.name for contract in (*tables.SILVER, *tables.MARTS))
+
+
 class RetailModel:
     """Lazy frames for every cleaned table and mart.
 
     By default nothing is written except by the rankings, and each question
     becomes one plan down to the raw scan, from which Spark removes the joins
-    and columns the question does not need. With `staged=True` every table is
-    written once to the shared folder and read from there, which is right when
-    several tables are consumed together (the quality suite).
+    and columns the question does not need. Tables named in `staged` are written
+    once to the shared folder and read from there: right for a table that one
+    question uses twice, and for all of them in the quality suite.
     """
 
-    def __init__(self, raw: Mapping[str, DataFrame], preset: RetailPreset | None = None, staged: bool = False):
+    def __init__(
+        self, raw: Mapping[str, DataFrame], preset: RetailPreset | None = None, staged: Iterable[str] = ()
+    ):
         self.raw = raw
         self.preset = preset or RetailPreset()
-        self.staged = staged
+        self.staged = frozenset(staged)
 
     @classmethod
     def from_folder(
-        cls, spark: SparkSession, folder: str, preset: RetailPreset = SAMPLE, staged: bool = False
+        cls, spark: SparkSession, folder: str, preset: RetailPreset = SAMPLE, staged: Iterable[str] = ()
     ) -> RetailModel:
         return cls(raw_source.RawTables(spark, folder, list(fixed.STATES)), preset, staged)
 
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(df, name) if name in self.staged else df
+
     def _table(self, df: DataFrame, contract: TableContract) -> DataFrame:
-        out = conform(df, contract)
-        return stage(out, contract.name) if self.staged else out
+        return self._kept(conform(df, contract), contract.name)
 
     @cached_property
     def products(self) -> DataFrame:
@@ -50,11 +57,13 @@ class RetailModel:
 
     @cached_property
     def _sales_with_product(self) -> DataFrame:
-        return silver.clean_sales(self.raw["sales"], self.products, self.preset)
+        """Sales with the product labels; as a staged table both are columns to choose from."""
+        rows = silver.clean_sales(self.raw["sales"], self.products, self.preset)
+        return self._kept(rows.select(*tables.SALES.column_names, *silver.PRODUCT_LABELS), tables.SALES.name)
 
     @cached_property
     def sales(self) -> DataFrame:
-        return self._table(self._sales_with_product, tables.SALES)
+        return conform(self._sales_with_product, tables.SALES)
 
     @cached_property
     def competitor_prices(self) -> DataFrame:
@@ -87,9 +96,10 @@ class RetailModel:
 
     @cached_property
     def sales_detail(self) -> DataFrame:
-        sales = self.sales if self.staged else self._sales_with_product
-        segments = self.customer_segments if self.staged else self.customer_segments_unranked
-        return self._table(marts.sales_detail(sales, self.products, segments), tables.SALES_DETAIL)
+        ranked = tables.CUSTOMER_SEGMENTS.name in self.staged
+        segments = self.customer_segments if ranked else self.customer_segments_unranked
+        detail = marts.sales_detail(self._sales_with_product, self.products, segments)
+        return self._table(detail, tables.SALES_DETAIL)
 
     @cached_property
     def price_position(self) -> DataFrame:

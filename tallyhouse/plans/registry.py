@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.dedup import dedup
 from tallyhouse.operators.measures import evaluate
 from tallyhouse.plans import datasets, questions, silver, suite, tables
-from tallyhouse.plans.model import RetailModel
+from tallyhouse.plans.model import ALL_TABLES, RetailModel
 from tallyhouse.plans.preset import SAMPLE
 from tallyhouse.session import configure, stage_path
 from tallyhouse.sources import raw as raw_source
@@ -23,7 +23,7 @@ PERIOD = (dt.date(1996, 1, 1), dt.date(1998, 12, 31))
 ONLINE = ["E-commerce"]
 
 
-def _on_model(build: Callable[[RetailModel], DataFrame], staged: bool = False) -> Query:
+def _on_model(build: Callable[[RetailModel], DataFrame], staged: Iterable[str] = ()) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return build(RetailModel.from_folder(configure(spark), folder, staged=staged))
 
@@ -97,9 +97,9 @@ QUERIES: dict[str, Query] = {
     ),
     "clustered_sales_detail": _clustered_detail,
     # Quality
-    "quality_suite": _on_model(lambda m: suite.retail_quality(m.silver, m.marts, m.preset), staged=True),
-    "revenue_reconciliation": _on_model(lambda m: suite.revenue_reconciliation(m.silver, m.marts), staged=True),
-    "column_comment_audit": _on_model(lambda m: suite.documentation_audit(m.marts), staged=True),
+    "quality_suite": _on_model(lambda m: suite.retail_quality(m.silver, m.marts, m.preset), staged=ALL_TABLES),
+    "revenue_reconciliation": _on_model(lambda m: suite.revenue_reconciliation(m.silver, m.marts), staged=ALL_TABLES),
+    "column_comment_audit": _on_model(lambda m: suite.documentation_audit(m.marts), staged=ALL_TABLES),
     # Datasets
     "sales_dataset": _on_model(lambda m: datasets.sales_rows(m.sales_detail)),
     "customer_dataset": _on_model(lambda m: datasets.customer_rows(m.customer_segments)),

@@ -17,6 +17,14 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Settings fixed when a session starts. Capturing the Python call site of every
+# column costs several round trips to the JVM per call.
+START_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 _local_folders: dict[str, str] = {}
 
 
@@ -30,10 +38,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app_name: str = "tallyhouse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's settings; on a cluster `master` stays unset."""
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
