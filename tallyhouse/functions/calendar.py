@@ -14,8 +14,12 @@ def weekday_number(day: Column) -> Column:
 
 
 def weekday_name(number: Column, names: Sequence[str]) -> Column:
-    """`names` starts with Sunday."""
-    return F.element_at(F.array(*[F.lit(n) for n in names]), number)
+    """`names` starts with Sunday; NULL for NULL.
+
+    `get`, not `element_at`: under ANSI rules Spark takes the element of a
+    constant array for never NULL and reads one even for a NULL index.
+    """
+    return F.get(F.array(*[F.lit(n) for n in names]), number - 1)
 
 
 def happened_before(moment: Column, reference: Column) -> Column:
