@@ -13,9 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _join_facts(fact: DataFrame, dim: DataFrame, key: str, how: str) -> DataFrame:
+    """Join facts, in which a key may be hot, to a table that is unique on `key`.
+
+    Adaptive execution splits a hot key only if both inputs are shuffled for the
+    join itself. A deduplicated table comes already partitioned by its key and
+    would be joined as it lies, so the hash of the key is made a second join key,
+    which that partitioning does not cover. If the table is small enough to be
+    broadcast, nothing is shuffled anyway.
+    """
+    side = F.hash(key).alias("_side")
+    return fact.select("*", side).join(dim.select("*", side), [key, "_side"], how).drop("_side")
+
+
 def lookup(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Add `columns` of `dim` (unique on `key`) to every row of `fact`."""
-    return fact.join(dim.select(key, *columns), key, "left")
+    return _join_facts(fact, dim.select(key, *columns), key, "left")
 
 
 def summarise_per_entity(
@@ -53,7 +66,7 @@ def unique_on(df: DataFrame, key: str) -> DataFrame:
 
 def join_many_to_one(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join on `key`, failing if `right` could multiply rows of `left`."""
-    return left.join(unique_on(right, key), key, how)
+    return _join_facts(left, unique_on(right, key), key, how)
 
 
 def join_one_to_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -15,6 +15,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join partition once it is one advisory partition (64 MB) too large,
+    # not only at the default of 256 MB.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
 }
 
 # Settings fixed when a session starts. Capturing the Python call site of every

@@ -4,12 +4,12 @@ import pytest
 from shop import PRESET, SALES, raw_shop
 
 from tallyhouse.plans import datasets, questions, silver, tables
-from tallyhouse.plans.model import RetailModel
+from tallyhouse.plans.model import ALL_TABLES, RetailModel
 
 
 @pytest.fixture(scope="module")
 def shop(spark):
-    return RetailModel(raw_shop(spark), PRESET)
+    return RetailModel(raw_shop(spark), PRESET, ALL_TABLES)
 
 
 def by(df, key):
@@ -98,10 +98,8 @@ def test_sales_detail(shop, spark):
 
 
 def test_staged_and_lazy_models_agree(shop, spark):
-    from tallyhouse.plans.model import ALL_TABLES
-
-    staged = RetailModel(raw_shop(spark), PRESET, ALL_TABLES)
-    others = {**staged.silver, **staged.marts}
+    lazy = RetailModel(raw_shop(spark), PRESET)
+    others = {**lazy.silver, **lazy.marts}
     for name, frame in {**shop.silver, **shop.marts}.items():
         other = others[name]
         described = [[(f.name, f.dataType, f.metadata) for f in df.schema.fields] for df in (frame, other)]

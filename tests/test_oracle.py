@@ -2,7 +2,7 @@
 
 import pytest
 from compare import duck, oracle_rows, spark_rows
-from conftest import SMALL
+from conftest import SMALL, plan
 
 import __spark_entry__ as contract
 
@@ -20,11 +20,15 @@ def test_every_question_has_an_oracle():
 
 @pytest.mark.parametrize("name", list(contract.queries()))
 def test_question(spark, con, name):
-    names, got = spark_rows(contract.queries()[name](spark, SMALL))
+    df = contract.queries()[name](spark, SMALL)
+    names, got = spark_rows(df)
     expected_names, expected = oracle_rows(con, ORACLE[name])
     assert names == expected_names
     assert got == expected
     assert expected
+    # No join without keys, no Python in the plan.
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert word not in plan(df)
 
 
 def test_entry(spark):

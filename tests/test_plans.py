@@ -3,6 +3,8 @@
 import pytest
 from conftest import SMALL, optimized, plan
 
+from tallyhouse.operators.dedup import dedup_dimension
+from tallyhouse.operators.joins import lookup
 from tallyhouse.plans.registry import QUERIES
 
 
@@ -41,8 +43,30 @@ def test_counts_and_total_share_one_shuffle(spark):
     assert "ReusedExchange" in text.split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_question_joins_without_keys_or_runs_python(spark, name):
-    text = plan(QUERIES[name](spark, SMALL))
-    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "RDDScan"):
-        assert word not in text
+@pytest.fixture
+def tiny_partitions(spark):
+    """Make a few kilobytes count as a large partition, and no table small enough to broadcast."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_a_hot_key_is_split_in_a_lookup(spark, tiny_partitions):
+    fact = spark.range(0, 60000, 1, 8).selectExpr(
+        "concat('k', if(id % 3 = 0, 0, id % 500)) AS k", "id AS n", "sha(cast(id AS string)) AS t"
+    )
+    dim = dedup_dimension(spark.range(500).selectExpr("concat('k', id) AS k", "id AS x"), ["k"])
+    joined = lookup(fact, dim, "k", ["x"])
+    got = joined.collect()
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in text
+    assert len(got) == 60000 and sum(r.n for r in got) == sum(range(60000))
+    assert all(r.k == f"k{r.x}" for r in got)

@@ -148,7 +148,11 @@ def test_defects_are_found(shop, test):
     results = suite.retail_quality(silver_tables, marts, PRESET)
     found = {r.test: r.problem_rows for r in results.filter("status = 'FALHOU'").collect()}
     assert found.get(test, 0) > 0
-    with pytest.raises(QualityFailed, match=test):
+
+
+def test_failed_tests_are_named(spark):
+    results = spark.createDataFrame([("a", 0, "OK"), ("b", 2, "FALHOU"), ("c", 1, "FALHOU")], "test string, problem_rows bigint, status string")
+    with pytest.raises(QualityFailed, match="quality tests failed: b, c"):
         assert_quality(results)
 
 
