@@ -81,3 +81,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete everything this application staged; frames built on it can no longer be read."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
