@@ -345,7 +345,7 @@ BODIES: dict[str, str] = {
         FROM position""",
     "rank_customers_by_revenue": f"SELECT customer_id, {_money('cents')} AS revenue, revenue_rank FROM segments",
     "rank_products_in_category": f"""SELECT category, category_rank, product_id, product_name, {_money('cents')} AS revenue,
-        revenue_rank FROM product_mart WHERE category_rank <= 10""",
+        revenue_rank FROM product_mart""",
     "clustered_sales_detail": f"""SELECT channel, count(*) AS sales, {REVENUE} FROM detail
         WHERE {PERIOD} GROUP BY channel""",
     # Quality

@@ -56,12 +56,14 @@ def undocumented_columns(tables: Mapping[str, DataFrame]) -> list[tuple[str, str
     ]
 
 
-def undocumented_catalog_columns(spark: SparkSession, database: str) -> list[tuple[str, str]]:
-    """The same for the published tables of a database."""
+def undocumented_catalog_columns(
+    spark: SparkSession, database: str, internal_prefix: str = "__"
+) -> list[tuple[str, str]]:
+    """The same for the published tables of a database, leaving out internal ones."""
     return [
         (table.name, column.name)
         for table in spark.catalog.listTables(database)
-        if not table.isTemporary
+        if not table.isTemporary and not table.name.startswith(internal_prefix)
         for column in spark.catalog.listColumns(f"{database}.{table.name}")
         if not (column.description or "").strip()
     ]

@@ -26,6 +26,12 @@ SALES_MEASURES = (
         "Revenue per sale, never a mean of means.",
         ("revenue",),
     ),
+    Measure(
+        "ticket",
+        lambda: money.ratio(F.sum("revenue"), F.count("sale_id"), 2),
+        "Revenue per sale to the cent.",
+        ("revenue",),
+    ),
     _sum("items_sold", "quantity", "Units sold.", "bigint"),
     Measure(
         "revenue_per_day",
@@ -53,6 +59,12 @@ CUSTOMER_MEASURES = (
         "Revenue per sale, never a mean of means.",
         ("revenue", "total_orders"),
     ),
+    Measure(
+        "ticket",
+        lambda: money.ratio(F.sum("revenue"), F.sum("total_orders"), 2),
+        "Revenue per sale to the cent.",
+        ("revenue", "total_orders"),
+    ),
 )
 
 PRICE_MEASURES = (

@@ -121,9 +121,10 @@ def ticket_by_channel(time: Dataset) -> DataFrame:
 
 
 def region_category_revenue(sales: Dataset) -> DataFrame:
-    rows = evaluate(sales, ["region", "category"], ["customers", "sales", "revenue", "avg_ticket"])
-    ticket = F.round("avg_ticket", 2).cast(money.TOTAL)
-    return rows.withColumn("avg_ticket", ticket).orderBy("region", F.desc("revenue"), "category")
+    return evaluate(
+        sales, ["region", "category"], ["customers", "sales", "revenue", "ticket"],
+        order_by=["region", F.desc("revenue"), "category"],
+    ).withColumnRenamed("ticket", "avg_ticket")
 
 
 # Dimensions that describe customers: their answers also count customers.
@@ -132,9 +133,9 @@ CUSTOMER_DIMENSIONS = ("region", "state", "segment")
 
 def best_sellers(sales: Dataset, dimension: str, k: int) -> DataFrame:
     """What sells most along `dimension`: revenue, sales and ticket, and customers where they make sense."""
-    measures = ["revenue", "sales", "avg_ticket"] + (["customers"] if dimension in CUSTOMER_DIMENSIONS else [])
+    measures = ["revenue", "sales", "ticket"] + (["customers"] if dimension in CUSTOMER_DIMENSIONS else [])
     rows = evaluate(sales, [dimension], measures, order_by=[F.desc("revenue"), dimension], limit=k)
-    return rows.withColumn("avg_ticket", F.round("avg_ticket", 2).cast(money.TOTAL))
+    return rows.withColumnRenamed("ticket", "avg_ticket")
 
 
 def distinct_products_by_category(product_mart: DataFrame) -> DataFrame:
@@ -146,11 +147,9 @@ def distinct_products_by_category(product_mart: DataFrame) -> DataFrame:
     )
 
 
-def product_ranking_list(product_mart: DataFrame, k: int) -> DataFrame:
-    """The k best products of every category."""
-    return product_mart.filter(F.col("category_rank") <= k).select(
-        "category", "category_rank", "product_id", "product_name", "revenue", "revenue_rank"
-    )
+def product_ranking_list(product_mart: DataFrame) -> DataFrame:
+    """Every sold product with its place in the category and overall."""
+    return product_mart.select("category", "category_rank", "product_id", "product_name", "revenue", "revenue_rank")
 
 
 # --- Customers ----------------------------------------------------------------
@@ -186,9 +185,10 @@ def customer_ranking_list(segments: DataFrame) -> DataFrame:
 
 
 def ticket_by_segment(customers: Dataset) -> DataFrame:
-    rows = evaluate(customers, ["segment"], ["customers", "sales", "revenue", "avg_ticket"])
-    ticket = F.round("avg_ticket", 2).cast(money.TOTAL)
-    return rows.withColumn("avg_ticket", ticket).orderBy(F.desc("revenue"), "segment")
+    rows = evaluate(
+        customers, ["segment"], ["customers", "sales", "revenue", "ticket"], order_by=[F.desc("revenue"), "segment"]
+    )
+    return rows.withColumnRenamed("ticket", "avg_ticket")
 
 
 def top_tier_share(segments: DataFrame) -> DataFrame:

@@ -92,9 +92,7 @@ QUERIES: dict[str, Query] = {
     "rank_customers_by_revenue": _on_model(
         lambda m: m.customer_segments.select("customer_id", "revenue", "revenue_rank")
     ),
-    "rank_products_in_category": _on_model(
-        lambda m: questions.product_ranking_list(m.product_sales, SAMPLE.ranking_size)
-    ),
+    "rank_products_in_category": _on_model(lambda m: questions.product_ranking_list(m.product_sales)),
     "clustered_sales_detail": _clustered_detail,
     # Quality
     "quality_suite": _on_model(lambda m: suite.retail_quality(m.silver, m.marts, m.preset), staged=ALL_TABLES),
