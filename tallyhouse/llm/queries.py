@@ -4,9 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chunk_fingerprint import chunk_fingerprints
 from .decontam import contamination
+from .html_template import extract_main_text
 from .minhash import near_duplicates
+from .packing import pack_documents
+from .passages import repeated_passages
+from .pii import personal_data
+from .secret_scan import scan_secrets
 from .tables import table
+from .toxicity import toxicity
+from .url_markov import judge_urls
+
+
+def op1_url_language_models(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"))
+
+
+def op2_template_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(table(spark, folder, "pages"))
+
+
+def op3_chunk_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return chunk_fingerprints(table(spark, folder, "documents"))
+
+
+def op4_token_efficiency_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(table(spark, folder, "documents"))
+
+
+def op5_vector_bin_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"))
+
+
+def op6_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_contextual_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))
 
 
 def op8_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,8 +54,20 @@ def op9_suffix_array_decontamination(spark: SparkSession, folder: str) -> DataFr
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_compact_window_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
+
+
 QUERIES = {
+    "op1_url_language_models": op1_url_language_models,
+    "op2_template_extraction": op2_template_extraction,
+    "op3_chunk_fingerprints": op3_chunk_fingerprints,
+    "op4_token_efficiency_secrets": op4_token_efficiency_secrets,
+    "op5_vector_bin_packing": op5_vector_bin_packing,
+    "op6_toxic_segments": op6_toxic_segments,
+    "op7_contextual_personal_data": op7_contextual_personal_data,
     "op8_circulant_minhash": op8_circulant_minhash,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
+    "op10_compact_window_passages": op10_compact_window_passages,
 }
 SQL: dict[str, str] = {}
