@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -16,6 +16,7 @@ from .words import NOT_SPACE, mix, shingle_hash, slices, text_starts, words
 SHINGLE = 5
 ROWS = 4  # coordinates in a band
 BANDS = 16  # at similarity 0.85 a pair shares none of them with probability 7e-6
+BLOCK = 256  # classes in a block of a bucket that is compared exhaustively
 RING = 1 << 20  # positions of the circulant permutation
 SEED = 0x5EED
 
@@ -80,8 +81,9 @@ def _sketch(rows: int, bands: int):
                         pa.array((total[first[1:]] - total[first[:-1]]).view(np.int64)),
                         pa.array((other[first[1:]] - other[first[:-1]]).view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(band.reshape(-1).view(np.int64))),
+                        pa.array([row.tobytes() for row in signature.astype(np.uint8)], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "digest_1", "digest_2", "bands"],
+                    ["doc_id", "n_shingles", "digest_1", "digest_2", "bands", "low"],
                 )
 
     return run
@@ -95,22 +97,63 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(raw, pa.binary())], ["id", "members"])
 
 
+def _similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether 100 * shared >= percent * all, for sorted distinct members."""
+    if len(p) > len(q):
+        p, q = q, p
+    at = np.minimum(np.searchsorted(q, p), len(q) - 1)
+    both = int(np.count_nonzero(q[at] == p))
+    return 100 * both >= percent * (len(p) + len(q) - both)
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                both = int(np.count_nonzero(q[np.minimum(at, len(q) - 1)] == p))
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            pairs = zip(batch.column("x"), batch.column("y"), strict=True)
+            keep = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in pairs]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+def _compare(percent: int, floor: float):
+    """Links between two blocks of one bucket (or inside one): as many as join their components, no more."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, component, n, block = (np.asarray(table.column(c)) for c in ("id", "component", "n_shingles", "block"))
+        band, i, j, pivot = (table.column(c)[0].as_py() for c in ("band", "i", "j", "pivot"))
+        bands = np.array(table.column("bands").to_pylist(), np.int64)
+        low = np.frombuffer(b"".join(table.column("low").to_pylist()), np.uint8).reshape(len(ids), -1)
+        members = [np.frombuffer(m, np.uint64) for m in table.column("members").to_pylist()]
+        parent = {c: c for c in component.tolist()}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        out = []
+        first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        for x in first.tolist():
+            if ids[x] == pivot:
+                continue
+            others = second[(second > x) | (i != j)]
+            others = others[(component[others] != component[x]) & (ids[others] != pivot)]
+            others = others[100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x])]
+            # a pair that also meets in an earlier band is compared there
+            others = others[~(bands[others, :band] == bands[x, :band]).any(1)]
+            likeness = (low[others] == low[x]).mean(1)
+            for y in others[np.argsort(-likeness, kind="stable")][: int((likeness >= floor).sum())].tolist():
+                p, q = root(int(component[x])), root(int(component[y]))
+                if p != q and _similar(members[x], members[y], percent):
+                    parent[max(p, q)] = min(p, q)
+                    out.append((int(max(ids[x], ids[y])), int(min(ids[x], ids[y]))))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return run
+
+
 def near_duplicates(documents: DataFrame, percent: int = 85, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -120,65 +163,62 @@ def near_duplicates(documents: DataFrame, percent: int = 85, rows: int = ROWS, b
 
     * Documents with equal sets become one class before anything is compared, so groups
       of exact copies, however large, cost one grouped minimum.
-    * In each band bucket all classes are compared with the bucket's first pivot (the smallest
-      id) only. Where classes of one bucket are still in different components, the
-      next round takes eight times as many pivots, until a bucket is one component or every class has been
-      a pivot: nothing is capped, and no pair inside a component is compared again.
+    * In each band bucket all classes are first compared with the bucket's smallest id only.
+    * Buckets whose classes are then still in different components are compared exhaustively, in
+      pairs of blocks of about BLOCK classes: only classes of different components, only in the
+      first band that a pair shares, and not when their signatures are far below
+      the threshold (an error of six standard deviations). A block pair returns no more
+      links than join its components, so no pairs are emitted and nothing is capped.
     * Null and empty texts and texts without words have no shingles, are linked with
       nothing and are their own component. Repeated doc_ids stay repeated rows of one
       document. A null doc_id is nobody's smallest id: it joins no component
       and its row has a null component_id and kept = true.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sketch = written(docs.mapInArrow(_sketch(rows, bands), "doc_id long, n_shingles long, digest_1 long, digest_2 long, bands array<long>"), "sketch")
+    sketch = written(docs.mapInArrow(_sketch(rows, bands), "doc_id long, n_shingles long, digest_1 long, digest_2 long, bands array<long>, low binary"), "sketch")
     key = ["n_shingles", "digest_1", "digest_2"]
-    classes = written(sketch.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "classes")
+    classes = written(sketch.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("low").alias("low")), "classes")
     member = classes.select("id", "n_shingles", F.posexplode("bands").alias("band", "value"))
     # a bucket with one class proposes nothing
     full = member.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1")
     buckets = written(member.join(full.drop("size"), ["band", "value"]), "buckets")
     wanted = buckets.select("id").distinct()
     sets = written(docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "id long, members binary"), "sets")
-    links, settled, before = None, None, 0
-    for pivots in _pivot_counts():
-        found = _round(buckets, settled, sets, pivots, before, percent)
-        links = found if links is None else links.unionByName(found)
-        settled, before = written(components(links), "settled"), pivots
-        if _open(buckets, settled).where(F.col("size") > pivots).isEmpty():
-            break
+    star = _star(buckets, sets, percent)
+    settled = written(components(star), "settled")
+    more = _rest(buckets, classes, settled, sets, percent, rows * bands)
+    if not more.isEmpty():
+        settled = written(components(star.unionByName(more)), "settled")
     label = classes.join(settled, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
-    out = sketch.drop("bands").join(label, key, "left")
+    out = sketch.drop("bands", "low").join(label, key, "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _pivot_counts() -> Iterator[int]:
-    count = 1
-    while True:
-        yield count
-        count *= 8
-
-
-def _open(buckets: DataFrame, settled: DataFrame | None) -> DataFrame:
-    """The buckets whose classes are not yet all in one component, with the component of each class."""
-    if settled is None:
-        return buckets.withColumn("component", F.col("id"))
-    named = buckets.join(settled, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = named.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    return named.join(mixed.where("low <> high").drop("low", "high"), ["band", "value"])
-
-
-def _round(buckets: DataFrame, settled: DataFrame | None, sets: DataFrame, pivots: int, before: int, percent: int) -> DataFrame:
-    """Verified links between classes of open buckets and pivots number `before` to `pivots`."""
-    here = _open(buckets, settled)
-    # a rank limit is applied before the shuffle: a hot bucket sends few rows
-    place = F.row_number().over(Window.partitionBy("band", "value").orderBy("id"))
-    first = here.withColumn("place", place).where(F.col("place") <= pivots).where(F.col("place") > before)
-    first = first.select("band", "value", F.col("id").alias("b"), F.col("component").alias("other"), F.col("n_shingles").alias("m"))
+def _star(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Verified links between each bucket's smallest id and its other classes."""
+    low = buckets.groupBy("band", "value").agg(F.min(F.struct("id", "n_shingles")).alias("p"))
+    low = low.select("band", "value", F.col("p.id").alias("b"), F.col("p.n_shingles").alias("m"))
     n, m = F.col("n_shingles"), F.col("m")
-    pairs = here.join(first, ["band", "value"]).where("component <> other").where(100 * F.least(n, m) >= percent * F.greatest(n, m))
-    pairs = pairs.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+    pairs = buckets.join(low, ["band", "value"]).where("id <> b").where(100 * F.least(n, m) >= percent * F.greatest(n, m))
+    pairs = pairs.select(F.col("id").alias("a"), "b").distinct()
     pairs = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a")
     pairs = pairs.join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
     return written(pairs.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
+
+
+def _rest(buckets: DataFrame, classes: DataFrame, settled: DataFrame, sets: DataFrame, percent: int, coordinates: int) -> DataFrame:
+    """Verified links between different components that meet in a bucket, beyond those of `_star`."""
+    named = buckets.join(settled, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    key = ["band", "value"]
+    mixed = named.groupBy(*key).agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size"), F.min("id").alias("pivot"))
+    mixed = mixed.where("least <> most and size > 2").select(*key, "size", "pivot")
+    here = named.join(mixed, key).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    here = here.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    here = here.join(classes.select("id", "bands", "low"), "id").join(sets, "id")
+    meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j"))))
+    here = here.withColumn("meets", meets).select(*key, "meets.*", "block", "pivot", "id", "component", "n_shingles", "bands", "low", "members")
+    share = percent / 100
+    floor = share - 6 * (share * (1 - share) / coordinates) ** 0.5
+    return written(here.groupBy(*key, "i", "j").applyInArrow(_compare(percent, floor), "a long, b long"), "links")
