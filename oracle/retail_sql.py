@@ -7,11 +7,10 @@ division.
 
 from __future__ import annotations
 
-from tallyhouse.plans import preset as fixed
-from tallyhouse.plans.preset import SAMPLE
+from oracle import constants as fixed
 
-(VIP_LIMIT, _), (TOP_LIMIT, _) = SAMPLE.segments
-(PREMIUM_LIMIT, _), (MEDIO_LIMIT, _) = SAMPLE.price_bands
+VIP_LIMIT, TOP_LIMIT = 2100000, 1300000
+PREMIUM_LIMIT, MEDIO_LIMIT = 975, 925
 
 
 def _text(value: str) -> str:
@@ -33,7 +32,7 @@ def _half_up(num: str, den: str) -> str:
     return f"(CASE WHEN {n} >= 0 THEN 1 ELSE -1 END * ((2 * abs({n}) + {d}) // (2 * {d})))"
 
 
-def _money(cents: str, width: int = 18) -> str:
+def _money(cents: str, width: int = 28) -> str:
     return f"CAST(CAST({cents} AS DECIMAL(28,0)) * 0.01 AS DECIMAL({width},2))"
 
 
@@ -55,23 +54,22 @@ CHANNEL = _case("channel", fixed.CHANNEL_LABELS)
 
 PRELUDE = f"""
 WITH raw_sales AS (
-  SELECT concat(l_orderkey, '-', l_linenumber) AS sale_id,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT),
+           date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE))) AS sale_id,
          o_orderdate + to_hours(CAST((l_orderkey * 7 + l_linenumber * 5) % 24 AS INTEGER)) AS sold_at,
-         CAST(o_custkey AS VARCHAR) AS customer_id,
-         CAST(l_partkey AS VARCHAR) AS product_id,
+         CAST(CASE WHEN o_custkey % 50 = 49 THEN o_custkey - 1 ELSE o_custkey END AS VARCHAR) AS customer_id,
+         concat(CASE WHEN l_partkey % 200 = 199 THEN 'X' ELSE '' END, l_partkey) AS product_id,
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'ecommerce' ELSE 'loja_fisica' END AS channel,
          CAST(l_quantity AS BIGINT) AS quantity,
-         CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT) AS unit_cents,
-         l_partkey, l_suppkey, l_extendedprice
+         CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT) AS unit_cents
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE o_custkey % 50 <> 49
 ), products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_type AS category, p_brand AS brand,
          CAST(round(p_retailprice * 100) AS BIGINT) AS price_cents,
          CASE WHEN round(p_retailprice * 100) > {PREMIUM_LIMIT} * 100 THEN 'PREMIUM'
               WHEN round(p_retailprice * 100) > {MEDIO_LIMIT} * 100 THEN 'MEDIO' ELSE 'BASICO' END AS price_band,
          CAST(DATE '1995-01-01' + CAST(p_partkey * 37 % 1200 AS INTEGER) AS TIMESTAMP) AS created_at
-  FROM part WHERE p_partkey % 200 <> 199
+  FROM part
 ), customers_coded AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
          concat(CASE c_custkey % 7 WHEN 0 THEN 'Sr. ' WHEN 1 THEN 'Sra. ' WHEN 2 THEN 'Srta. ' WHEN 3 THEN 'Dr. '
@@ -87,8 +85,9 @@ WITH raw_sales AS (
          {_case('state', fixed.STATE_REGIONS)} AS region, 'Brasil' AS country, registered_on
   FROM customers_coded
 ), unique_sales AS (
+  -- the first version of every sale is the line itself: copies and later versions are added to lines
   SELECT * FROM raw_sales
-  QUALIFY row_number() OVER (PARTITION BY sale_id ORDER BY l_partkey, l_suppkey, l_extendedprice) = 1
+  QUALIFY row_number() OVER (PARTITION BY sale_id) = 1
 ), sales AS (
   SELECT s.sale_id, s.sold_at, CAST(s.sold_at AS DATE) AS sale_date, CAST(hour(s.sold_at) AS INTEGER) AS sale_hour,
          CAST(dayofweek(s.sold_at) + 1 AS INTEGER) AS weekday_num,
@@ -101,7 +100,6 @@ WITH raw_sales AS (
          CASE p_partkey // 4 % 7 WHEN 0 THEN 100 WHEN 1 THEN 115 + 5 * k WHEN 2 THEN 70 + 5 * k
               ELSE 55 + (p_partkey * 31 + 17 * k) % 70 END AS percent
   FROM part, (SELECT unnest([0, 1, 2, 3]) AS k)
-  WHERE p_partkey % 10 < 9 AND (p_partkey + k) % 5 <> 0 AND p_partkey % 200 <> 199
 ), competitor_prices AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id,
          list_extract(['Competitor A', 'Competitor B', 'Competitor C', 'Competitor D'], CAST(k AS INTEGER) + 1) AS competitor,
@@ -118,7 +116,7 @@ WITH raw_sales AS (
          {_half_up('p.cents', 'p.n')} AS ticket_cents, p.first_purchase, p.last_purchase,
          CASE WHEN coalesce(p.cents, 0) >= {VIP_LIMIT} * 100 THEN 'VIP'
               WHEN coalesce(p.cents, 0) >= {TOP_LIMIT} * 100 THEN 'TOP_TIER' ELSE 'REGULAR' END AS segment,
-         CAST(row_number() OVER (ORDER BY coalesce(p.cents, 0) DESC, c.customer_id) AS INTEGER) AS revenue_rank
+         CAST(row_number() OVER (ORDER BY coalesce(p.cents, 0) DESC, c.customer_id) AS BIGINT) AS revenue_rank
   FROM customers c LEFT JOIN purchases p ON p.customer_id = c.customer_id
 ), time_mart AS (
   SELECT sale_date, weekday, weekday_num, sale_hour, channel, count(*) AS total_sales,
@@ -133,8 +131,8 @@ WITH raw_sales AS (
   FROM sales s LEFT JOIN products p ON p.product_id = s.product_id GROUP BY ALL
 ), product_mart AS (
   SELECT *, {_half_up('cents', 'total_sales')} AS ticket_cents,
-         CAST(row_number() OVER (ORDER BY cents DESC, product_id) AS INTEGER) AS revenue_rank,
-         CAST(row_number() OVER (PARTITION BY category ORDER BY cents DESC, product_id) AS INTEGER) AS category_rank
+         CAST(row_number() OVER (ORDER BY cents DESC, product_id) AS BIGINT) AS revenue_rank,
+         CAST(row_number() OVER (PARTITION BY category ORDER BY cents DESC, product_id) AS BIGINT) AS category_rank
   FROM sold_products
 ), detail AS (
   SELECT s.sale_id, s.sold_at, s.sale_date, s.weekday, s.weekday_num, s.sale_hour, s.channel, s.product_id,
@@ -194,12 +192,12 @@ _ACTION = f"""product_name, product_id, category, {_money('own_cents', 10)} AS o
 _DIFF = _scaled(_half_up("sum(avg_bp) * 100", "count(*)"), 6, 12)
 
 
-def _best_sellers(dimension: str, with_customers: bool) -> str:
+def _best_sellers(dimension: str, with_customers: bool, source: str = "shown_sales") -> str:
     customers = ", count(DISTINCT customer_id) AS customers" if with_customers else ""
     shown = "shown_channel" if dimension == "channel" else dimension
     return f"""SELECT {shown} AS {dimension}, {REVENUE}, count(*) AS sales,
       {_ratio_money('sum(cents)', 'count(*)', 2)} AS avg_ticket{customers}
-      FROM shown_sales GROUP BY {shown} ORDER BY sum(cents) DESC, {shown} LIMIT 10"""
+      FROM {source} GROUP BY {shown} ORDER BY sum(cents) DESC, {shown} LIMIT 10"""
 
 
 def _expectations() -> str:
@@ -308,6 +306,11 @@ def _audit() -> str:
     )
 
 
+ONLINE = f"shown_sales WHERE {PERIOD} AND shown_channel IN ('E-commerce')"
+SOME_CUSTOMERS = "segments WHERE segment IN ('VIP', 'TOP_TIER') AND region IN ('Norte', 'Sul')"
+SOME_PRICES = """shown_prices WHERE category IN ('ECONOMY', 'PROMO')
+  AND price_class_label IN ('Mais caro que todos', 'Acima da média')"""
+
 _WEEKDAYS = f"""SELECT weekday, {_ratio_money('sum(cents)', 'count(DISTINCT sale_date)')} AS revenue_per_day,
   {REVENUE}, {_ordinal('weekday', fixed.WEEKDAYS)} AS weekday_num FROM shown_sales GROUP BY weekday"""
 
@@ -352,6 +355,12 @@ BODIES: dict[str, str] = {
     "quality_suite": _quality(),
     "revenue_reconciliation": _reconciliation(),
     "column_comment_audit": _audit(),
+    "raw_coverage": """SELECT 'sales' AS table_name, count(*) AS row_count, CAST(sum(l_quantity) AS BIGINT) AS items FROM lineitem
+        UNION ALL SELECT 'products', count(*), NULL FROM part
+        UNION ALL SELECT 'customers', count(*), NULL FROM customer
+        UNION ALL SELECT 'competitor_prices', 4 * count(*), NULL FROM part""",
+    "refresh_reconciliation": _reconciliation(),
+    "refresh_ranks": f"SELECT customer_id, segment, {_money('cents')} AS revenue, revenue_rank FROM segments",
     # Datasets
     "sales_dataset": f"""SELECT sale_id, sale_date, weekday, weekday_num, sale_hour, hour_label, shown_channel AS channel,
         product_id, category, brand, customer_id, state, region, segment, quantity, {_money('cents', 10)} AS revenue
@@ -370,6 +379,14 @@ BODIES: dict[str, str] = {
     "filtered_commercial_kpis": f"""SELECT {REVENUE}, count(*) AS sales,
         {_ratio_money('sum(cents)', 'count(*)')} AS avg_ticket, CAST(sum(quantity) AS BIGINT) AS items_sold
         FROM shown_sales WHERE {PERIOD} AND shown_channel IN ('E-commerce')""",
+    "filtered_daily_revenue": f"""SELECT CAST(sale_date AS TIMESTAMP) AS day, shown_channel AS channel, {REVENUE}
+        FROM {ONLINE} GROUP BY 1, 2""",
+    "filtered_weekday_revenue": _WEEKDAYS.replace("FROM shown_sales", "FROM " + ONLINE),
+    "filtered_hour_revenue": f"SELECT hour_label, {REVENUE} FROM {ONLINE} GROUP BY 1",
+    "filtered_category_revenue": f"SELECT category, {REVENUE} FROM {ONLINE} GROUP BY 1",
+    "filtered_region_category": f"""SELECT region, category, count(DISTINCT customer_id) AS customers, count(*) AS sales,
+        {REVENUE}, {_TICKET_2} FROM {ONLINE} GROUP BY region, category""",
+    "filtered_best_sellers": _best_sellers("state", True, ONLINE),
     "daily_revenue_by_channel": f"""SELECT CAST(sale_date AS TIMESTAMP) AS day, shown_channel AS channel, {REVENUE}
         FROM shown_sales GROUP BY 1, 2""",
     "channel_revenue": f"SELECT shown_channel AS channel, {REVENUE} FROM shown_sales GROUP BY 1",
@@ -418,6 +435,12 @@ BODIES: dict[str, str] = {
         {_scaled(_half_up("sum(CASE WHEN segment = 'VIP' THEN cents ELSE 0 END) * 1000000", "sum(cents)"), 6, 24)}
         AS vip_revenue_share, {_ratio_money('sum(cents)', 'sum(total_orders)')} AS avg_ticket FROM segments
         WHERE segment IN ('VIP', 'TOP_TIER') AND region IN ('Norte', 'Sul')""",
+    "filtered_segment_summary": f"""SELECT segment, count(*) AS customers, {REVENUE},
+        {_ordinal('segment', fixed.SEGMENTS)} AS segment_place FROM {SOME_CUSTOMERS} GROUP BY segment""",
+    "filtered_region_segment": f"""SELECT region, segment, {REVENUE},
+        {_money('sum(sum(cents)) OVER (PARTITION BY region)')} AS region_revenue FROM {SOME_CUSTOMERS} GROUP BY region, segment""",
+    "filtered_customer_list": f"""SELECT revenue_rank, customer_name, state, region, segment, total_orders,
+        {_money('cents')} AS revenue, last_purchase FROM {SOME_CUSTOMERS}""",
     "segment_summary": f"""SELECT segment, count(*) AS customers, {REVENUE},
         {_ordinal('segment', fixed.SEGMENTS)} AS segment_place FROM segments GROUP BY segment""",
     "region_segment_revenue": f"""SELECT region, segment, {REVENUE},
@@ -451,6 +474,11 @@ BODIES: dict[str, str] = {
         {_money('sum(is_confirmed_dearest * cents)')} AS confirmed_dearest_revenue,
         CAST(sum(suspect) AS BIGINT) AS suspect_products FROM shown_prices
         WHERE category IN ('ECONOMY', 'PROMO') AND price_class_label IN ('Mais caro que todos', 'Acima da média')""",
+    "filtered_price_classes": f"""SELECT price_class_label, price_status, count(*) AS products
+        FROM {SOME_PRICES} GROUP BY price_class_label, price_status""",
+    "filtered_price_gap": f"""SELECT category, {_DIFF} AS avg_diff_vs_market FROM {SOME_PRICES}
+        AND NOT has_suspect GROUP BY category""",
+    "filtered_price_actions": f"SELECT {_ACTION} FROM {SOME_PRICES} AND price_class = 'MAIS_CARO_QUE_TODOS'",
     "products_by_price_class": """SELECT price_class_label, price_status, count(*) AS products
         FROM shown_prices GROUP BY price_class_label, price_status""",
     "price_gap_by_category": f"""SELECT category, {_DIFF} AS avg_diff_vs_market FROM shown_prices

@@ -24,7 +24,7 @@ def band(value: Column, limits: Sequence[tuple[str, str]], default: str, inclusi
     """
     label = None
     for limit, name in limits:
-        bound = F.lit(limit).cast("decimal(18,2)")
+        bound = F.lit(limit).cast("decimal(28,2)")
         hit = value >= bound if inclusive else value > bound
         label = F.when(hit, name) if label is None else label.when(hit, name)
     return F.lit(default) if label is None else label.otherwise(default)

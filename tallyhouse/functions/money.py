@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(10, 2)  # one row: a price, a sale, a mean of sales
-TOTAL = DecimalType(18, 2)  # sums; (10, 2) overflows at 99,999,999.99
+TOTAL = DecimalType(28, 2)  # sums; (18, 2) would overflow at 10^16, a few TB of sales
 SHARE_SCALE = 6
 
 

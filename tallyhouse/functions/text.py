@@ -42,3 +42,9 @@ def ordinal(value: Column, order: Sequence[str]) -> Column:
 def joined_set(values: Column, separator: str = ", ") -> Column:
     """Aggregate: the distinct values, sorted and joined into one text."""
     return F.concat_ws(separator, F.sort_array(F.collect_set(values)))
+
+
+def codes_of(labels: Sequence[str], shown: Mapping[str, str]) -> list[str]:
+    """The stored codes behind chosen labels, so that a filter can reach the scan; unknown labels stay."""
+    codes = {label: code for code, label in shown.items()}
+    return [codes.get(label, label) for label in labels]

@@ -26,9 +26,14 @@ def _join_facts(fact: DataFrame, dim: DataFrame, key: str, how: str) -> DataFram
     return fact.select("*", side).join(dim.select("*", side), [key, "_side"], how).drop("_side")
 
 
-def lookup(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Add `columns` of `dim` (unique on `key`) to every row of `fact`."""
-    return _join_facts(fact, dim.select(key, *columns), key, "left")
+def lookup(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], grouped: bool = False) -> DataFrame:
+    """Add `columns` of `dim` (unique on `key`) to every row of `fact`.
+
+    `grouped` says that `fact` has one row per key, too: no key is hot, and both sides are
+    joined as they are already partitioned.
+    """
+    chosen = dim.select(key, *columns)
+    return fact.join(chosen, key, "left") if grouped else _join_facts(fact, chosen, key, "left")
 
 
 def summarise_per_entity(
@@ -64,9 +69,10 @@ def unique_on(df: DataFrame, key: str) -> DataFrame:
     return grouped.select(key, row.alias("_row")).select(key, *[f"_row.{c}" for c in rest])
 
 
-def join_many_to_one(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join on `key`, failing if `right` could multiply rows of `left`."""
-    return _join_facts(left, unique_on(right, key), key, how)
+def join_many_to_one(left: DataFrame, right: DataFrame, key: str, how: str = "left", grouped: bool = False) -> DataFrame:
+    """Join on `key`, failing if `right` could multiply rows of `left`; `grouped` as in `lookup`."""
+    checked = unique_on(right, key)
+    return left.join(checked, key, how) if grouped else _join_facts(left, checked, key, how)
 
 
 def join_one_to_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

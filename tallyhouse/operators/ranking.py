@@ -50,17 +50,17 @@ def add_ranks(
 
     if out:
         # One row per written partition: the size is set by the shuffle, not by the data.
-        before = F.broadcast(_rows_before(placed, []))
+        before = _rows_before(placed, [])
         row = F.col("_place") - F.shiftleft("_part", _ROW_BITS) + 1
         ranked = ranked.join(before, F.col("_part") == F.col("_of_part"), "left")
-        ranked = ranked.withColumn(out, (F.col("_before") + row).cast("int")).drop("_of_part", "_before")
+        ranked = ranked.withColumn(out, (F.col("_before") + row).cast("long")).drop("_of_part", "_before")
         columns.append(out)
     for name, group in (group_outs or {}).items():
         inside = F.row_number().over(Window.partitionBy("_part", group).orderBy("_place"))
         same = (F.col("_part") == F.col("_of_part")) & F.col(group).eqNullSafe(F.col(f"_of_{group}"))
         ranked = ranked.withColumn("_inside", inside).join(_rows_before(placed, [group]), same, "left")
         columns.append(name)
-        ranked = ranked.withColumn(name, (F.col("_before") + F.col("_inside")).cast("int")).select(
+        ranked = ranked.withColumn(name, (F.col("_before") + F.col("_inside")).cast("long")).select(
             *columns, "_place", "_part"
         )
     return ranked.select(*columns)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import money, text
+from tallyhouse.operators.filters import Range, apply_filters
 from tallyhouse.operators.measures import Dataset, Measure
 from tallyhouse.plans import preset as fixed
 from tallyhouse.plans import tables
 
 
-def _sum(name: str, column: str, description: str, type_: str = "decimal(18,2)") -> Measure:
+def _sum(name: str, column: str, description: str, type_: str = "decimal(28,2)") -> Measure:
     return Measure(name, lambda: F.sum(column).cast(type_), description, (column,))
 
 
@@ -158,16 +161,24 @@ def price_rows(position: DataFrame) -> DataFrame:
     )
 
 
-def sales_dataset(detail: DataFrame) -> Dataset:
-    return Dataset.of(sales_rows(detail), SALES_MEASURES, tables.SALES_DETAIL.non_additive)
+# The filters of a dataset act on every question about it. Chosen labels are turned into the stored
+# codes first, so that all filters can be pushed down to the scan.
+
+
+def sales_dataset(detail: DataFrame, period: Range = (None, None), channels: Sequence[str] = ()) -> Dataset:
+    chosen = apply_filters(detail, {"sale_date": period}, {"channel": text.codes_of(channels, fixed.CHANNEL_LABELS)})
+    return Dataset.of(sales_rows(chosen), SALES_MEASURES, tables.SALES_DETAIL.non_additive)
 
 
-def customer_dataset(segments: DataFrame) -> Dataset:
-    return Dataset.of(customer_rows(segments), CUSTOMER_MEASURES, tables.CUSTOMER_SEGMENTS.non_additive)
+def customer_dataset(segments: DataFrame, chosen: Sequence[str] = (), regions: Sequence[str] = ()) -> Dataset:
+    rows = apply_filters(segments, None, {"segment": chosen, "region": regions})
+    return Dataset.of(customer_rows(rows), CUSTOMER_MEASURES, tables.CUSTOMER_SEGMENTS.non_additive)
 
 
-def price_dataset(position: DataFrame) -> Dataset:
-    return Dataset.of(price_rows(position), PRICE_MEASURES, tables.PRICE_POSITION.non_additive)
+def price_dataset(position: DataFrame, categories: Sequence[str] = (), classes: Sequence[str] = ()) -> Dataset:
+    codes = text.codes_of(classes, fixed.PRICE_CLASS_LABELS)
+    rows = apply_filters(position, None, {"category": categories, "price_class": codes})
+    return Dataset.of(price_rows(rows), PRICE_MEASURES, tables.PRICE_POSITION.non_additive)
 
 
 def time_dataset(time_mart: DataFrame) -> Dataset:

@@ -62,7 +62,7 @@ def product_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
         money.total(revenue).alias("revenue"),
         money.mean_money(revenue).alias("avg_ticket"),
     )
-    rows = lookup(per_product, products, "product_id", ["created_at", *PRODUCT_LABELS])
+    rows = lookup(per_product, products, "product_id", ["created_at", *PRODUCT_LABELS], grouped=True)
     return label_missing(rows.withColumn("is_registered", F.col("created_at").isNotNull()), fixed.UNREGISTERED)
 
 

@@ -115,6 +115,15 @@ class RetailModel:
             "competitor_prices": self.competitor_prices,
         }
 
+    @property
+    def unranked_marts(self) -> dict[str, DataFrame]:
+        """The marts for checks that read no rank: nothing is sorted or written for them."""
+        return {
+            **{name: getattr(self, name) for name in ("sales_time", "sales_detail", "price_position")},
+            "customer_segments": self.customer_segments_unranked,
+            "product_sales": self.product_sales_unranked,
+        }
+
     @property
     def marts(self) -> dict[str, DataFrame]:
         return {

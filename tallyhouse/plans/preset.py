@@ -108,5 +108,5 @@ class RetailPreset:
 SAMPLE = RetailPreset(
     price_bands=(("975", "PREMIUM"), ("925", "MEDIO")),
     segments=(("2100000", VIP), ("1300000", TOP_TIER)),
-    sale_order=("source_part", "source_supplier", "source_price"),
+    sale_order=("source_version",),
 )

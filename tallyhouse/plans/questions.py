@@ -82,8 +82,7 @@ def top_products(
     Grouped by product key before any label is looked up, so labels are joined
     to k rows and a hot product is reduced before the shuffle.
     """
-    shown = sales.withColumn("channel", text.map_lookup(F.col("channel"), fixed.CHANNEL_LABELS))
-    chosen = apply_filters(shown, {"sale_date": period}, {"channel": channels})
+    chosen = apply_filters(sales, {"sale_date": period}, {"channel": text.codes_of(channels, fixed.CHANNEL_LABELS)})
     per_product = chosen.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("sales"),
         F.sum("quantity").alias("items_sold"),
@@ -92,7 +91,7 @@ def top_products(
     )
     best = top_k(per_product, [F.desc("revenue"), "product_id"], k, "position")
     labels = {c: fixed.UNREGISTERED[c] for c in ("product_name", "category")}
-    named = label_missing(lookup(best, products, "product_id", list(labels)), labels)
+    named = label_missing(lookup(best, products, "product_id", list(labels), grouped=True), labels)
     return named.select(
         "position", "product_id", "product_name", "category", "sales", "items_sold", "revenue", "avg_ticket"
     ).orderBy("position")
@@ -104,7 +103,7 @@ def channel_sales_sql(
     """Sales per product category in SQL, with a date-range and a list parameter; an empty list means all."""
     return spark.sql(
         """
-        SELECT category, count(*) AS sales, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue
+        SELECT category, count(*) AS sales, CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue
         FROM {detail}
         WHERE sale_date BETWEEN :period.min AND :period.max
           AND (size(:channels) = 0 OR array_contains(CAST(:channels AS ARRAY<STRING>), channel))
@@ -178,8 +177,9 @@ def region_segment_revenue(customers: Dataset) -> DataFrame:
     )
 
 
-def customer_ranking_list(segments: DataFrame) -> DataFrame:
-    return segments.select(
+def customer_ranking_list(segments: DataFrame, chosen: Sequence[str] = (), regions: Sequence[str] = ()) -> DataFrame:
+    """Customers by their place over all customers, also when only some of them are shown."""
+    return apply_filters(segments, None, {"segment": chosen, "region": regions}).select(
         "revenue_rank", "customer_name", "state", "region", "segment", "total_orders", "revenue", "last_purchase"
     ).orderBy("revenue_rank")
 
@@ -228,7 +228,7 @@ def sales_by_customer_profile(detail: DataFrame, segments: DataFrame) -> DataFra
         F.count(F.lit(1)).alias("sales"), money.total(F.col("revenue")).alias("revenue")
     )
     profile = segments.select("customer_id", "state_name", "segment")
-    rows = join_many_to_one(per_customer, profile, "customer_id")
+    rows = join_many_to_one(per_customer, profile, "customer_id", grouped=True)
     return (
         rows.groupBy("state_name", "segment")
         .agg(

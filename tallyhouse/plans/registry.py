@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.dedup import dedup
 from tallyhouse.operators.measures import evaluate
 from tallyhouse.plans import datasets, questions, silver, suite, tables
-from tallyhouse.plans.model import ALL_TABLES, RetailModel
+from tallyhouse.plans.model import RetailModel
 from tallyhouse.plans.preset import SAMPLE
+from tallyhouse.plans.refresh import refresh
 from tallyhouse.session import configure, stage_path
 from tallyhouse.sources import raw as raw_source
 from tallyhouse.sources.tables import materialize
@@ -30,16 +31,48 @@ def _on_model(build: Callable[[RetailModel], DataFrame], staged: Iterable[str] =
     return run
 
 
-def _sales(m: RetailModel):
-    return datasets.sales_dataset(m.sales_detail)
+# For questions that read the cleaned sales twice: once themselves, once for the customers' segments.
+SALES_TWICE = ("sales",)
+SOME_CUSTOMERS = (["VIP", "TOP_TIER"], ["Norte", "Sul"])
+SOME_PRICES = (["ECONOMY", "PROMO"], ["Mais caro que todos", "Acima da média"])
 
 
-def _customers(m: RetailModel):
-    return datasets.customer_dataset(m.customer_segments_unranked)
+def _sales(m: RetailModel, *filters):
+    return datasets.sales_dataset(m.sales_detail, *filters)
 
 
-def _prices(m: RetailModel):
-    return datasets.price_dataset(m.price_position)
+def _customers(m: RetailModel, *filters):
+    return datasets.customer_dataset(m.customer_segments_unranked, *filters)
+
+
+def _prices(m: RetailModel, *filters):
+    return datasets.price_dataset(m.price_position, *filters)
+
+
+def _filtered_sales(question: Callable, *arguments) -> Query:
+    return _on_model(lambda m: question(_sales(m, PERIOD, ONLINE), *arguments))
+
+
+def _filtered_customers(question: Callable) -> Query:
+    return _on_model(lambda m: question(_customers(m, *SOME_CUSTOMERS)))
+
+
+def _filtered_prices(question: Callable) -> Query:
+    return _on_model(lambda m: question(_prices(m, *SOME_PRICES)))
+
+
+def _refresh_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
+    """Write every table by a full refresh, then compare the revenue of the tables read back."""
+    raw = RetailModel.from_folder(configure(spark), folder).raw
+    run = refresh(raw, stage_path(spark, "refresh"), SAMPLE)
+    return suite.revenue_reconciliation(run.silver, run.marts)
+
+
+def _refresh_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranked customer mart as a full refresh writes it."""
+    raw = RetailModel.from_folder(configure(spark), folder).raw
+    run = refresh(raw, stage_path(spark, "refresh"), SAMPLE)
+    return spark.read.parquet(run.path(tables.CUSTOMER_SEGMENTS)).select("customer_id", "segment", "revenue", "revenue_rank")
 
 
 def _dedup_sales(m: RetailModel) -> DataFrame:
@@ -65,11 +98,11 @@ def _customers_by_nation(spark: SparkSession, folder: str) -> DataFrame:
 
 def _clustered_detail(spark: SparkSession, folder: str) -> DataFrame:
     """Write the detail mart in date order, then answer a period question from the written files."""
-    model = RetailModel.from_folder(configure(spark), folder)
+    model = RetailModel.from_folder(configure(spark), folder, staged=SALES_TWICE)
     path = stage_path(spark, "sales_detail")
     written = materialize(model.sales_detail, tables.SALES_DETAIL, path, cluster_by="sale_date")
     return written.filter(F.col("sale_date").between(*PERIOD)).groupBy("channel").agg(
-        F.count(F.lit(1)).alias("sales"), F.sum("revenue").cast("decimal(18,2)").alias("revenue")
+        F.count(F.lit(1)).alias("sales"), F.sum("revenue").cast("decimal(28,2)").alias("revenue")
     )
 
 
@@ -87,7 +120,7 @@ QUERIES: dict[str, Query] = {
     "gold_customer_segments": _on_model(lambda m: m.customer_segments),
     "gold_sales_time": _on_model(lambda m: m.sales_time),
     "gold_product_sales": _on_model(lambda m: m.product_sales),
-    "gold_sales_detail": _on_model(lambda m: m.sales_detail),
+    "gold_sales_detail": _on_model(lambda m: m.sales_detail, SALES_TWICE),
     "gold_price_position": _on_model(lambda m: m.price_position),
     "rank_customers_by_revenue": _on_model(
         lambda m: m.customer_segments.select("customer_id", "revenue", "revenue_rank")
@@ -95,20 +128,31 @@ QUERIES: dict[str, Query] = {
     "rank_products_in_category": _on_model(lambda m: questions.product_ranking_list(m.product_sales)),
     "clustered_sales_detail": _clustered_detail,
     # Quality
-    "quality_suite": _on_model(lambda m: suite.retail_quality(m.silver, m.marts, m.preset), staged=ALL_TABLES),
-    "revenue_reconciliation": _on_model(lambda m: suite.revenue_reconciliation(m.silver, m.marts), staged=ALL_TABLES),
-    "column_comment_audit": _on_model(lambda m: suite.documentation_audit(m.marts), staged=ALL_TABLES),
+    "quality_suite": _on_model(lambda m: suite.retail_quality(m.silver, m.unranked_marts, m.preset), SALES_TWICE),
+    "revenue_reconciliation": _on_model(lambda m: suite.revenue_reconciliation(m.silver, m.unranked_marts), SALES_TWICE),
+    "column_comment_audit": _on_model(
+        lambda m: suite.documentation_audit(m.unranked_marts, {"customer_segments": 1, "product_sales": 2})
+    ),
+    "raw_coverage": _on_model(lambda m: suite.raw_coverage(m.silver)),
+    "refresh_reconciliation": _refresh_reconciliation,
+    "refresh_ranks": _refresh_ranks,
     # Datasets
-    "sales_dataset": _on_model(lambda m: datasets.sales_rows(m.sales_detail)),
+    "sales_dataset": _on_model(lambda m: datasets.sales_rows(m.sales_detail), SALES_TWICE),
     "customer_dataset": _on_model(lambda m: datasets.customer_rows(m.customer_segments)),
     "price_dataset": _on_model(lambda m: datasets.price_rows(m.price_position)),
     # Sales questions
     "commercial_kpis": _on_model(lambda m: questions.commercial_kpis(_sales(m))),
-    "filtered_commercial_kpis": _on_model(lambda m: questions.commercial_kpis(_sales(m), PERIOD, ONLINE)),
+    "filtered_commercial_kpis": _filtered_sales(questions.commercial_kpis),
+    "filtered_daily_revenue": _filtered_sales(questions.daily_revenue_by_channel),
+    "filtered_weekday_revenue": _filtered_sales(questions.weekday_revenue),
+    "filtered_hour_revenue": _filtered_sales(questions.hour_revenue),
+    "filtered_category_revenue": _filtered_sales(questions.category_revenue),
+    "filtered_region_category": _filtered_sales(questions.region_category_revenue),
+    "filtered_best_sellers": _filtered_sales(questions.best_sellers, "state", SAMPLE.ranking_size),
     "daily_revenue_by_channel": _on_model(lambda m: questions.daily_revenue_by_channel(_sales(m))),
     "channel_revenue": _on_model(lambda m: questions.channel_revenue(_sales(m))),
     "filtered_channel_revenue": _on_model(
-        lambda m: questions.channel_revenue(_sales(m), PERIOD, ["E-commerce", "Loja física"])
+        lambda m: questions.channel_revenue(_sales(m, PERIOD, ["E-commerce", "Loja física"]))
     ),
     "weekday_mean_revenue": _on_model(lambda m: questions.weekday_revenue(_sales(m))),
     "best_weekday": _on_model(lambda m: questions.best_weekday(_sales(m))),
@@ -125,7 +169,9 @@ QUERIES: dict[str, Query] = {
     "region_category_revenue": _on_model(lambda m: questions.region_category_revenue(_sales(m))),
     "best_sellers_by_dimension": _on_model(lambda m: questions.best_sellers(_sales(m), "region", SAMPLE.ranking_size)),
     "best_sellers_by_state": _on_model(lambda m: questions.best_sellers(_sales(m), "state", SAMPLE.ranking_size)),
-    "best_sellers_by_segment": _on_model(lambda m: questions.best_sellers(_sales(m), "segment", SAMPLE.ranking_size)),
+    "best_sellers_by_segment": _on_model(
+        lambda m: questions.best_sellers(_sales(m), "segment", SAMPLE.ranking_size), SALES_TWICE
+    ),
     "best_sellers_by_category": _on_model(lambda m: questions.best_sellers(_sales(m), "category", SAMPLE.ranking_size)),
     "best_sellers_by_channel": _on_model(lambda m: questions.best_sellers(_sales(m), "channel", SAMPLE.ranking_size)),
     "distinct_products_by_category": _on_model(
@@ -138,9 +184,10 @@ QUERIES: dict[str, Query] = {
     ),
     # Customer questions
     "customer_kpis": _on_model(lambda m: questions.customer_kpis(_customers(m))),
-    "filtered_customer_kpis": _on_model(
-        lambda m: questions.customer_kpis(_customers(m), ["VIP", "TOP_TIER"], ["Norte", "Sul"])
-    ),
+    "filtered_customer_kpis": _filtered_customers(questions.customer_kpis),
+    "filtered_segment_summary": _filtered_customers(questions.segment_summary),
+    "filtered_region_segment": _filtered_customers(questions.region_segment_revenue),
+    "filtered_customer_list": _on_model(lambda m: questions.customer_ranking_list(m.customer_segments, *SOME_CUSTOMERS)),
     "segment_summary": _on_model(lambda m: questions.segment_summary(_customers(m))),
     "region_segment_revenue": _on_model(lambda m: questions.region_segment_revenue(_customers(m))),
     "customer_ranking_list": _on_model(lambda m: questions.customer_ranking_list(m.customer_segments)),
@@ -149,7 +196,7 @@ QUERIES: dict[str, Query] = {
     "customers_region_segment": _on_model(lambda m: questions.customers_by_region_segment(_customers(m))),
     "near_vip_customers": _on_model(lambda m: questions.near_vip_customers(m.customer_segments_unranked, m.preset)),
     "sales_by_customer_profile": _on_model(
-        lambda m: questions.sales_by_customer_profile(m.sales_detail, m.customer_segments_unranked)
+        lambda m: questions.sales_by_customer_profile(m.sales_detail, m.customer_segments_unranked), SALES_TWICE
     ),
     "measure_customers": _on_model(
         lambda m: evaluate(
@@ -158,9 +205,10 @@ QUERIES: dict[str, Query] = {
     ),
     # Price questions
     "price_kpis": _on_model(lambda m: questions.price_kpis(_prices(m))),
-    "filtered_price_kpis": _on_model(
-        lambda m: questions.price_kpis(_prices(m), ["ECONOMY", "PROMO"], ["Mais caro que todos", "Acima da média"])
-    ),
+    "filtered_price_kpis": _filtered_prices(questions.price_kpis),
+    "filtered_price_classes": _filtered_prices(questions.products_by_price_class),
+    "filtered_price_gap": _filtered_prices(questions.price_gap_by_category),
+    "filtered_price_actions": _filtered_prices(questions.price_action_list),
     "products_by_price_class": _on_model(lambda m: questions.products_by_price_class(_prices(m))),
     "price_gap_by_category": _on_model(lambda m: questions.price_gap_by_category(_prices(m))),
     "price_action_list": _on_model(lambda m: questions.price_action_list(_prices(m))),

@@ -79,7 +79,7 @@ def revenue_reconciliation(silver: Mapping[str, DataFrame], marts: Mapping[str,
     names = ["customer_segments", "sales_time", "product_sales", "sales_detail"]
 
     def total(table: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.sum("revenue").cast("decimal(18,2)").alias("revenue")).select(
+        return df.agg(F.sum("revenue").cast("decimal(28,2)").alias("revenue")).select(
             F.lit(table).alias("table_name"), "revenue"
         )
 
@@ -100,16 +100,31 @@ def expectation_report(silver: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [check(silver[table], rules, table) for table, rules in RULES.items()])
 
 
-def documentation_audit(marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows, columns and undocumented columns of every mart."""
+def documentation_audit(marts: Mapping[str, DataFrame], extra_columns: Mapping[str, int] | None = None) -> DataFrame:
+    """Rows, columns and undocumented columns of every mart.
+
+    `extra_columns` adds columns that a table has when published but not in the given frame.
+    """
     missing = undocumented_columns(marts)
 
     def audit(name: str, df: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"),
             "row_count",
-            F.lit(len(df.columns)).cast("bigint").alias("column_count"),
+            F.lit(len(df.columns) + (extra_columns or {}).get(name, 0)).cast("bigint").alias("column_count"),
             F.lit(sum(1 for table, _ in missing if table == name)).cast("bigint").alias("undocumented_columns"),
         )
 
     return reduce(DataFrame.unionByName, [audit(name, df) for name, df in marts.items()])
+
+
+def raw_coverage(silver: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of every cleaned table and the items of all sales, to hold against the source."""
+    rows = [
+        df.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            (F.sum("quantity") if name == "sales" else F.lit(None).cast("bigint")).alias("items"),
+        ).select(F.lit(name).alias("table_name"), "row_count", "items")
+        for name, df in silver.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)

@@ -121,7 +121,7 @@ CUSTOMER_SEGMENTS = TableContract(
         _c("first_purchase", TIMESTAMP, "First sale, UTC; NULL for a customer who never bought."),
         _c("last_purchase", TIMESTAMP, "Latest sale, UTC; NULL for a customer who never bought."),
         _SEGMENT,
-        _not_additive("revenue_rank", INT, "Place by revenue, 1 = highest, without ties."),
+        _not_additive("revenue_rank", LONG, "Place by revenue, 1 = highest, without ties."),
     ),
 )
 
@@ -157,8 +157,8 @@ PRODUCT_SALES = TableContract(
         _c("items_sold", LONG, "Units sold."),
         _c("revenue", TOTAL, "Revenue of all sales."),
         _TICKET,
-        _not_additive("revenue_rank", INT, "Place by revenue over all products, 1 = highest, without ties."),
-        _not_additive("category_rank", INT, "Place by revenue within the category; products missing from the catalogue rank together."),
+        _not_additive("revenue_rank", LONG, "Place by revenue over all products, 1 = highest, without ties."),
+        _not_additive("category_rank", LONG, "Place by revenue within the category; products missing from the catalogue rank together."),
     ),
 )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +28,6 @@ START_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-_local_folders: dict[str, str] = {}
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
@@ -50,20 +46,18 @@ def build_session(app_name: str = "tallyhouse", master: str | None = None, **con
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where staged tables go: the folder named by `spark.checkpoint.dir`.
+    """Where staged tables go: the folder named by `spark.checkpoint.dir`, else one below the warehouse.
 
-    Executors on other machines must see it, so a temporary folder is used only
-    when Spark itself runs in local mode and nothing is set.
+    Both are places every executor can reach, whatever the master.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallyhouse-")
-    return _local_folders[context.applicationId]
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
+
+
+def _application_folder(spark: SparkSession):
+    """Hadoop path of everything this application stages, and its file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -80,11 +74,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.parquet(path)
+    # removed when the application ends, unless `drop_stages` does so earlier
+    folder, files = _application_folder(spark)
+    files.deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete everything this application staged; frames built on it can no longer be read."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = _application_folder(spark)
+    files.delete(folder, True)

@@ -1,10 +1,11 @@
 """The four raw tables, derived from the sample star schema.
 
 Every expression is deterministic, so an independent engine can derive the same
-rows. The defects a real source has are kept or built in: repeated sales with
-differing content, exact copies, stray spaces, honorifics, lower-case state
-codes, sales of products that are not in the catalogue, sales dated before the
-product was created, implausibly low competitor prices.
+rows. Every row of the given tables is used. The defects a real source has are
+built into values or into added rows: repeated sales, exact or with differing
+content, exact copies, stray spaces, honorifics, lower-case state codes, sales
+of products that are not in the catalogue, customers without a sale, sales dated
+before the product was created, implausibly low competitor prices.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # One exact copy is added to the rows that meet the condition.
 _COPIES = "explode(sequence(1, if({}, 2, 1))) AS copy"
@@ -19,26 +21,31 @@ _COPIES = "explode(sequence(1, if({}, 2, 1))) AS copy"
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/lineitem.parquet")
-    orders = spark.read.parquet(f"{folder}/orders.parquet").filter("o_custkey % 50 <> 49")
-    return items.join(orders, items.l_orderkey == orders.o_orderkey).selectExpr(
-        "concat_ws('-', l_orderkey, l_linenumber) AS sale_id",
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    sold = items.join(orders, items.l_orderkey == orders.o_orderkey)
+    # A repeated sale is an exact copy (copy 0 again) or a later version with one item more.
+    repeated = sold.withColumn(
+        "copy", F.expr("explode(CASE l_orderkey % 16 WHEN 0 THEN array(0, 0) WHEN 8 THEN array(0, 1) ELSE array(0) END)")
+    )
+    return repeated.selectExpr(
+        # The first two columns are no key of the sample table, and neither are the first four.
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity AS bigint),"
+        " datediff(l_shipdate, DATE '1990-01-01')) AS sale_id",
         "cast(o_orderdate + make_dt_interval(0, cast((l_orderkey * 7 + l_linenumber * 5) % 24 AS int)) AS timestamp)"
         " AS sold_at",
-        "cast(o_custkey AS string) AS customer_id",
-        "cast(l_partkey AS string) AS product_id",
+        "cast(if(o_custkey % 50 = 49, o_custkey - 1, o_custkey) AS string) AS customer_id",
+        "concat(if(l_partkey % 200 = 199, 'X', ''), l_partkey) AS product_id",
         "if(o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'), 'ecommerce', 'loja_fisica') AS channel",
-        "cast(l_quantity AS bigint) AS quantity",
+        "cast(l_quantity AS bigint) + copy AS quantity",
         "cast(cast(round(l_extendedprice * 100) AS bigint) div cast(l_quantity AS bigint) AS decimal(12,0)) * 0.01"
         " AS unit_price",
-        # Total order inside one repeated sale.
-        "l_partkey AS source_part",
-        "l_suppkey AS source_supplier",
-        "l_extendedprice AS source_price",
+        # Total order inside one repeated sale: the first version is kept.
+        "copy AS source_version",
     )
 
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
-    part = spark.read.parquet(f"{folder}/part.parquet").filter("p_partkey % 200 <> 199")
+    part = spark.read.parquet(f"{folder}/part.parquet")
     return part.selectExpr(
         "cast(p_partkey AS string) AS product_id",
         "concat(if(p_partkey % 3 = 0, ' ', ''), p_name) AS product_name",
@@ -69,10 +76,8 @@ def raw_customers(spark: SparkSession, folder: str, state_codes: Sequence[str])
 
 
 def raw_competitor_prices(spark: SparkSession, folder: str) -> DataFrame:
-    part = spark.read.parquet(f"{folder}/part.parquet").filter("p_partkey % 10 < 9 AND p_partkey % 200 <> 199")
-    offers = part.selectExpr("p_partkey", "p_retailprice", "explode(sequence(0, 3)) AS k").filter(
-        "(p_partkey + k) % 5 <> 0"
-    )
+    part = spark.read.parquet(f"{folder}/part.parquet")
+    offers = part.selectExpr("p_partkey", "p_retailprice", "explode(sequence(0, 3)) AS k")
     priced = offers.selectExpr(
         "*",
         "cast(cast(round(p_retailprice * 100) AS bigint) AS decimal(12,0)) * 0.01 AS own_price",

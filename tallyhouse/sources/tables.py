@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.contracts import TableContract, conform
 from tallyhouse.operators.expectations import Rule, abort_on_violation
+from tallyhouse.session import stage
 
 
 def read_folder(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
@@ -35,7 +36,10 @@ def materialize(
     """
     out = conform(abort_on_violation(df, list(rules), contract.name), contract)
     if cluster_by:
+        # range bounds come from a sample: taken from the written rows, not from a second run of their plan
+        out = stage(out, contract.name)
         out = out.repartitionByRange(cluster_by, *contract.grain).sortWithinPartitions(cluster_by, *contract.grain)
+    out = out.to(contract.schema)
     out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(out.schema).parquet(path)
 

@@ -51,7 +51,7 @@ def main() -> int:
     from tallyhouse import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    chosen = sys.argv[2:] or list(contract.queries())
+    chosen = sys.argv[2:] or list(contract.oracle_sql())
     spark = build_session("compare", "local[8]", **{"spark.driver.memory": "8g", "spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, queries, bad = duck(folder), contract.oracle_sql(), contract.queries(), 0
