@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,6 +17,7 @@ from tallyhouse import RetailModel, build_session  # noqa: E402
 from tallyhouse.plans.preset import SAMPLE  # noqa: E402
 from tallyhouse.plans.refresh import refresh_and_verify  # noqa: E402
 from tallyhouse.plans.registry import QUERIES  # noqa: E402
+from tallyhouse.session import drop_stages, stage_path  # noqa: E402
 
 HEADLINES = [
     "silver_products",
@@ -57,14 +57,12 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = sys.argv[1:] or HEADLINES
-    scratch = tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         "bench",
         f"local[{cpus}]",
         **{
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": cpus,
-            "spark.checkpoint.dir": scratch + "/stages",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -76,7 +74,8 @@ def main() -> None:
     times = {name: timed(lambda: run(name)) for name in chosen}
     if not sys.argv[1:]:
         raw = RetailModel.from_folder(spark, folder).raw
-        times["refresh_and_verify"] = timed(lambda: refresh_and_verify(raw, scratch + "/run", SAMPLE))
+        times["refresh_and_verify"] = timed(lambda: refresh_and_verify(raw, stage_path(spark, "run"), SAMPLE))
+    drop_stages(spark)
     spark.stop()
     print(
         json.dumps(
