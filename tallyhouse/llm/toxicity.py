@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,20 @@ class Model(NamedTuple):
     documents: np.ndarray  # toxic and clean training documents
 
 
+class Sparse(NamedTuple):
+    """A model as it travels: only the slots that toxic documents have."""
+
+    slot: np.ndarray
+    toxic: np.ndarray
+    clean: np.ndarray
+    documents: np.ndarray
+
+    def dense(self) -> Model:
+        tables = np.zeros((2, LEVELS * SLOTS), np.float32)
+        tables[0, self.slot], tables[1, self.slot] = self.toxic, self.clean
+        return Model(*tables.reshape(2, LEVELS, SLOTS), self.documents)
+
+
 class Law(NamedTuple):
     """P(best segment of n clean tokens >= s) = 1 - exp(-size * n * exp(-decay * s))"""
 
@@ -75,16 +90,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key // 2), pa.array(key % 2), pa.array(n)], ["slot", "toxic", "n"])
 
 
-def _fit(labelled: DataFrame) -> Model:
+def _fit(labelled: DataFrame) -> Sparse:
     """Grouped document counts; slots never seen in toxic documents need no counts of their own."""
     counted = labelled.mapInArrow(_count, "slot long, toxic long, n long")
     grouped = counted.groupBy("slot").agg(F.sum(F.col("n") * F.col("toxic")).alias("t"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("c"))
     end = LEVELS * SLOTS
     rows = grouped.where(f"t > 0 or slot = {end}").toPandas()  # at most LEVELS * SLOTS rows
-    toxic, clean = np.zeros(end + 1, np.float32), np.zeros(end + 1, np.float32)
-    toxic[rows["slot"]], clean[rows["slot"]] = rows["t"], rows["c"]
-    documents = np.array([toxic[end], clean[end]], float)
-    return Model(toxic[:end].reshape(LEVELS, SLOTS), clean[:end].reshape(LEVELS, SLOTS), documents)
+    total, token = rows[rows["slot"] == end], rows[rows["slot"] < end]
+    documents = np.array([total["t"].sum(), total["c"].sum()], float)
+    return Sparse(token["slot"].to_numpy(np.int32), token["t"].to_numpy(np.float32), token["c"].to_numpy(np.float32), documents)
 
 
 def token_scores(model: Model, w: Words, own: np.ndarray | None = None) -> np.ndarray:
@@ -156,10 +170,11 @@ def evidence(law: Law, n: np.ndarray, segments: list) -> np.ndarray:
     return np.array([sum(max(0.0, law.decay * s - f) for *_, s in found) for found, f in zip(segments, floor.tolist(), strict=True)])
 
 
-def _best(model: Model):
+def _best(sent: Broadcast):
     """Counts of clean documents by log2 of their length and by the score of their best segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value.dense()
         for batch in batches:
             for part in slices(batch, "text"):
                 toxic = np.asarray(part.column("toxic")).astype(np.int64)
@@ -173,10 +188,11 @@ def _best(model: Model):
     return run
 
 
-def _evidence(model: Model, law: Law):
+def _evidence(sent: Broadcast, law: Law):
     """Counts of documents by class and by their evidence on a logarithmic scale."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value.dense()
         for batch in batches:
             for part in slices(batch, "text"):
                 toxic = np.asarray(part.column("toxic")).astype(np.int64)
@@ -232,8 +248,9 @@ def fit_logistic(table: np.ndarray) -> tuple[float, float]:
 _SCORED = "doc_id long, score double, spans string"
 
 
-def _score(model: Model, law: Law, low: float, slope: float):
+def _score(sent: Broadcast, law: Law, low: float, slope: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value.dense()
         for batch in batches:
             for part in slices(batch, "text"):
                 n, found = _segments(model, part)
@@ -264,7 +281,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().where(~aside)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     labelled = written(docs.where(~aside).join(known, "doc_id").select("text", "toxic"), "labelled")
-    model = _fit(labelled)
+    # at most LEVELS * SLOTS entries of 12 bytes; sent once for all three passes
+    model = documents.sparkSession.sparkContext.broadcast(_fit(labelled))
     law = fit_law(_counted(labelled, _best(model), 64 * BINS).reshape(64, BINS))
     low, slope = fit_logistic(_counted(labelled, _evidence(model, law), 2 * BINS))
     scored = docs.mapInArrow(_score(model, law, low, slope), _SCORED)

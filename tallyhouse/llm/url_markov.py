@@ -91,7 +91,13 @@ def difference(models: Models, column: pa.Array) -> np.ndarray:
 
 
 def _score(models: Models):
+    seen = np.flatnonzero(models.counts)  # few of the slots: only these travel
+    values, totals = models.counts.ravel()[seen], models.totals
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(2 * (ORDER + 2) * SLOTS, np.float32)
+        counts[seen] = values
+        models = Models(counts.reshape(2, ORDER + 2, SLOTS), totals)
         for batch in batches:
             score = pa.array(difference(models, batch.column("text")))
             yield batch.append_column("score", score)
