@@ -70,4 +70,61 @@ QUERIES = {
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
     "op10_compact_window_passages": op10_compact_window_passages,
 }
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)
+), reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least_id AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(b, d.doc_id)) AS kept
+FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least_id ON least_id.a = d.doc_id
+"""
+
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_CONTAMINATION = f"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM items, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(i) WHERE len(w) > 0
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+), places AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM d JOIN (SELECT DISTINCT n FROM windows) ON len(w) >= n, unnest(range(1, len(w) - n + 2)) AS t(i)
+), found AS (
+  SELECT r, i, places.n, item FROM places JOIN windows ON windows.n = places.n AND windows.g = places.g
+), hits AS (
+  SELECT r, count(DISTINCT k) AS n FROM found, unnest(range(i, i + n)) AS t(k) GROUP BY r
+), listed AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hits.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(listed.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(hits.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON hits.r = d.r LEFT JOIN listed ON listed.r = d.r
+"""
+
+#: The other queries return what tokenizers, learned scores or chunk hashes make; tests hold them
+#: against brute force.
+SQL: dict[str, str] = {
+    "op8_circulant_minhash": _NEAR_DUPLICATES,
+    "op9_suffix_array_decontamination": _CONTAMINATION,
+}

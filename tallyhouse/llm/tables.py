@@ -17,11 +17,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table written once to the shared folder: lost executors re-read files."""
+    """`df` as a table written once to the shared folder: lost executors re-read files.
+
+    The files go when the application ends, or earlier by `discard`.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    own = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    path = f"{own}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    folder, files = _hadoop(spark, own)
+    files.deleteOnExit(folder)
     # Spark deletes shuffle files once their plan is garbage; the driver seldom collects by itself
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
@@ -29,8 +41,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete a table made by `written` that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, files = _hadoop(df.sparkSession, path)
+        files.delete(folder, True)
