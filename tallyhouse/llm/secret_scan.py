@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,20 +145,31 @@ def redact(documents: DataFrame, path: str | None = None, min_run: int = MIN_RUN
 
     Overlapping spans become one placeholder. Null texts stay null; other columns are untouched.
     """
+    docs = documents.withColumn("text", F.col("text").cast("string"))
+    docs = docs.withColumn("n_chars", F.col("n_chars").cast("long")) if "n_chars" in docs.columns else docs
+    return docs.mapInArrow(_clean(path, min_run, max_ratio), docs.schema)
 
-    @F.arrow_udf("string")
-    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+
+def _clean(path: str | None, min_run: int, max_ratio: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = None
-        for column in texts:
-            out = column.to_pylist()
-            full = pa.array([t or "" for t in out], pa.string())
-            for i in np.flatnonzero(_suspects(full, min_run)):
-                encode = encode or vocabulary(path)
-                out[i] = _replace(out[i], find_secrets(out[i], encode, min_run, max_ratio))
-            yield pa.array(out, pa.string())
-
-    out = documents.withColumn("text", clean(F.col("text").cast("string")))
-    return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in documents.columns else out
+        for batch in batches:
+            names = batch.schema.names
+            for part in slices(batch, "text"):
+                column = part.column("text")
+                suspects = np.flatnonzero(_suspects(column, min_run))
+                if len(suspects):
+                    encode = encode or vocabulary(path)
+                    texts = column.to_pylist()
+                    for i in suspects:
+                        texts[i] = texts[i] and _replace(texts[i], find_secrets(texts[i], encode, min_run, max_ratio))
+                    column = pa.array(texts, column.type)
+                columns = dict(zip(names, part.columns, strict=True)) | {"text": column}
+                if "n_chars" in columns:
+                    columns["n_chars"] = pc.utf8_length(column).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([columns[name] for name in names], names)
+
+    return run
 
 
 def _replace(text: str, spans: list[Span]) -> str:
