@@ -8,33 +8,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.decontam import contamination
+from tallyhouse.llm.decontam import without_contaminated
 from tallyhouse.llm.minhash import near_duplicates
 from tallyhouse.llm.packing import pack_documents
 from tallyhouse.llm.secret_scan import redact
 from tallyhouse.llm.tables import table, written
-from tallyhouse.llm.toxicity import toxicity
-
-
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not rejected; a null doc_id is never rejected."""
-    rejected = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, docs["doc_id"] == rejected["_rejected"], "left_anti")
+from tallyhouse.llm.toxicity import without_toxic
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted as toxic go."""
-    return _without(docs, toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays."""
-    return _without(docs, near_duplicates(docs).where("not kept"))
+    rejected = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_rejected")).distinct()
+    # rejected ids grow with the documents: the same join at every size; a null doc_id is never rejected
+    return docs.join(rejected.hint("merge"), docs["doc_id"] == rejected["_rejected"], "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
-    return _without(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,15 +111,28 @@ def _find(items: Items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SHARD_BYTES):
-                yield _shard(items, part)
+                n_words, edges, found = _shard(items, part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), n_words, edges, found], ["row", "doc_id", "n_words", "edges", "items"])
 
     return run
 
 
-def _shard(items: Items, part: pa.RecordBatch) -> pa.RecordBatch:
-    w = words(part.column("text"), LETTER_DIGIT)
+def _keep(items: Items):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SHARD_BYTES):
+                _, _, found = _shard(items, part.column("text"))
+                yield part.filter(pc.equal(pc.list_value_length(found), 0))
+
+    return run
+
+
+def _shard(items: Items, column: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Of each document: its words, the edges of its hit ranges, the items found in it."""
+    n = len(column)
+    w = words(column, LETTER_DIGIT)
     n_words = np.diff(w.first)
-    begin = w.first[:-1] + np.arange(part.num_rows)  # of each document among the codes
+    begin = w.first[:-1] + np.arange(n)  # of each document among the codes
     array = Suffixes(items.codes(w), items.window)
     low, high, length = array.search(items.patterns, items.size)
     whole = np.flatnonzero((length == items.size) & (length > 0))
@@ -139,12 +153,10 @@ def _shard(items: Items, part: pa.RecordBatch) -> pa.RecordBatch:
     names = pa.array(items.ids, pa.string())
 
     def lists(owner, values, each):
-        return pa.ListArray.from_arrays(pa.array((np.searchsorted(owner, np.arange(part.num_rows + 1)) * each).astype(np.int32)), values)
+        return pa.ListArray.from_arrays(pa.array((np.searchsorted(owner, np.arange(n + 1)) * each).astype(np.int32)), values)
 
-    return pa.RecordBatch.from_arrays(
-        [part.column("row"), part.column("doc_id"), pa.array(n_words, pa.int64()), lists(span_text, pa.array(span, pa.int64()), 2), lists(pair_text, names.take(pa.array(pair_item, pa.int64())), 1)],
-        ["row", "doc_id", "n_words", "edges", "items"],
-    )
+    found = lists(pair_text, names.take(pa.array(pair_item, pa.int64())), 1)
+    return pa.array(n_words, pa.int64()), lists(span_text, pa.array(span, pa.int64()), 2), found
 
 
 _FOUND = "row long, doc_id long, n_words long, edges array<long>, items array<string>"
@@ -168,14 +180,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).dropna()
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
-    found = None
-    for block in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toPandas()
-        here = docs.mapInArrow(_find(Items(mine["item_id"].tolist(), pa.array(mine["text"], pa.string()), window)), _FOUND)
-        found = here if found is None else found.unionByName(here)
+    found, blocks = None, 0
+    for items in _blocks(benchmark, window, block_bytes):
+        here = docs.mapInArrow(_find(items), _FOUND)
+        found, blocks = here if found is None else found.unionByName(here), blocks + 1
     if blocks > 1:
         found = found.groupBy("row", "doc_id", "n_words").agg(F.flatten(F.collect_list("edges")).alias("edges"), F.flatten(F.collect_list("items")).alias("items"))
         found = found.withColumn("edges", F.expr(_UNITE))
@@ -189,6 +197,24 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     )
 
 
+def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Items]:
+    """The windows of all items, in blocks of about `block_bytes` of text; one block at least."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).dropna()
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // block_bytes))
+    for block in range(blocks):
+        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toPandas()
+        yield Items(mine["item_id"].tolist(), pa.array(mine["text"], pa.string()), window)
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents without any window of an item, all columns as they are; nothing is shuffled."""
+    docs = documents.withColumn("text", F.col("text").cast("string"))
+    for items in _blocks(benchmark, window, block_bytes):
+        docs = docs.mapInArrow(_keep(items), docs.schema)
+    return docs
+
+
 #: Unites overlapping ranges given as begin, end, begin, end ...
 _UNITE = """
 aggregate(

@@ -8,7 +8,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import written
@@ -248,22 +248,62 @@ def fit_logistic(table: np.ndarray) -> tuple[float, float]:
 _SCORED = "doc_id long, score double, spans string"
 
 
-def _score(sent: Broadcast, law: Law, low: float, slope: float):
+class Judge(NamedTuple):
+    """Everything that scoring needs; the model is sent once for all passes."""
+
+    model: Broadcast
+    law: Law
+    low: float
+    slope: float
+
+    def scores(self, model: Model, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list]:
+        n, found = _segments(model, part)
+        odds = self.low + self.slope * np.log1p(evidence(self.law, n, found))
+        return 1 / (1 + np.exp(-np.clip(odds, -30, 30))), n, found
+
+
+def _score(judge: Judge):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value.dense()
+        model = judge.model.value.dense()
         for batch in batches:
             for part in slices(batch, "text"):
-                n, found = _segments(model, part)
-                score = 1 / (1 + np.exp(-np.clip(low + slope * np.log1p(evidence(law, n, found)), -30, 30)))
+                score, n, found = judge.scores(model, part)
                 spans = []
                 for size, segments in zip(n.tolist(), found, strict=True):
-                    strong = [s for s in segments if law.size * size * np.exp(-law.decay * s[2]) < SIGNIFICANT]
+                    strong = [s for s in segments if judge.law.size * size * np.exp(-judge.law.decay * s[2]) < SIGNIFICANT]
                     spans.append(",".join(f"{b}:{e}" for b, e, _ in strong))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score), pa.array(spans, pa.string())], ["doc_id", "score", "spans"])
 
     return run
 
 
+def _keep(judge: Judge, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = judge.model.value.dense()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield part.filter(pa.array(judge.scores(model, part)[0] < threshold))
+
+    return run
+
+
+def _aside() -> Column:
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("long").cast("string")), F.lit(3)) == 1, F.lit(False))
+
+
+def learn(documents: DataFrame, labels: DataFrame) -> Judge:
+    """Fits the model on labelled documents that are not held out."""
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().where(~_aside())
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # labels grow with the documents: the same join at every size
+    labelled = written(docs.where(~_aside()).join(known.hint("merge"), "doc_id").select("text", "toxic"), "labelled")
+    # at most LEVELS * SLOTS entries of 12 bytes
+    model = documents.sparkSession.sparkContext.broadcast(_fit(labelled))
+    law = fit_law(_counted(labelled, _best(model), 64 * BINS).reshape(64, BINS))
+    return Judge(model, law, *fit_logistic(_counted(labelled, _evidence(model, law), 2 * BINS)))
+
+
 def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, spans (significant passages, in tokens).
 
@@ -277,13 +317,11 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     labels of both classes every score is 0.5.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    aside = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().where(~aside)
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    labelled = written(docs.where(~aside).join(known, "doc_id").select("text", "toxic"), "labelled")
-    # at most LEVELS * SLOTS entries of 12 bytes; sent once for all three passes
-    model = documents.sparkSession.sparkContext.broadcast(_fit(labelled))
-    law = fit_law(_counted(labelled, _best(model), 64 * BINS).reshape(64, BINS))
-    low, slope = fit_logistic(_counted(labelled, _evidence(model, law), 2 * BINS))
-    scored = docs.mapInArrow(_score(model, law, low, slope), _SCORED)
-    return scored.select("doc_id", aside.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "spans")
+    scored = docs.mapInArrow(_score(learn(documents, labels)), _SCORED)
+    return scored.select("doc_id", _aside().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "spans")
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that `toxicity` does not predict as toxic, all columns as they are; nothing is shuffled for it."""
+    docs = documents.withColumn("text", F.col("text").cast("string"))
+    return docs.mapInArrow(_keep(learn(documents, labels), threshold), docs.schema)

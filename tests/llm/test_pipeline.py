@@ -1,7 +1,6 @@
 import brute
 import corpus_pipeline
 
-from tallyhouse.llm.decontam import contamination
 from tallyhouse.llm.toxicity import toxicity
 
 SMALL = "/root/testdata/sf0.001"
@@ -48,4 +47,4 @@ def test_awkward_documents_pass_all_stages(spark, documents, tmp_path):
 
 def test_stage_list():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_near_dedup", "benchmark_decontamination", "secret_scans", "packing"]
-    assert corpus_pipeline.ORACLE_SQL is None and contamination
+    assert corpus_pipeline.ORACLE_SQL is None
