@@ -81,9 +81,8 @@ def _sketch(rows: int, bands: int):
                         pa.array((total[first[1:]] - total[first[:-1]]).view(np.int64)),
                         pa.array((other[first[1:]] - other[first[:-1]]).view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(band.reshape(-1).view(np.int64))),
-                        pa.array([row.tobytes() for row in signature.astype(np.uint8)], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "digest_1", "digest_2", "bands", "low"],
+                    ["doc_id", "n_shingles", "digest_1", "digest_2", "bands"],
                 )
 
     return run
@@ -116,7 +115,35 @@ def _verify(percent: int):
     return run
 
 
-def _compare(percent: int, floor: float):
+def shared_counts(first: list[np.ndarray], second: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many members each set of `first` shares with each of `second`.
+
+    Only members found on both sides count; they are taken `width` at a time, as columns of two
+    0/1 matrices whose product is added up, so memory is bounded whatever the sets' sizes.
+    """
+    sides = []
+    for sets in (first, second):
+        member = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        sides.append((member, np.repeat(np.arange(len(sets)), [len(s) for s in sets])))
+    common = np.intersect1d(np.unique(sides[0][0]), np.unique(sides[1][0]), assume_unique=True)
+    places = []
+    for member, owner in sides:
+        at = np.searchsorted(common, member)
+        known = common[np.minimum(at, max(len(common) - 1, 0))] == member if len(common) else np.zeros(len(member), bool)
+        places.append((at[known], owner[known]))
+    out = np.zeros((len(first), len(second)), np.float32)
+    for begin in range(0, len(common), width):
+        blocks = []
+        for (at, owner), sets in zip(places, (first, second), strict=True):
+            here = (at >= begin) & (at < begin + width)
+            block = np.zeros((len(sets), width), np.float32)
+            block[owner[here], at[here] - begin] = 1
+            blocks.append(block)
+        out += blocks[0] @ blocks[1].T
+    return out
+
+
+def _compare(percent: int):
     """Links between two blocks of one bucket (or inside one): as many as join their components, no more."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -124,31 +151,36 @@ def _compare(percent: int, floor: float):
         ids, component, n, block = (np.asarray(table.column(c)) for c in ("id", "component", "n_shingles", "block"))
         band, i, j, pivot = (table.column(c)[0].as_py() for c in ("band", "i", "j", "pivot"))
         bands = np.array(table.column("bands").to_pylist(), np.int64)
-        low = np.frombuffer(b"".join(table.column("low").to_pylist()), np.uint8).reshape(len(ids), -1)
-        members = [np.frombuffer(m, np.uint64) for m in table.column("members").to_pylist()]
-        parent = {c: c for c in component.tolist()}
-
-        def root(c):
-            while parent[c] != c:
-                parent[c] = c = parent[parent[c]]
-            return c
-
-        out = []
         first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for x in first.tolist():
-            if ids[x] == pivot:
-                continue
-            others = second[(second > x) | (i != j)]
-            others = others[(component[others] != component[x]) & (ids[others] != pivot)]
-            others = others[100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x])]
-            # a pair that also meets in an earlier band is compared there
-            others = others[~(bands[others, :band] == bands[x, :band]).any(1)]
-            likeness = (low[others] == low[x]).mean(1)
-            for y in others[np.argsort(-likeness, kind="stable")][: int((likeness >= floor).sum())].tolist():
-                p, q = root(int(component[x])), root(int(component[y]))
-                if p != q and _similar(members[x], members[y], percent):
+        open_ = component[first][:, None] != component[second][None]
+        # pairs with the pivot are done; inside a block each pair counts once
+        open_ &= (ids[first] != pivot)[:, None] & (ids[second] != pivot)[None]
+        open_ &= (first[:, None] < second[None]) | (i != j)
+        least = np.minimum(n[first][:, None], n[second][None])
+        open_ &= 100 * least >= percent * np.maximum(n[first][:, None], n[second][None])
+        # a pair that also meets in an earlier band is compared there
+        for b in range(band):
+            open_ &= bands[first, b][:, None] != bands[second, b][None]
+        first, second, open_ = first[open_.any(1)], second[open_.any(0)], open_[open_.any(1)][:, open_.any(0)]
+        out = []
+        if open_.size:
+            members = table.column("members")
+            one, two = ([np.frombuffer(members[k].as_buffer(), np.uint64) for k in side.tolist()] for side in (first, second))
+            both = shared_counts(one, two)
+            linked = open_ & (100 * both >= percent * (n[first][:, None] + n[second][None] - both))
+            parent = {c: c for c in component.tolist()}
+
+            def root(c):
+                while parent[c] != c:
+                    parent[c] = c = parent[parent[c]]
+                return c
+
+            for x, y in zip(*np.nonzero(linked), strict=True):
+                p, q = root(int(component[first[x]])), root(int(component[second[y]]))
+                if p != q:
                     parent[max(p, q)] = min(p, q)
-                    out.append((int(max(ids[x], ids[y])), int(min(ids[x], ids[y]))))
+                    pair = int(ids[first[x]]), int(ids[second[y]])
+                    out.append((max(pair), min(pair)))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     return run
@@ -165,19 +197,19 @@ def near_duplicates(documents: DataFrame, percent: int = 85, rows: int = ROWS, b
       of exact copies, however large, cost one grouped minimum.
     * In each band bucket all classes are first compared with the bucket's smallest id only.
     * Buckets whose classes are then still in different components are compared exhaustively, in
-      pairs of blocks of about BLOCK classes: only classes of different components, only in the
-      first band that a pair shares, and not when their signatures are far below
-      the threshold (an error of six standard deviations). A block pair returns no more
-      links than join its components, so no pairs are emitted and nothing is capped.
+      pairs of blocks of about BLOCK classes: only classes of different components, and only in the
+      first band that a pair shares. All shared counts of a block pair are one matrix
+      product; it returns no more links than join its components, so no pairs are emitted and
+      nothing is capped.
     * Null and empty texts and texts without words have no shingles, are linked with
       nothing and are their own component. Repeated doc_ids stay repeated rows of one
       document. A null doc_id is nobody's smallest id: it joins no component
       and its row has a null component_id and kept = true.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sketch = written(docs.mapInArrow(_sketch(rows, bands), "doc_id long, n_shingles long, digest_1 long, digest_2 long, bands array<long>, low binary"), "sketch")
+    sketch = written(docs.mapInArrow(_sketch(rows, bands), "doc_id long, n_shingles long, digest_1 long, digest_2 long, bands array<long>"), "sketch")
     key = ["n_shingles", "digest_1", "digest_2"]
-    classes = written(sketch.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("low").alias("low")), "classes")
+    classes = written(sketch.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
     member = classes.select("id", "n_shingles", F.posexplode("bands").alias("band", "value"))
     # a bucket with one class proposes nothing
     full = member.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1")
@@ -186,11 +218,11 @@ def near_duplicates(documents: DataFrame, percent: int = 85, rows: int = ROWS, b
     sets = written(docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "id long, members binary"), "sets")
     star = _star(buckets, sets, percent)
     settled = written(components(star), "settled")
-    more = _rest(buckets, classes, settled, sets, percent, rows * bands)
+    more = _rest(buckets, classes, settled, sets, percent)
     if not more.isEmpty():
         settled = written(components(star.unionByName(more)), "settled")
     label = classes.join(settled, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
-    out = sketch.drop("bands", "low").join(label, key, "left")
+    out = sketch.drop("bands").join(label, key, "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -208,7 +240,7 @@ def _star(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return written(pairs.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
 
 
-def _rest(buckets: DataFrame, classes: DataFrame, settled: DataFrame, sets: DataFrame, percent: int, coordinates: int) -> DataFrame:
+def _rest(buckets: DataFrame, classes: DataFrame, settled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Verified links between different components that meet in a bucket, beyond those of `_star`."""
     named = buckets.join(settled, "id", "left").withColumn("component", F.coalesce("component", "id"))
     key = ["band", "value"]
@@ -216,9 +248,7 @@ def _rest(buckets: DataFrame, classes: DataFrame, settled: DataFrame, sets: Data
     mixed = mixed.where("least <> most and size > 2").select(*key, "size", "pivot")
     here = named.join(mixed, key).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     here = here.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    here = here.join(classes.select("id", "bands", "low"), "id").join(sets, "id")
+    here = here.join(classes.select("id", "bands"), "id").join(sets, "id")
     meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j"))))
-    here = here.withColumn("meets", meets).select(*key, "meets.*", "block", "pivot", "id", "component", "n_shingles", "bands", "low", "members")
-    share = percent / 100
-    floor = share - 6 * (share * (1 - share) / coordinates) ** 0.5
-    return written(here.groupBy(*key, "i", "j").applyInArrow(_compare(percent, floor), "a long, b long"), "links")
+    here = here.withColumn("meets", meets).select(*key, "meets.*", "block", "pivot", "id", "component", "n_shingles", "bands", "members")
+    return written(here.groupBy(*key, "i", "j").applyInArrow(_compare(percent), "a long, b long"), "links")

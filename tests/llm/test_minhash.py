@@ -1,6 +1,7 @@
 import brute
+import numpy as np
 
-from tallyhouse.llm.minhash import near_duplicates
+from tallyhouse.llm.minhash import near_duplicates, shared_counts
 from tallyhouse.llm.queries import QUERIES
 
 
@@ -36,3 +37,11 @@ def test_chain_of_near_copies_in_one_bucket(documents):
 def test_empty_table(documents, spark):
     assert near_duplicates(documents([(1, "x")]).where("false")).collect() == []
     assert near_duplicates(documents([(1, None)])).collect() == [(1, 0, 1, True)]
+
+
+def test_shared_counts():
+    generator = np.random.default_rng(1)
+    sets = [np.unique(generator.integers(0, 60, size).astype(np.uint64)) for size in (0, 5, 30, 200, 17, 1)]
+    for width in (7, 4096):
+        found = shared_counts(sets[:4], sets[2:], width)
+        assert found.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[2:]] for a in sets[:4]]
