@@ -26,15 +26,14 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
-# what is long and hard to compress without being a secret
+# what is long and hard to compress without being a secret; of names, the tokenizer knows the words
 _DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}|[0-9A-F]{128})\Z")
-_IDENTIFIER = re.compile(r"(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})\Z|(?:(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+)[0-9]{0,4}+[-_/+=]*+)++\Z|[0-9+/_=-]+\Z|(?:sha(?:1|256|384|512)|md5)[-=]")
+_IDENTIFIER = re.compile(r"(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})\Z|[0-9+/_=-]+\Z|(?:sha(?:1|256|384|512)|md5)[-=]")
 
 # gates: which texts may hold anything at all, found on bytes
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _IN_RUN = byte_class(lambda c: c.isalnum() or c in "+/_=-") & (np.arange(256) < 128)
 _IN_HEX = byte_class(lambda c: c in "0123456789abcdef") & (np.arange(256) < 128)
-_IS_DIGIT = (np.arange(256) >= 48) & (np.arange(256) <= 57)
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -67,7 +66,7 @@ def find_secrets(text: str, encode: Callable[[str], list[int]], min_run: int = M
 
 
 def _suspects(column: pa.Array, min_run: int) -> np.ndarray:
-    """Which texts have a keyword, a long hexadecimal run, or a long run with a digit."""
+    """Which texts have a keyword, a long hexadecimal run, or a long run: no other text has a span."""
     data, at = text_bytes(column)
     lower = LOWER[data].tobytes()
     places = []
@@ -76,14 +75,11 @@ def _suspects(column: pa.Array, min_run: int) -> np.ndarray:
         while i >= 0:
             places.append(i)
             i = lower.find(word, i + 1)
-    digits = np.concatenate([[0], np.cumsum(_IS_DIGIT[data])])
-    for member, least, digit in ((_IN_HEX, 32, False), (_IN_RUN, min_run, True)):
+    for member, least in ((_IN_HEX, 32), (_IN_RUN, min_run)):
         inside = np.concatenate([[0], member[data].view(np.int8), [0]])
         edge = np.flatnonzero(np.diff(inside))
         start, end = edge[::2], edge[1::2]
         keep = end - start >= least
-        if digit:
-            keep &= digits[end] > digits[start]
         places += start[keep].tolist()
         # a run may begin in one text and go on in the next
         inner = at[1:-1]
@@ -129,8 +125,7 @@ def scan_secrets(documents: DataFrame, path: str | None = None, min_run: int = M
 
     Beside the known shapes, a long run of letters, digits and + / _ = - counts as random when the
     vocabulary needs a token for fewer than `max_ratio` of its characters, unless
-    it is a digest of a usual length, a UUID, a name made of letters with short numbers, or
-    a number. Rows are scanned where they are read. Null and empty texts have no
+    it is a digest of a usual length, a UUID, or a number. Names of known words need fewer tokens. Rows are scanned where they are read. Null and empty texts have no
     span; repeated rows are repeated results.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

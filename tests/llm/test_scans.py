@@ -1,9 +1,11 @@
 import hashlib
+import random
+import string
 
 import brute
 
 from tallyhouse.llm.pii import personal_data
-from tallyhouse.llm.secret_scan import PLACEHOLDER, find_secrets, redact, scan_secrets, vocabulary
+from tallyhouse.llm.secret_scan import PLACEHOLDER, find_secrets, listed, redact, scan_secrets, vocabulary
 
 SECRETS = [
     'x token = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B" y',
@@ -85,3 +87,26 @@ def test_empty_tables(documents):
     assert scan_secrets(none).collect() == [] and personal_data(none).collect() == [] and redact(none).collect() == []
     assert scan_secrets(documents([(None, None)])).collect() == [(None, 0, 0, 0, empty, "", 0)]
     assert personal_data(documents([(None, None)])).collect() == [(None, 0, 0, 0, 0, empty, "", 0)]
+
+
+def random_runs():
+    """(doc_id, text) rows: a random run without digits, and a base36 one, alone in each text."""
+    generator = random.Random(7)
+    alphabets = (string.ascii_letters, string.ascii_lowercase + string.digits, string.ascii_uppercase)
+    return [(i, f"see {''.join(generator.choices(alphabets[i % 3], k=24))} here") for i in range(90)]
+
+
+def test_gated_spans_equal_ungated_ones(documents, sample):
+    encode = vocabulary(None)
+    rows = random_runs() + [(100 + i, t) for i, t in enumerate(SECRETS)] + [(1000 + i, t) for i, t in sample]
+    found = {r.doc_id: r.spans for r in scan_secrets(documents(rows)).collect()}
+    assert found == {i: listed(find_secrets(t or "", encode)) for i, t in rows}
+
+
+def test_random_runs_alone_in_a_text_are_found(documents):
+    rows = random_runs()
+    assert sum(r.n_random for r in scan_secrets(documents(rows)).collect()) >= 88
+    assert sum(r.text == f"see {PLACEHOLDER} here" for r in redact(documents(rows)).collect()) >= 88
+    names = ["AbstractAuthenticationProviderFactory", "get_current_user_account_settings", "en/wp-content/uploads/gallery/summer", "internationalization"]
+    encode = vocabulary(None)
+    assert [find_secrets(name, encode) for name in names] == [[]] * len(names)
