@@ -7,7 +7,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
-SMALL = "/root/testdata/sf0.001"
+from explain import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -36,10 +36,3 @@ def small(spark):
 
     return RetailModel.from_folder(spark, SMALL, staged=ALL_TABLES)
 
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def optimized(df) -> str:
-    return df._jdf.queryExecution().optimizedPlan().toString()

@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from conftest import optimized, plan
+from explain import optimized, plan
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException

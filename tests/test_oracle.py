@@ -2,7 +2,7 @@
 
 import pytest
 from compare import duck, oracle_rows, spark_rows
-from conftest import SMALL, plan
+from explain import SMALL, plan
 
 import __spark_entry__ as contract
 from tallyhouse.plans.registry import QUERIES

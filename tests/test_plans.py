@@ -1,7 +1,7 @@
 """The plans Spark makes of the questions."""
 
 import pytest
-from conftest import SMALL, optimized, plan
+from explain import SMALL, optimized, plan
 
 from tallyhouse.operators.dedup import dedup_dimension
 from tallyhouse.operators.joins import lookup

@@ -177,7 +177,7 @@ def test_reconciliation_table(shop):
 
 
 def test_suite_reads_each_table_once(shop):
-    from conftest import optimized
+    from explain import optimized
 
     tables = {**shop.silver, **shop.marts}
     text = optimized(suite.retail_quality(shop.silver, shop.marts, PRESET))

@@ -3,7 +3,7 @@ import os
 from decimal import Decimal as D
 
 import pytest
-from conftest import plan
+from explain import plan
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from shop import CUSTOMERS, PRESET, raw_shop

@@ -2,7 +2,7 @@
 
 from types import SimpleNamespace
 
-from conftest import plan
+from explain import plan
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import money
