@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .chunk_fingerprint import chunk_fingerprints
 from .decontam import contamination
@@ -11,6 +12,7 @@ from .minhash import near_duplicates
 from .packing import pack_documents
 from .passages import repeated_passages
 from .pii import personal_data
+from .piece_table import decode_documents, encode_documents
 from .secret_scan import scan_secrets
 from .tables import table
 from .toxicity import toxicity
@@ -58,6 +60,14 @@ def op10_compact_window_passages(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(table(spark, folder, "documents"))
 
 
+def op13_distinct_chunk_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    found = decode_documents(encode_documents(table(spark, folder, "documents")))
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_url_language_models": op1_url_language_models,
     "op2_template_extraction": op2_template_extraction,
@@ -69,6 +79,7 @@ QUERIES = {
     "op8_circulant_minhash": op8_circulant_minhash,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
     "op10_compact_window_passages": op10_compact_window_passages,
+    "op13_distinct_chunk_pieces": op13_distinct_chunk_pieces,
 }
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
