@@ -2,29 +2,30 @@
 
 No piece of the vocabulary holds a white-space marker after another character, so a text
 in which blanks are markers can be cut before every run of markers without changing its
-pieces. A corpus repeats such marked words very often. So texts are read once, in blocks:
-a block keeps the list of its distinct chunks, and of every text only the place of each
-chunk in that list. Spark then makes the distinct chunks of all blocks one table, each is
-segmented once, and the ids are joined back to the lists of the blocks, where they replace
-the places. What is shuffled are the lists (a frequent chunk is there once per block, not
-once per occurrence) and two bytes or four per chunk of a text.
+pieces. A corpus repeats such marked words very often. So every block of texts is reduced to the
+list of its distinct chunks, and every text to the places of its chunks in that list. The lists
+are dealt out by the chunks' hashes: what blocks share meets in one bucket of the table, where each
+distinct chunk is segmented once. The ids go back to the blocks as lists in the same order and
+replace the places. A frequent chunk is sent once per block, not once per occurrence.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import written
 from .words import slices
 
 MARK = "▁"
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 16 << 20
+BUCKET_BYTES = 16 << 20
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -58,79 +59,130 @@ def chunk_encoder(processor) -> Callable[[list[str]], list[list[int]]]:
     return encode
 
 
-def _blocks(block_bytes: int):
-    """Rows of two kinds: (block, code, chunk) for the list of a block, (block, doc_id, places) for a text."""
-    names = ["block", "doc_id", "places", "code", "chunk"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.string()]
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned integers in the fewest bytes each, byte by byte, so that equal high bytes lie together."""
+    width = next(w for w in (1, 2, 4, 8) if not len(values) or int(values.max()) < 1 << 8 * w)
+    return bytes([width]) + values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
 
+
+def unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    return np.frombuffer(data, np.uint8, offset=1).reshape(width, -1).T.copy().view(f"<u{width}")[:, 0]
+
+
+class _Block:
+    """The distinct chunks of some texts, in the order of their buckets, and the places of each text's chunks."""
+
+    def __init__(self, part: pa.RecordBatch, number: int, buckets: int):
+        self.id = (part.column("part")[0].as_py() << 33) + number
+        known: dict[str, int] = {}
+        places = [[known.setdefault(c, len(known)) for c in marked_chunks(text.as_py())] for text in part.column("text")]
+        chunks = [chunk.encode() for chunk in known]
+        bucket = np.array([zlib.crc32(chunk) % buckets for chunk in chunks], np.int64)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.uint64)
+        place[order] = np.arange(len(order), dtype=np.uint64)
+        self.chunks = [chunks[i] for i in order]
+        self.places = [place[p] for p in places]
+        self.buckets, self.begin = np.unique(bucket[order], return_index=True)
+        self.digest = zlib.crc32(b"\x00".join(self.chunks))
+
+
+def _read(block_bytes: int, buckets: int, rows_of: Callable, names: list[str], kinds: list[pa.DataType]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = 0
         for batch in batches:
             for part in slices(batch, "text", block_bytes):
-                block = (part.column("part")[0].as_py() << 33) + blocks
+                columns = rows_of(_Block(part, blocks, buckets), part)
                 blocks += 1
-                known: dict[str, int] = {}
-                places = [[known.setdefault(c, len(known)) for c in marked_chunks(text.as_py())] for text in part.column("text")]
-                width = np.uint16 if len(known) <= 1 << 16 else np.uint32
-                texts, chunks = len(places), len(known)
-                columns = [
-                    [block] * (texts + chunks),
-                    part.column("doc_id").to_pylist() + [None] * chunks,
-                    [np.array(p, width).tobytes() for p in places] + [None] * chunks,
-                    [None] * texts + list(range(chunks)),
-                    [None] * texts + list(known),
-                ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return run
 
 
+_LISTS = "bucket long, block long, digest long, sizes binary, chunks binary"
+_TEXTS = "of long, seen long, doc_id long, places binary"
+_IDS = "block long, digest long, bucket long, sizes binary, ids binary"
+_BINARY_LISTS = [pa.int64()] * 3 + [pa.binary()] * 2
+
+
+def _list_rows(block: _Block, part: pa.RecordBatch):
+    edges = [*block.begin.tolist(), len(block.chunks)]
+    lists = [block.chunks[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+    n = len(lists)
+    sizes = [packed(np.array([len(c) for c in chunks], np.uint64)) for chunks in lists]
+    return block.buckets, [block.id] * n, [block.digest] * n, sizes, [b"".join(chunks) for chunks in lists]
+
+
+def _text_rows(block: _Block, part: pa.RecordBatch):
+    n = part.num_rows
+    return [block.id] * n, [block.digest] * n, part.column("doc_id").to_pylist(), [packed(p) for p in block.places]
+
+
 def _segment(path: str | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = chunk_encoder(piece_processor(path))
-        for batch in batches:
-            ids = encode(batch.column("chunk").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(ids, pa.list_(pa.int32()))], ["chunk", "ids"])
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        """The ids of all lists of one bucket; a chunk that several blocks hold is segmented once."""
+        known: dict[bytes, int] = {}
+        lists = []
+        for sizes, chunks in zip(rows.column("sizes").to_pylist(), rows.column("chunks").to_pylist(), strict=True):
+            end = np.cumsum(unpacked(sizes).astype(np.int64)).tolist()
+            lists.append([known.setdefault(chunks[a:b], len(known)) for a, b in zip([0, *end], end, strict=False)])
+        found = chunk_encoder(piece_processor(path))([chunk.decode() for chunk in known])
+        size = np.array([len(ids) for ids in found], np.int64)
+        flat, end = np.array([i for ids in found for i in ids], np.uint64), np.cumsum(size)
+        out = rows.select(["block", "digest", "bucket"])
+        out = out.append_column("sizes", pa.array([packed(size[codes].astype(np.uint64)) for codes in lists], pa.binary()))
+        return out.append_column("ids", pa.array([packed(_taken(flat, size, end, np.array(codes))) for codes in lists], pa.binary()))
 
     return run
 
 
-def _put_back(key, texts: pa.Table, chunks: pa.Table) -> pa.Table:
+def _taken(flat: np.ndarray, size: np.ndarray, end: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The runs of `flat` with the given numbers, one after the other."""
+    count = size[codes]
+    stop = np.cumsum(count)
+    return flat[np.arange(stop[-1] if len(stop) else 0) + np.repeat(end[codes] - stop, count)]
+
+
+def _put_back(key: tuple[pa.Scalar, ...], texts: pa.Table, lists: pa.Table) -> pa.Table:
     """The ids of the texts of one block."""
-    chunks = chunks.sort_by("code").combine_chunks()
-    ids = chunks.column("ids").combine_chunks() if chunks.num_rows else pa.array([], pa.list_(pa.int32()))
-    begin = np.asarray(ids.offsets).astype(np.int64)
-    flat, size = np.asarray(ids.values), np.diff(begin)
-    width = np.uint16 if len(size) <= 1 << 16 else np.uint32
-    places = [np.frombuffer(p.as_py(), width) for p in texts.column("places")]
-    code = np.concatenate(places) if places else np.zeros(0, width)
-    count = size[code]
-    end = np.cumsum(count)
-    out = flat[np.arange(end[-1] if len(end) else 0) + np.repeat(begin[:-1][code] - end + count, count)]
-    edges = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum([len(p) for p in places])]).astype(np.int64)]
-    lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(out, pa.int32()))
-    return pa.table({"doc_id": texts.column("doc_id"), "ids": lists})
-
-
-def encode_documents(documents: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    lists = lists.sort_by("bucket")
+    if any(set(lists.column("digest").to_pylist()) - {seen} for seen in texts.column("seen").to_pylist()):
+        raise ValueError("the documents changed between two reads; write them to a table first")
+    size = np.concatenate([np.zeros(0, np.int64), *(unpacked(x).astype(np.int64) for x in lists.column("sizes").to_pylist())])
+    flat = np.concatenate([np.zeros(0, np.int32), *(unpacked(x).astype(np.int32) for x in lists.column("ids").to_pylist())])
+    end = np.cumsum(size)
+    ids = [_taken(flat, size, end, unpacked(p).astype(np.int64)) for p in texts.column("places").to_pylist()]
+    edges = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
+    values = pa.array(np.concatenate(ids) if ids else flat, pa.int32())
+    return pa.table({"doc_id": texts.column("doc_id"), "ids": pa.ListArray.from_arrays(edges, values)})
+
+
+def encode_documents(
+    documents: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
     """One row per document: doc_id, ids (array of int), exactly what the library's `encode` returns.
 
     Null and empty texts have no ids. The marker character itself is read as a blank, as the
     library does. Repeated rows are encoded each on its own; other columns are not read, so their
     names may clash with nothing. A text longer than `block_bytes` is a block of its own, and a text
     without blanks one chunk. An empty table gives an empty one.
+
+    The documents are read three times (their size, the lists, the places), so they must be the same rows
+    in the same order each time, as a table in files is; the blocks' digests are compared, and a change
+    raises an error. The number of buckets grows with the text: `bucket_bytes` of text make one.
     """
     docs = documents.select(
         F.spark_partition_id().cast("long").alias("part"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    rows = docs.mapInArrow(_blocks(block_bytes), "block long, doc_id long, places binary, code int, chunk string")
-    rows = written(rows, "chunk_blocks")
-    listed = rows.where("chunk is not null").select("block", "code", "chunk")
-    segmented = listed.select("chunk").distinct().mapInArrow(_segment(path), "chunk string, ids array<int>")
-    ids = listed.join(segmented.hint("merge"), "chunk").select("block", "code", "ids")
-    texts = rows.where("chunk is null").select(F.col("block").alias("of"), "doc_id", "places")
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    buckets = max(1, -(-total // bucket_bytes))
+    read = partial(_read, block_bytes, buckets)
+    lists = docs.mapInArrow(read(_list_rows, [c.split()[0] for c in _LISTS.split(", ")], _BINARY_LISTS), _LISTS)
+    texts = docs.mapInArrow(read(_text_rows, [c.split()[0] for c in _TEXTS.split(", ")], [*[pa.int64()] * 3, pa.binary()]), _TEXTS)
+    ids = lists.groupBy("bucket").applyInArrow(_segment(path), _IDS)
     return texts.groupBy("of").cogroup(ids.groupBy("block")).applyInArrow(_put_back, "doc_id long, ids array<int>")
 
 

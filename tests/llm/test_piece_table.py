@@ -1,9 +1,11 @@
 """Chunk-wise SentencePiece ids and decoded texts equal the library's."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from explain import SMALL
 
-from tallyhouse.llm.piece_table import decode_documents, encode_documents, marked_chunks, piece_processor
+from tallyhouse.llm.piece_table import _put_back, decode_documents, encode_documents, marked_chunks, packed, piece_processor, unpacked
 from tallyhouse.llm.queries import op13_distinct_chunk_pieces
 
 AWKWARD = [
@@ -22,10 +24,10 @@ def expected(library, text):
     return ids, library.decode(ids)
 
 
-@pytest.mark.parametrize("block_bytes", [64, 1 << 21])
-def test_awkward_texts(documents, library, block_bytes):
+@pytest.mark.parametrize(("block_bytes", "bucket_bytes"), [(64, 1 << 24), (1 << 24, 5_000)])
+def test_awkward_texts(documents, library, block_bytes, bucket_bytes):
     rows = [(i, text) for i, text in enumerate(AWKWARD)] + [(7, None), (None, "a b"), (3, "a "), (3, "a ")]
-    found = decode_documents(encode_documents(documents(rows), block_bytes=block_bytes)).collect()
+    found = decode_documents(encode_documents(documents(rows), block_bytes=block_bytes, bucket_bytes=bucket_bytes)).collect()
     want = [(i, *expected(library, text)) for i, text in rows]
     assert sorted(map(repr, ((r.doc_id, list(r.ids), r.text) for r in found))) == sorted(map(repr, want))
 
@@ -44,6 +46,20 @@ def test_chunks_join_to_the_marked_text():
         assert "".join(marked_chunks(text)) == ("▁" + text.replace(" ", "▁") if text else "")
 
 
+@pytest.mark.parametrize("top", [0, 255, 256, 65_536, 1 << 40])
+def test_packed_numbers(top):
+    values = np.array([0, top, 3, top // 2], np.uint64)
+    assert unpacked(packed(values)).tolist() == values.tolist()
+    assert unpacked(packed(values[:0])).tolist() == []
+
+
+def test_a_changed_read_is_refused():
+    texts = pa.table({"doc_id": [1], "seen": [5], "places": pa.array([packed(np.array([0], np.uint64))])})
+    lists = pa.table({"digest": [6], "bucket": [0], "sizes": [b"\x01\x01"], "ids": [b"\x01\x07"]})
+    with pytest.raises(ValueError, match="changed"):
+        _put_back(None, texts, lists)
+
+
 def test_null_ids_decode_to_nothing(spark):
     rows = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [(r.doc_id, r.text) for r in decode_documents(rows).orderBy("doc_id").collect()] == [(1, ""), (2, "")]
