@@ -42,14 +42,9 @@ class WordIds(dict):
         return ids
 
 
-def byte_level_encoder(path: str | None) -> Callable[[str], list[int]]:
-    """Encoder for a byte-level vocabulary in the JSON format of `tokenizers`.
-
-    The ids equal those of that library (the tests compare them); the ranks of this kind of
-    vocabulary are its ids, so the merges can be run by the faster tiktoken.
-    """
+def byte_level_ranks(path: str | None) -> dict[bytes, int]:
+    """The ids of a byte-level vocabulary in the JSON format of `tokenizers`, by the bytes of their tokens."""
     import public_tokenizers
-    import tiktoken
 
     with open(path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         data = json.load(file)
@@ -58,7 +53,19 @@ def byte_level_encoder(path: str | None) -> Callable[[str], list[int]]:
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
     byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-    ranks = {bytes(byte[c] for c in token): i for token, i in data["model"]["vocab"].items() if token not in special}
+    return {bytes(byte[c] for c in token): i for token, i in data["model"]["vocab"].items() if token not in special}
+
+
+def byte_level_encoder(path: str | None) -> Callable[[str], list[int]]:
+    """Encoder for such a vocabulary.
+
+    The ids equal those of that library (the tests compare them); the ranks of this kind of
+    vocabulary are its ids, so the merges can be run by the faster tiktoken.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    ranks = byte_level_ranks(path)
     return tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 

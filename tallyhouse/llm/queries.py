@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ball_tree import ranked_search
 from .chunk_fingerprint import chunk_fingerprints
 from .decontam import contamination
 from .html_template import extract_main_text
@@ -15,6 +16,7 @@ from .pii import personal_data
 from .piece_table import decode_documents, encode_documents
 from .secret_scan import scan_secrets
 from .tables import table
+from .token_alignment import align_tokens
 from .toxicity import toxicity
 from .url_markov import judge_urls
 
@@ -60,6 +62,14 @@ def op10_compact_window_passages(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(table(spark, folder, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokens(table(spark, folder, "documents"))
+
+
+def op12_ball_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_distinct_chunk_pieces(spark: SparkSession, folder: str) -> DataFrame:
     found = decode_documents(encode_documents(table(spark, folder, "documents")))
     return found.select(
@@ -79,6 +89,8 @@ QUERIES = {
     "op8_circulant_minhash": op8_circulant_minhash,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
     "op10_compact_window_passages": op10_compact_window_passages,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_ball_tree_search": op12_ball_tree_search,
     "op13_distinct_chunk_pieces": op13_distinct_chunk_pieces,
 }
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -133,9 +145,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hits.n, 0) AS BI
 FROM d LEFT JOIN hits ON hits.r = d.r LEFT JOIN listed ON listed.r = d.r
 """
 
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+_RANKED = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents
+), corpus AS (
+  SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0
+), times AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, t, count(*) AS tf FROM (SELECT r, doc_id, w, unnest(w) AS t FROM d) GROUP BY ALL
+), items AS (
+  SELECT item_id, unnest(list_distinct({_TERMS})) AS t FROM benchmark
+), held AS (
+  SELECT t, count(*) AS df FROM times WHERE t IN (SELECT t FROM items) GROUP BY t
+), weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM held, corpus
+), scores AS (
+  SELECT item_id, r, doc_id,
+         CAST(sum(weights.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM items JOIN weights USING (t) JOIN times USING (t), corpus GROUP BY item_id, r, doc_id
+), ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 #: The other queries return what tokenizers, learned scores or chunk hashes make; tests hold them
 #: against brute force.
 SQL: dict[str, str] = {
     "op8_circulant_minhash": _NEAR_DUPLICATES,
     "op9_suffix_array_decontamination": _CONTAMINATION,
+    "op12_ball_tree_search": _RANKED,
 }
