@@ -71,20 +71,23 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 class _Block:
-    """The distinct chunks of some texts, in the order of their buckets, and the places of each text's chunks."""
+    """The distinct chunks of some texts by bucket, and the places of each text's chunks among them.
+
+    Places count chunks as they first occur, so that frequent ones have small numbers; `bucket` has
+    their buckets in that order.
+    """
 
     def __init__(self, part: pa.RecordBatch, number: int, buckets: int):
         self.id = (part.column("part")[0].as_py() << 33) + number
         known: dict[str, int] = {}
-        places = [[known.setdefault(c, len(known)) for c in marked_chunks(text.as_py())] for text in part.column("text")]
+        self.places = [
+            packed(np.array([known.setdefault(c, len(known)) for c in marked_chunks(text.as_py())], np.uint64)) for text in part.column("text")
+        ]
         chunks = [chunk.encode() for chunk in known]
-        bucket = np.array([zlib.crc32(chunk) % buckets for chunk in chunks], np.int64)
-        order = np.argsort(bucket, kind="stable")
-        place = np.empty(len(order), np.uint64)
-        place[order] = np.arange(len(order), dtype=np.uint64)
+        self.bucket = np.array([zlib.crc32(chunk) % buckets for chunk in chunks], np.uint64)
+        order = np.argsort(self.bucket, kind="stable")
         self.chunks = [chunks[i] for i in order]
-        self.places = [place[p] for p in places]
-        self.buckets, self.begin = np.unique(bucket[order], return_index=True)
+        self.buckets, self.begin = np.unique(self.bucket[order].astype(np.int64), return_index=True)
         self.digest = zlib.crc32(b"\x00".join(self.chunks))
 
 
@@ -101,7 +104,7 @@ def _read(block_bytes: int, buckets: int, rows_of: Callable, names: list[str], k
 
 
 _LISTS = "bucket long, block long, digest long, sizes binary, chunks binary"
-_TEXTS = "of long, seen long, doc_id long, places binary"
+_TEXTS = "of long, seen long, doc_id long, places binary, bucket binary"
 _IDS = "block long, digest long, bucket long, sizes binary, ids binary"
 _BINARY_LISTS = [pa.int64()] * 3 + [pa.binary()] * 2
 
@@ -116,7 +119,8 @@ def _list_rows(block: _Block, part: pa.RecordBatch):
 
 def _text_rows(block: _Block, part: pa.RecordBatch):
     n = part.num_rows
-    return [block.id] * n, [block.digest] * n, part.column("doc_id").to_pylist(), [packed(p) for p in block.places]
+    once = [packed(block.bucket)] + [None] * (n - 1)
+    return [block.id] * n, [block.digest] * n, part.column("doc_id").to_pylist(), block.places, once
 
 
 def _segment(path: str | None):
@@ -144,25 +148,41 @@ def _taken(flat: np.ndarray, size: np.ndarray, end: np.ndarray, codes: np.ndarra
     return flat[np.arange(stop[-1] if len(stop) else 0) + np.repeat(end[codes] - stop, count)]
 
 
-def _put_back(key: tuple[pa.Scalar, ...], texts: pa.Table, lists: pa.Table) -> pa.Table:
-    """The ids of the texts of one block."""
-    lists = lists.sort_by("bucket")
-    if any(set(lists.column("digest").to_pylist()) - {seen} for seen in texts.column("seen").to_pylist()):
-        raise ValueError("the documents changed between two reads; write them to a table first")
-    size = np.concatenate([np.zeros(0, np.int64), *(unpacked(x).astype(np.int64) for x in lists.column("sizes").to_pylist())])
-    flat = np.concatenate([np.zeros(0, np.int32), *(unpacked(x).astype(np.int32) for x in lists.column("ids").to_pylist())])
-    end = np.cumsum(size)
-    ids = [_taken(flat, size, end, unpacked(p).astype(np.int64)) for p in texts.column("places").to_pylist()]
-    edges = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
-    values = pa.array(np.concatenate(ids) if ids else flat, pa.int32())
-    return pa.table({"doc_id": texts.column("doc_id"), "ids": pa.ListArray.from_arrays(edges, values)})
+def _put_back(path: str | None, with_text: bool):
+    def run(key: tuple[pa.Scalar, ...], texts: pa.Table, lists: pa.Table) -> pa.Table:
+        """The ids of the texts of one block, and the texts they decode to."""
+        lists = lists.sort_by("bucket")
+        if set(texts.column("seen").to_pylist()) | set(lists.column("digest").to_pylist()) > {texts.column("seen")[0].as_py()}:
+            raise ValueError("the documents changed between two reads; write them to a table first")
+        bucket = unpacked(next(b for b in texts.column("bucket").to_pylist() if b is not None))
+        order = np.argsort(bucket, kind="stable")
+        size, end = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        size[order] = np.concatenate([np.zeros(0, np.int64), *(unpacked(x).astype(np.int64) for x in lists.column("sizes").to_pylist())])
+        end[order] = np.cumsum(size[order])
+        flat = np.concatenate([np.zeros(0, np.int32), *(unpacked(x).astype(np.int32) for x in lists.column("ids").to_pylist())])
+        ids = [_taken(flat, size, end, unpacked(p).astype(np.int64)) for p in texts.column("places").to_pylist()]
+        edges = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
+        values = pa.array(np.concatenate(ids) if ids else flat, pa.int32())
+        out = pa.table({"doc_id": texts.column("doc_id"), "ids": pa.ListArray.from_arrays(edges, values)})
+        if with_text:
+            decode = piece_processor(path).decode
+            out = out.append_column("text", pa.array([decode(x.tolist()) for x in ids], pa.string()))
+        return out
+
+    return run
 
 
 def encode_documents(
-    documents: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES
+    documents: DataFrame,
+    path: str | None = None,
+    block_bytes: int = BLOCK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+    with_text: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, ids (array of int), exactly what the library's `encode` returns.
 
+    With `with_text` also the text that its `decode` makes of the ids, in the same pass.
+
     Null and empty texts have no ids. The marker character itself is read as a blank, as the
     library does. Repeated rows are encoded each on its own; other columns are not read, so their
     names may clash with nothing. A text longer than `block_bytes` is a block of its own, and a text
@@ -181,9 +201,10 @@ def encode_documents(
     buckets = max(1, -(-total // bucket_bytes))
     read = partial(_read, block_bytes, buckets)
     lists = docs.mapInArrow(read(_list_rows, [c.split()[0] for c in _LISTS.split(", ")], _BINARY_LISTS), _LISTS)
-    texts = docs.mapInArrow(read(_text_rows, [c.split()[0] for c in _TEXTS.split(", ")], [*[pa.int64()] * 3, pa.binary()]), _TEXTS)
+    texts = docs.mapInArrow(read(_text_rows, [c.split()[0] for c in _TEXTS.split(", ")], [*[pa.int64()] * 3, *[pa.binary()] * 2]), _TEXTS)
     ids = lists.groupBy("bucket").applyInArrow(_segment(path), _IDS)
-    return texts.groupBy("of").cogroup(ids.groupBy("block")).applyInArrow(_put_back, "doc_id long, ids array<int>")
+    result = "doc_id long, ids array<int>" + ", text string" * with_text
+    return texts.groupBy("of").cogroup(ids.groupBy("block")).applyInArrow(_put_back(path, with_text), result)
 
 
 def _decode(path: str | None):

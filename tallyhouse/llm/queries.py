@@ -13,7 +13,7 @@ from .minhash import near_duplicates
 from .packing import pack_documents
 from .passages import repeated_passages
 from .pii import personal_data
-from .piece_table import decode_documents, encode_documents
+from .piece_table import encode_documents
 from .secret_scan import scan_secrets
 from .tables import table
 from .token_alignment import align_tokens
@@ -71,7 +71,7 @@ def op12_ball_tree_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op13_distinct_chunk_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    found = decode_documents(encode_documents(table(spark, folder, "documents")))
+    found = encode_documents(table(spark, folder, "documents"), with_text=True)
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),

@@ -28,6 +28,8 @@ def expected(library, text):
 def test_awkward_texts(documents, library, block_bytes, bucket_bytes):
     rows = [(i, text) for i, text in enumerate(AWKWARD)] + [(7, None), (None, "a b"), (3, "a "), (3, "a ")]
     found = decode_documents(encode_documents(documents(rows), block_bytes=block_bytes, bucket_bytes=bucket_bytes)).collect()
+    both = encode_documents(documents(rows), block_bytes=block_bytes, with_text=True).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, both))
     want = [(i, *expected(library, text)) for i, text in rows]
     assert sorted(map(repr, ((r.doc_id, list(r.ids), r.text) for r in found))) == sorted(map(repr, want))
 
@@ -54,10 +56,11 @@ def test_packed_numbers(top):
 
 
 def test_a_changed_read_is_refused():
-    texts = pa.table({"doc_id": [1], "seen": [5], "places": pa.array([packed(np.array([0], np.uint64))])})
+    one = pa.array([packed(np.array([0], np.uint64))])
+    texts = pa.table({"doc_id": [1], "seen": [5], "places": one, "bucket": one})
     lists = pa.table({"digest": [6], "bucket": [0], "sizes": [b"\x01\x01"], "ids": [b"\x01\x07"]})
     with pytest.raises(ValueError, match="changed"):
-        _put_back(None, texts, lists)
+        _put_back(None, False)(None, texts, lists)
 
 
 def test_null_ids_decode_to_nothing(spark):
