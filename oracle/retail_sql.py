@@ -291,18 +291,20 @@ def _reconciliation() -> str:
     )
 
 
-def _audit() -> str:
+def _audit(body) -> str:
     tables = {
-        "customer_segments": ("segments", 12),
-        "sales_time": ("time_mart", 9),
-        "product_sales": ("product_mart", 12),
-        "sales_detail": ("detail", 22),
-        "price_position": ("position", 15),
+        "customer_segments": "gold_customer_segments",
+        "sales_time": "gold_sales_time",
+        "product_sales": "gold_product_sales",
+        "sales_detail": "gold_sales_detail",
+        "price_position": "gold_price_position",
     }
+    # The columns of a mart are those of its own question, which must all carry a comment.
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST({columns} AS BIGINT) AS column_count, "
-        f"CAST(0 AS BIGINT) AS undocumented_columns FROM {cte}"
-        for name, (cte, columns) in tables.items()
+        f"""SELECT '{name}' AS table_name, count(*) AS row_count, max(columns) AS column_count,
+        max(columns) AS documented_columns, CAST(0 AS BIGINT) AS undocumented_columns
+        FROM (SELECT CAST(len(json_keys(to_json(m))) AS BIGINT) AS columns FROM ({body(question)}) m)"""
+        for name, question in tables.items()
     )
 
 
@@ -354,7 +356,9 @@ BODIES: dict[str, str] = {
     # Quality
     "quality_suite": _quality(),
     "revenue_reconciliation": _reconciliation(),
-    "column_comment_audit": _audit(),
+    "column_comment_audit": "",
+    "published_quality": _quality(),
+    "refresh_expectations": _expectations(),
     "raw_coverage": """SELECT 'sales' AS table_name, count(*) AS row_count, CAST(sum(l_quantity) AS BIGINT) AS items FROM lineitem
         UNION ALL SELECT 'products', count(*), NULL FROM part
         UNION ALL SELECT 'customers', count(*), NULL FROM customer
@@ -508,6 +512,10 @@ BODIES: dict[str, str] = {
 }
 
 
+BODIES["column_comment_audit"] = _audit(BODIES.__getitem__)
+BODIES["bucketed_customer_profiles"] = BODIES["sales_by_customer_profile"]
+
+
 def oracle_sql() -> dict[str, str]:
     """`best_weekday` and `above_market_counts` open with their own WITH: join it to the prelude."""
     sql = {}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 
@@ -46,24 +47,29 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
     return df.to(contract.schema)
 
 
-def undocumented_columns(tables: Mapping[str, DataFrame]) -> list[tuple[str, str]]:
-    """(table, column) for every column without a comment; reads schemas only."""
-    return [
-        (name, field.name)
+_COLUMNS = "table_name string, column_name string, data_type string, comment string"
+
+
+def frame_columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, data_type, comment) of frames; reads schemas only."""
+    rows = [
+        (name, field.name, field.dataType.simpleString(), (field.metadata or {}).get("comment"))
         for name, df in tables.items()
         for field in df.schema.fields
-        if not (field.metadata or {}).get("comment", "").strip()
     ]
+    return spark.createDataFrame(rows, _COLUMNS)
 
 
-def undocumented_catalog_columns(
-    spark: SparkSession, database: str, internal_prefix: str = "__"
-) -> list[tuple[str, str]]:
-    """The same for the published tables of a database, leaving out internal ones."""
-    return [
-        (table.name, column.name)
+def catalog_columns(spark: SparkSession, database: str, internal_prefix: str = "__") -> DataFrame:
+    """The same for the published tables of a database as the catalog has them, leaving out internal ones."""
+    rows = [
+        (table.name, column.name, column.dataType, column.description)
         for table in spark.catalog.listTables(database)
         if not table.isTemporary and not table.name.startswith(internal_prefix)
         for column in spark.catalog.listColumns(f"{database}.{table.name}")
-        if not (column.description or "").strip()
     ]
+    return spark.createDataFrame(rows, _COLUMNS)
+
+
+def is_documented() -> Column:
+    return F.trim(F.coalesce(F.col("comment"), F.lit(""))) != ""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 WARN = "warn"
@@ -45,6 +45,33 @@ def check(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
+class RuleCounts:
+    """Violations of a table's rules, counted by the job that writes the table.
+
+    Give `watch` the frame that is written; `rows` waits until that job is done. A job that
+    breaks a failure rule never ends, so only warnings count above zero.
+    """
+
+    def __init__(self, table: str, rules: Sequence[Rule]):
+        self.table, self.rules = table, list(rules)
+        self._seen = Observation(f"rules of {table}")
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        if not self.rules:
+            return df
+        return df.observe(self._seen, *[F.count_if(rule.violated()).alias(f"r{i}") for i, rule in enumerate(self.rules)])
+
+    def rows(self) -> list[tuple[str, str, str, int]]:
+        counts = self._seen.get if self.rules else {}
+        return [(self.table, rule.name, rule.severity, counts[f"r{i}"]) for i, rule in enumerate(self.rules)]
+
+
+def report(spark: SparkSession, counts: Sequence[RuleCounts]) -> DataFrame:
+    """What `check` returns, from counts that were taken while the tables were written."""
+    rows = [row for count in counts for row in count.rows()]
+    return spark.createDataFrame(rows, "table_name string, rule string, severity string, violations bigint")
+
+
 def enforce(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     """Count first, raise if a failure rule is violated, otherwise return `df` unchanged."""
     broken = check(df, [r for r in rules if r.severity == FAIL], table).filter("violations > 0").collect()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,8 +22,9 @@ def _join_facts(fact: DataFrame, dim: DataFrame, key: str, how: str) -> DataFram
     which that partitioning does not cover. If the table is small enough to be
     broadcast, nothing is shuffled anyway.
     """
-    side = F.hash(key).alias("_side")
-    return fact.select("*", side).join(dim.select("*", side), [key, "_side"], how).drop("_side")
+    side = _free_name([*fact.columns, *dim.columns], "key_hash")
+    hashed = F.hash(key).alias(side)
+    return fact.select("*", hashed).join(dim.select("*", hashed), [key, side], how).drop(side)
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], grouped: bool = False) -> DataFrame:
@@ -61,12 +62,24 @@ def label_missing(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
 
 
 def unique_on(df: DataFrame, key: str) -> DataFrame:
-    """`df` with a check, made while the query runs, that `key` never repeats."""
-    rest = [c for c in df.columns if c != key]
-    grouped = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.min(F.struct(*rest)).alias("_row"))
+    """`df` with a check, made while the query runs, that `key` never repeats.
+
+    Rows are numbered per key and the second one raises, so nothing is aggregated or buffered and rows
+    pass through as they are. The numbering needs rows partitioned and sorted by the key: a grouped
+    frame is partitioned so already, and the join that follows takes over both.
+    """
+    nth = _free_name(df.columns, "nth_row")
     message = F.concat(F.lit(f"{key} is not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
-    row = F.when(F.col("_rows") == 1, F.col("_row")).otherwise(F.raise_error(message))
-    return grouped.select(key, row.alias("_row")).select(key, *[f"_row.{c}" for c in rest])
+    numbered = df.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+    return numbered.filter(F.when(F.col(nth) == 1, True).otherwise(F.raise_error(message).cast("boolean"))).drop(nth)
+
+
+def _free_name(columns: Sequence[str], name: str) -> str:
+    """`name`, lengthened until none of `columns` has it."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def join_many_to_one(left: DataFrame, right: DataFrame, key: str, how: str = "left", grouped: bool = False) -> DataFrame:

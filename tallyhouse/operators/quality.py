@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.contracts import undocumented_columns
+from tallyhouse.operators.contracts import is_documented
 
 PASSED = "OK"
 FAILED = "FALHOU"
@@ -77,13 +77,17 @@ def same_row_count(name: str, table: str, other: str) -> QualityTest:
     return QualityTest(name, numbers, lambda a, b: F.abs(a - b))
 
 
-def documented(name: str, tables: Mapping[str, DataFrame]) -> QualityTest:
-    """Every column has a comment."""
-    return QualityTest(name, (), lambda: F.lit(len(undocumented_columns(tables))))
+def documented(name: str, table: str) -> QualityTest:
+    """Every row of a table of columns, as the catalog or a schema gives them, has a comment."""
+    return QualityTest(name, ((table, name, lambda: F.count_if(~is_documented())),), lambda n: n)
 
 
-def quality_suite(tables: Mapping[str, DataFrame], tests: Sequence[QualityTest]) -> DataFrame:
-    """(test, problem_rows, status), one row per test in the given order."""
+def quality_suite(tables: Mapping[str, DataFrame], tests: Sequence[QualityTest], stop: bool = False) -> DataFrame:
+    """(test, problem_rows, status), one row per test in the given order.
+
+    With `stop` the query itself ends with an error that names every failed test and its problem rows,
+    whoever runs it and wherever its rows go.
+    """
     per_table: dict[str, dict[str, Column]] = {}
     for test in tests:
         for table, short, aggregate in test.numbers:
@@ -105,7 +109,13 @@ def quality_suite(tables: Mapping[str, DataFrame], tests: Sequence[QualityTest])
                 F.when(problems == 0, PASSED).otherwise(FAILED).alias("status"),
             )
         )
-    return numbers.select(F.inline(F.array(*results)))
+    rows = F.array(*results)
+    if stop:
+        failed = F.filter(rows, lambda r: ~F.equal_null(r["status"], F.lit(PASSED)))
+        named = F.transform(failed, lambda r: F.concat_ws(" ", r["test"], F.concat(F.lit("("), r["problem_rows"], F.lit(")"))))
+        error = F.raise_error(F.concat(F.lit("quality tests failed: "), F.array_join(named, ", ")))
+        rows = F.when(F.size(failed) == 0, rows).otherwise(error)
+    return numbers.select(F.inline(rows))
 
 
 def assert_quality(results: DataFrame) -> None:

@@ -11,10 +11,16 @@ from pyspark.sql import functions as F
 def with_total(df: DataFrame, key: str, aggregates: Mapping[str, Column], total_label: str) -> DataFrame:
     """One row per value of `key` and one for everything, which is there even if `df` is empty.
 
-    Give it a frame that is already reduced by an aggregation: both halves then
-    read the same shuffle.
+    Both come from one aggregation over grouping sets. Grouping sets of no rows give no total, so a
+    row of NULLs is put in first; `aggregates` must leave NULLs out, as all but `count(*)` do.
+    The total's key is `total_label`, told from a NULL key by `is_total`.
     """
-    columns = [c.alias(n) for n, c in aggregates.items()]
-    parts = df.groupBy(key).agg(*columns).select(key, *aggregates, F.lit(False).alias("is_total"))
-    whole = df.agg(*columns).select(F.lit(total_label).alias(key), *aggregates, F.lit(True).alias("is_total"))
-    return parts.unionByName(whole)
+    nothing = df.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    rows = df.withColumn("is_filler", F.lit(False)).unionByName(nothing.withColumn("is_filler", F.lit(True)))
+    sets = rows.rollup(key).agg(
+        *[c.alias(n) for n, c in aggregates.items()],
+        F.grouping(key).cast("boolean").alias("is_total"),
+        F.bool_and("is_filler").alias("only_filler"),
+    )
+    label = F.when(F.col("is_total"), F.lit(total_label)).otherwise(F.col(key)).alias(key)
+    return sets.filter("is_total OR NOT only_filler").select(label, *aggregates, "is_total")

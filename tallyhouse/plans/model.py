@@ -51,6 +51,11 @@ class RetailModel:
     def products(self) -> DataFrame:
         return self._table(silver.clean_products(self.raw["products"], self.preset), tables.PRODUCTS)
 
+    def products_of(self, keys: DataFrame) -> DataFrame:
+        """The cleaned products whose product_id is in `keys`; the others leave the raw table before its dedup."""
+        raw = self.raw["products"].join(keys.select("product_id"), "product_id", "left_semi")
+        return conform(silver.clean_products(raw, self.preset), tables.PRODUCTS)
+
     @cached_property
     def customers(self) -> DataFrame:
         return self._table(silver.clean_customers(self.raw["customers"]), tables.CUSTOMERS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,6 +16,7 @@ from tallyhouse.operators.ranking import top_k
 from tallyhouse.operators.totals import with_total
 from tallyhouse.plans import preset as fixed
 from tallyhouse.plans.preset import RetailPreset
+from tallyhouse.session import stage
 
 # --- Sales: when, where, what -------------------------------------------------
 
@@ -72,15 +73,16 @@ def category_revenue(sales: Dataset) -> DataFrame:
 
 def top_products(
     sales: DataFrame,
-    products: DataFrame,
+    products_of: Callable[[DataFrame], DataFrame],
     k: int,
     period: Range = (None, None),
     channels: Sequence[str] = (),
 ) -> DataFrame:
     """The k best-selling products of a period and of chosen (displayed) channels.
 
-    Grouped by product key before any label is looked up, so labels are joined
-    to k rows and a hot product is reduced before the shuffle.
+    Grouped by product key before any label is looked up, so a hot product is reduced before the
+    shuffle. The k rows are written once; their keys then restrict the raw catalogue, so that k
+    products are deduplicated and cleaned and not all of them.
     """
     chosen = apply_filters(sales, {"sale_date": period}, {"channel": text.codes_of(channels, fixed.CHANNEL_LABELS)})
     per_product = chosen.groupBy("product_id").agg(
@@ -89,9 +91,9 @@ def top_products(
         money.total(F.col("revenue")).alias("revenue"),
         money.ratio(F.sum("revenue"), F.count(F.lit(1))).alias("avg_ticket"),
     )
-    best = top_k(per_product, [F.desc("revenue"), "product_id"], k, "position")
+    best = stage(top_k(per_product, [F.desc("revenue"), "product_id"], k, "position"), "top-products")
     labels = {c: fixed.UNREGISTERED[c] for c in ("product_name", "category")}
-    named = label_missing(lookup(best, products, "product_id", list(labels), grouped=True), labels)
+    named = label_missing(lookup(best, products_of(best), "product_id", list(labels), grouped=True), labels)
     return named.select(
         "position", "product_id", "product_name", "category", "sales", "items_sold", "revenue", "avg_ticket"
     ).orderBy("position")
@@ -280,8 +282,8 @@ def price_action_list(prices: Dataset, k: int | None = None) -> DataFrame:
 def above_market_counts(position: DataFrame) -> DataFrame:
     """Products dearer than the mean competitor, confirmed or with a suspect price, and in total.
 
-    Counted per status and category first, so the list of categories is built
-    from distinct values only.
+    Counted per status and category first, so the list of categories is built from distinct
+    values only; counts per status and the total are grouping sets of one aggregation.
     """
     status = text.yes_no(F.col("has_suspect"), *fixed.SUSPECT_COUNT_STATUS).alias("status")
     per_category = (

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators.contracts import TableContract
+from tallyhouse.operators.expectations import RuleCounts, report
 from tallyhouse.operators.quality import assert_quality
 from tallyhouse.plans import marts, silver, tables
 from tallyhouse.plans.preset import RetailPreset
-from tallyhouse.plans.suite import expectation_report, retail_quality
+from tallyhouse.plans.suite import retail_quality
 from tallyhouse.sources.tables import materialize, publish
 
 # Layout of the written tables: period filters are the most common ones.
@@ -42,14 +43,17 @@ def refresh(raw: Mapping[str, DataFrame], folder: str, preset: RetailPreset | No
 
     Every table is computed once and read back by its consumers. A broken
     failure rule stops the run while that table is written; the folder of the
-    previous run is untouched and stays published.
+    previous run is untouched and stays published. Warnings are counted by the
+    same writes.
     """
     preset = preset or RetailPreset()
+    counts: list[RuleCounts] = []
 
     def write(df: DataFrame, contract: TableContract) -> DataFrame:
-        return materialize(
-            df, contract, f"{folder}/{contract.name}", CLUSTER_BY.get(contract.name), silver.RULES.get(contract.name, ())
-        )
+        rules = silver.RULES.get(contract.name, ())
+        counts.append(RuleCounts(contract.name, rules))
+        path = f"{folder}/{contract.name}"
+        return materialize(df, contract, path, CLUSTER_BY.get(contract.name), rules, counts[-1])
 
     products = write(silver.clean_products(raw["products"], preset), tables.PRODUCTS)
     customers = write(silver.clean_customers(raw["customers"]), tables.CUSTOMERS)
@@ -72,7 +76,7 @@ def refresh(raw: Mapping[str, DataFrame], folder: str, preset: RetailPreset | No
         folder,
         cleaned,
         written_marts,
-        expectation_report(cleaned),
+        report(products.sparkSession, counts),
         retail_quality(cleaned, written_marts, preset),
     )
 

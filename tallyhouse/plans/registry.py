@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +15,10 @@ from tallyhouse.operators.measures import evaluate
 from tallyhouse.plans import datasets, questions, silver, suite, tables
 from tallyhouse.plans.model import RetailModel
 from tallyhouse.plans.preset import SAMPLE
-from tallyhouse.plans.refresh import refresh
-from tallyhouse.session import configure, stage_path
+from tallyhouse.plans.refresh import Refresh, refresh
+from tallyhouse.session import configure, exists, stage_path
 from tallyhouse.sources import raw as raw_source
-from tallyhouse.sources.tables import materialize
+from tallyhouse.sources.tables import materialize, save_bucketed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,20 +63,72 @@ def _filtered_prices(question: Callable) -> Query:
     return _on_model(lambda m: question(_prices(m, *SOME_PRICES)))
 
 
+_RUNS: dict[tuple[str, str], Refresh] = {}
+
+
+def _refreshed(spark: SparkSession, folder: str) -> Refresh:
+    """A full refresh of a folder, made once per application for all questions about written tables."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _RUNS or not exists(spark, _RUNS[key].folder):
+        raw = RetailModel.from_folder(configure(spark), folder).raw
+        _RUNS[key] = refresh(raw, stage_path(spark, "refresh"), SAMPLE)
+    return _RUNS[key]
+
+
+@contextmanager
+def _databases(spark: SparkSession, *names: str) -> Iterator[list[str]]:
+    """New databases; frames that were made of their views can still be read after they are gone."""
+    found = [f"{name}_{uuid.uuid4().hex}" for name in names]
+    try:
+        yield found
+    finally:
+        for database in found:
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def _refresh_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     """Write every table by a full refresh, then compare the revenue of the tables read back."""
-    raw = RetailModel.from_folder(configure(spark), folder).raw
-    run = refresh(raw, stage_path(spark, "refresh"), SAMPLE)
+    run = _refreshed(spark, folder)
     return suite.revenue_reconciliation(run.silver, run.marts)
 
 
 def _refresh_ranks(spark: SparkSession, folder: str) -> DataFrame:
     """The ranked customer mart as a full refresh writes it."""
-    raw = RetailModel.from_folder(configure(spark), folder).raw
-    run = refresh(raw, stage_path(spark, "refresh"), SAMPLE)
+    run = _refreshed(spark, folder)
     return spark.read.parquet(run.path(tables.CUSTOMER_SEGMENTS)).select("customer_id", "segment", "revenue", "revenue_rank")
 
 
+def _published_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Publish a refresh and audit the marts as the catalog has them."""
+    run = _refreshed(spark, folder)
+    with _databases(spark, "silver", "marts") as (cleaned, marts):
+        run.publish(spark, cleaned, marts)
+        return suite.documentation_audit(spark, marts)
+
+
+def _published_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Publish a refresh and run the suite on the published tables; a failed test is an error of the query."""
+    run = _refreshed(spark, folder)
+    with _databases(spark, "silver", "marts") as (cleaned, marts):
+        run.publish(spark, cleaned, marts)
+        return suite.published_quality(spark, cleaned, marts, SAMPLE, stop=True)
+
+
+BUCKETS = 8
+
+
+def _bucketed_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales per customer profile from two tables in buckets of the customer, joined where they lie."""
+    run = _refreshed(spark, folder)
+    with _databases(spark, "buckets") as (database,):
+        spark.sql(f"CREATE DATABASE {database}")
+        detail, segments = (
+            save_bucketed(run.marts[name], database, name, stage_path(spark, name), "customer_id", BUCKETS)
+            for name in ("sales_detail", "customer_segments")
+        )
+        return questions.sales_by_customer_profile(detail, segments)
+
+
 def _dedup_sales(m: RetailModel) -> DataFrame:
     return dedup(m.raw["sales"], ["sale_id"], SAMPLE.sale_order).select(
         "sale_id", "sold_at", "customer_id", "product_id", "channel", "quantity", F.col("unit_price").cast("decimal(14,2)")
@@ -130,12 +184,13 @@ QUERIES: dict[str, Query] = {
     # Quality
     "quality_suite": _on_model(lambda m: suite.retail_quality(m.silver, m.unranked_marts, m.preset), SALES_TWICE),
     "revenue_reconciliation": _on_model(lambda m: suite.revenue_reconciliation(m.silver, m.unranked_marts), SALES_TWICE),
-    "column_comment_audit": _on_model(
-        lambda m: suite.documentation_audit(m.unranked_marts, {"customer_segments": 1, "product_sales": 2})
-    ),
+    "column_comment_audit": _published_audit,
+    "published_quality": _published_quality,
     "raw_coverage": _on_model(lambda m: suite.raw_coverage(m.silver)),
     "refresh_reconciliation": _refresh_reconciliation,
     "refresh_ranks": _refresh_ranks,
+    "refresh_expectations": lambda spark, folder: _refreshed(spark, folder).expectations,
+    "bucketed_customer_profiles": _bucketed_profiles,
     # Datasets
     "sales_dataset": _on_model(lambda m: datasets.sales_rows(m.sales_detail), SALES_TWICE),
     "customer_dataset": _on_model(lambda m: datasets.customer_rows(m.customer_segments)),
@@ -159,9 +214,9 @@ QUERIES: dict[str, Query] = {
     "hour_revenue": _on_model(lambda m: questions.hour_revenue(_sales(m))),
     "category_revenue": _on_model(lambda m: questions.category_revenue(_sales(m))),
     "top_products_filtered": _on_model(
-        lambda m: questions.top_products(m.sales, m.products, SAMPLE.ranking_size, PERIOD, ONLINE)
+        lambda m: questions.top_products(m.sales, m.products_of, SAMPLE.ranking_size, PERIOD, ONLINE)
     ),
-    "top_products_all": _on_model(lambda m: questions.top_products(m.sales, m.products, SAMPLE.ranking_size)),
+    "top_products_all": _on_model(lambda m: questions.top_products(m.sales, m.products_of, SAMPLE.ranking_size)),
     "sql_parameters": lambda spark, folder: questions.channel_sales_sql(
         spark, RetailModel.from_folder(configure(spark), folder).sales_detail, *PERIOD, ["loja_fisica"]
     ),

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.contracts import undocumented_columns
+from tallyhouse.operators.contracts import catalog_columns, frame_columns, is_documented
 from tallyhouse.operators.expectations import check
 from tallyhouse.operators.quality import (
     QualityTest,
@@ -23,11 +23,17 @@ from tallyhouse.operators.quality import (
     unique,
 )
 from tallyhouse.plans import preset as fixed
+from tallyhouse.plans import tables
 from tallyhouse.plans.preset import RetailPreset
 from tallyhouse.plans.silver import RULES
+from tallyhouse.sources.tables import read_catalog
 
 
-def retail_tests(marts: Mapping[str, DataFrame], preset: RetailPreset) -> list[QualityTest]:
+#: The table of all columns of the marts, beside the tables themselves.
+COLUMNS = "mart_columns"
+
+
+def retail_tests(preset: RetailPreset) -> list[QualityTest]:
     (vip, _), (top_tier, _) = preset.segments
     segment_bands = [
         no_rows("segments_vip_reach_limit", "customer_segments", f"segment = '{fixed.VIP}' AND revenue < {vip}"),
@@ -66,12 +72,26 @@ def retail_tests(marts: Mapping[str, DataFrame], preset: RetailPreset) -> list[Q
         unique("detail_key_unique", "sales_detail", ["sale_id"]),
         not_null("detail_has_segment_and_region", "sales_detail", ["segment", "region"]),
         unique("price_position_key_unique", "price_position", ["product_id"]),
-        documented("mart_columns_documented", marts),
+        documented("mart_columns_documented", COLUMNS),
     ]
 
 
-def retail_quality(silver: Mapping[str, DataFrame], marts: Mapping[str, DataFrame], preset: RetailPreset) -> DataFrame:
-    return quality_suite({**silver, **marts}, retail_tests(marts, preset))
+def retail_quality(
+    silver: Mapping[str, DataFrame], marts: Mapping[str, DataFrame], preset: RetailPreset, stop: bool = False
+) -> DataFrame:
+    """The suite over frames, whose schemas tell the comments."""
+    columns = frame_columns(marts["sales_detail"].sparkSession, marts)
+    return quality_suite({**silver, **marts, COLUMNS: columns}, retail_tests(preset), stop)
+
+
+def published_quality(
+    spark: SparkSession, silver_database: str, mart_database: str, preset: RetailPreset, stop: bool = False
+) -> DataFrame:
+    """The suite over published tables, read by name, with the columns the catalog has of the marts."""
+    found = read_catalog(spark, silver_database, [c.name for c in tables.SILVER])
+    found |= read_catalog(spark, mart_database, [c.name for c in tables.MARTS])
+    found[COLUMNS] = catalog_columns(spark, mart_database)
+    return quality_suite(found, retail_tests(preset), stop)
 
 
 def revenue_reconciliation(silver: Mapping[str, DataFrame], marts: Mapping[str, DataFrame]) -> DataFrame:
@@ -100,22 +120,22 @@ def expectation_report(silver: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [check(silver[table], rules, table) for table, rules in RULES.items()])
 
 
-def documentation_audit(marts: Mapping[str, DataFrame], extra_columns: Mapping[str, int] | None = None) -> DataFrame:
-    """Rows, columns and undocumented columns of every mart.
-
-    `extra_columns` adds columns that a table has when published but not in the given frame.
-    """
-    missing = undocumented_columns(marts)
-
-    def audit(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"),
-            "row_count",
-            F.lit(len(df.columns) + (extra_columns or {}).get(name, 0)).cast("bigint").alias("column_count"),
-            F.lit(sum(1 for table, _ in missing if table == name)).cast("bigint").alias("undocumented_columns"),
-        )
-
-    return reduce(DataFrame.unionByName, [audit(name, df) for name, df in marts.items()])
+def documentation_audit(spark: SparkSession, database: str) -> DataFrame:
+    """Rows, columns, and columns with and without comment of every published table, as the catalog has them."""
+    columns = catalog_columns(spark, database)
+    per_table = columns.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("column_count"),
+        F.count_if(is_documented()).alias("documented_columns"),
+        F.count_if(~is_documented()).alias("undocumented_columns"),
+    )
+    names = [r.table_name for r in per_table.select("table_name").sort("table_name").collect()]
+    if not names:
+        return per_table.select("table_name", F.lit(0).cast("bigint").alias("row_count"), *per_table.columns[1:])
+    sizes = [
+        spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name in names
+    ]
+    return reduce(DataFrame.unionByName, sizes).join(per_table, "table_name")
 
 
 def raw_coverage(silver: Mapping[str, DataFrame]) -> DataFrame:

@@ -48,10 +48,17 @@ def build_session(app_name: str = "tallyhouse", master: str | None = None, **con
 def shared_folder(spark: SparkSession) -> str:
     """Where staged tables go: the folder named by `spark.checkpoint.dir`, else one below the warehouse.
 
-    Both are places every executor can reach, whatever the master.
+    Both must be places every executor can reach. The warehouse's default lies on the driver's own disk,
+    so without the setting such a place is refused unless driver and executors are one machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
+    if folder:
+        return folder
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own_disk = folder.startswith("file:") or "://" not in folder
+    if own_disk and not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {folder} is machine-local")
+    return folder + "/_stages"
 
 
 def _application_folder(spark: SparkSession):
@@ -80,6 +87,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name, on whatever file system it lies."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete everything this application staged; frames built on it can no longer be read."""
     folder, files = _application_folder(spark)

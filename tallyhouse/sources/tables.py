@@ -8,10 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.contracts import TableContract, conform
-from tallyhouse.operators.expectations import Rule, abort_on_violation
+from tallyhouse.operators.expectations import Rule, RuleCounts, abort_on_violation
 from tallyhouse.session import stage
 
 
+#: A bucket this many times the mean, and larger than `SMALL_BUCKET` rows, is a hot one.
+HOT_BUCKET = 4
+SMALL_BUCKET = 100_000
+
+
+class HotBucket(ValueError):
+    pass
+
+
 def read_folder(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
 
@@ -26,15 +35,18 @@ def materialize(
     path: str,
     cluster_by: str | None = None,
     rules: Iterable[Rule] = (),
+    counts: RuleCounts | None = None,
 ) -> DataFrame:
     """Write a table to `path` as its contract declares it and return the written table.
 
     Failure rules run inside the write, so a broken source leaves no finished
-    table. `cluster_by` lays rows out in ranges of that column, which lets later
+    table; `counts` takes the violations of all rules from the same pass. `cluster_by` lays rows out in ranges of that column, which lets later
     period filters skip files and row groups; the grain is part of the range, so
     one hot date is spread over several files.
     """
     out = conform(abort_on_violation(df, list(rules), contract.name), contract)
+    if counts is not None:
+        out = counts.watch(out)
     if cluster_by:
         # range bounds come from a sample: taken from the written rows, not from a second run of their plan
         out = stage(out, contract.name)
@@ -44,6 +56,23 @@ def materialize(
     return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
+def save_bucketed(df: DataFrame, database: str, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write `df` to `path` in `buckets` sorted buckets of `key`, as the catalog table `database.name`.
+
+    Tables with equal buckets are joined and grouped on the key where they lie, without a shuffle, in
+    any later query. A key that alone fills several buckets' worth of rows would make one file and one
+    task of it, so such a frame is refused; leave it to the skew join of plain tables.
+    """
+    per_bucket = df.groupBy(F.expr(f"pmod(hash(`{key}`), {buckets})")).agg(F.count(F.lit(1)).alias("n"))
+    most, total = per_bucket.agg(F.max("n"), F.sum("n")).first()
+    if most is not None and most > HOT_BUCKET * total / buckets + SMALL_BUCKET:
+        raise HotBucket(f"a bucket of {name} by {key} holds {most} of {total} rows")
+    spread = df.repartition(buckets, key)
+    writer = spread.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").format("parquet").option("path", path)
+    writer.saveAsTable(f"{database}.{name}")
+    return df.sparkSession.table(f"{database}.{name}")
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

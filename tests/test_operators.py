@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
-from tallyhouse.operators.contracts import ColumnSpec, TableContract, conform, undocumented_columns
+from tallyhouse.operators.contracts import ColumnSpec, TableContract, conform, frame_columns, is_documented
 from tallyhouse.operators.dedup import dedup, dedup_dimension
 from tallyhouse.operators.filters import apply_filters, list_argument, range_argument
 from tallyhouse.operators.joins import (
@@ -93,6 +93,33 @@ def test_declared_relations_are_checked(spark):
     assert rows(join_one_to_one(left.filter("n <> 2"), right, "k")) == [("a", 1, "x")]
 
 
+def test_declared_relations_cost_one_exchange_per_side(spark):
+    left = spark.range(100).selectExpr("cast(id AS string) AS k", "id AS n", "sha(cast(id AS string)) AS t")
+    right = spark.range(100).selectExpr("cast(id AS string) AS k", "id AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(join_one_to_one(left, right, "k"))
+        assert text.count("Exchange hashpartitioning") == 2 and "Aggregate" not in text
+        # a grouped side is partitioned already
+        grouped = right.groupBy("k").agg(F.max("v").alias("v"))
+        text = plan(join_one_to_one(left, grouped, "k"))
+        assert text.count("Exchange hashpartitioning") == 2
+        assert join_one_to_one(left, grouped, "k").count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_check_of_a_relation_is_not_pruned_and_has_no_column_of_its_own(spark):
+    df = spark.createDataFrame([("a", 1, 7), ("a", 2, 8), (None, 3, 9)], "k string, nth_row int, key_hash int")
+    assert unique_on(df.filter("k IS NULL"), "k").columns == df.columns
+    with pytest.raises(PySparkException, match="k is not unique: a"):
+        unique_on(df, "k").agg(F.sum("nth_row")).collect()
+    with pytest.raises(PySparkException, match="k is not unique: NULL"):
+        unique_on(df.filter("k IS NULL").unionAll(df.filter("k IS NULL")), "k").collect()
+    dim = spark.createDataFrame([("a", "x")], "k string, name string")
+    assert lookup(df, dim, "k", ["name"]).columns == [*df.columns, "name"]
+
+
 def plain_ranks(df):
     order = [F.desc("m"), "id"]
     return df.withColumn("r", F.row_number().over(Window.orderBy(*order))).withColumn(
@@ -176,6 +203,8 @@ def test_with_total(spark):
     assert got == {("a", 3, False), ("b", 4, False), (None, 8, False), ("Total", 15, True)}
     empty = with_total(df.limit(0), "k", {"n": F.count("n")}, "Total").collect()
     assert [tuple(r) for r in empty] == [("Total", 0, True)]
+    text = optimized(with_total(df, "k", {"n": F.sum("n")}, "Total"))
+    assert text.count("Aggregate") == 1 and text.count("Expand") == 1
 
 
 def test_measures(spark):
@@ -203,5 +232,6 @@ def test_contract(spark):
     assert df.dtypes == [("k", "string"), ("n", "bigint")]
     assert [f.metadata["comment"] for f in df.schema.fields] == ["Key.", "Count."]
     assert contract.non_additive == {"n"}
-    assert undocumented_columns({"t": df}) == []
-    assert undocumented_columns({"t": df.withColumn("z", F.lit(1))}) == [("t", "z")]
+    columns = frame_columns(spark, {"t": df, "u": df.withColumn("z", F.lit(1))})
+    assert [(r.table_name, r.column_name) for r in columns.filter(~is_documented()).collect()] == [("u", "z")]
+    assert {(r.column_name, r.data_type) for r in columns.filter("table_name = 't'").collect()} == {("k", "string"), ("n", "bigint")}

@@ -136,7 +136,7 @@ DEFECTS = {
 
 
 def test_there_is_a_defect_for_every_test(shop):
-    assert list(DEFECTS) == [t.name for t in suite.retail_tests(shop.marts, PRESET)]
+    assert list(DEFECTS) == [t.name for t in suite.retail_tests(PRESET)]
 
 
 @pytest.mark.parametrize("test", DEFECTS)
@@ -150,6 +150,19 @@ def test_defects_are_found(shop, test):
     assert found.get(test, 0) > 0
 
 
+@pytest.mark.parametrize("test", ["segments_key_unique", "detail_has_segment_and_region", "mart_columns_documented"])
+def test_a_failed_test_stops_the_query(shop, test):
+    table, spoil = DEFECTS[test]
+    marts = {**shop.marts, table: spoil(shop.marts[table])}
+    with pytest.raises(PySparkException, match=rf"quality tests failed: .*{test} \([1-9]"):
+        suite.retail_quality(shop.silver, marts, PRESET, stop=True).collect()
+
+
+def test_a_passed_suite_returns_its_rows(shop):
+    rows = suite.retail_quality(shop.silver, shop.marts, PRESET, stop=True).collect()
+    assert len(rows) == 22 and {r.status for r in rows} == {"OK"}
+
+
 def test_failed_tests_are_named(spark):
     results = spark.createDataFrame([("a", 0, "OK"), ("b", 2, "FALHOU"), ("c", 1, "FALHOU")], "test string, problem_rows bigint, status string")
     with pytest.raises(QualityFailed, match="quality tests failed: b, c"):

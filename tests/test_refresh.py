@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+from dataclasses import replace
 from decimal import Decimal as D
 
 import pytest
@@ -8,12 +9,21 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from shop import CUSTOMERS, PRESET, raw_shop
 
-from tallyhouse.operators.contracts import undocumented_catalog_columns
+from tallyhouse.operators.contracts import catalog_columns, is_documented
 from tallyhouse.operators.quality import QualityFailed
-from tallyhouse.plans import naming, tables
+from tallyhouse.plans import naming, suite, tables
 from tallyhouse.plans.model import RetailModel
 from tallyhouse.plans.refresh import refresh, refresh_and_verify
-from tallyhouse.sources.tables import materialize, read_catalog, read_folder, register_views, renamed
+from tallyhouse.sources.tables import (
+    HotBucket,
+    materialize,
+    publish,
+    read_catalog,
+    read_folder,
+    register_views,
+    renamed,
+    save_bucketed,
+)
 
 
 @pytest.fixture(scope="module")
@@ -35,11 +45,51 @@ def test_published_tables_carry_their_comments(spark, run):
     run.publish(spark, "shop_silver", "shop_marts")
     marts = read_catalog(spark, "shop_marts", [c.name for c in tables.MARTS])
     assert marts["sales_detail"].count() == 6
-    assert undocumented_catalog_columns(spark, "shop_marts") == []
-    assert undocumented_catalog_columns(spark, "shop_silver") == []
-    spark.sql("CREATE OR REPLACE VIEW shop_marts.extra AS SELECT 1 AS n")
-    spark.sql("CREATE OR REPLACE VIEW shop_marts.__internal AS SELECT 1 AS n")
-    assert undocumented_catalog_columns(spark, "shop_marts") == [("extra", "n")]
+    assert undocumented(spark, "shop_marts") == undocumented(spark, "shop_silver") == []
+    audit = {r.table_name: tuple(r)[1:] for r in suite.documentation_audit(spark, "shop_marts").collect()}
+    assert audit["sales_detail"] == (6, 22, 22, 0) and audit["customer_segments"] == (4, 12, 12, 0) and len(audit) == 5
+    passed = suite.published_quality(spark, "shop_silver", "shop_marts", PRESET, stop=True).collect()
+    assert len(passed) == 22 and {r.status for r in passed} == {"OK"}
+
+
+def undocumented(spark, database):
+    rows = catalog_columns(spark, database).filter(~is_documented()).collect()
+    return [(r.table_name, r.column_name) for r in rows]
+
+
+def test_a_missing_comment_is_found_in_the_catalog(spark, run):
+    run.publish(spark, "bare_silver", "bare_marts")
+    contract = next(c for c in tables.MARTS if c.name == "sales_time")
+    bare = replace(contract, columns=tuple(replace(c, comment=" ") if c.name == "revenue" else c for c in contract.columns))
+    publish(spark, bare, run.path(contract), "bare_marts")
+    spark.sql("CREATE OR REPLACE VIEW bare_marts.extra AS SELECT 1 AS n")
+    spark.sql("CREATE OR REPLACE VIEW bare_marts.__internal AS SELECT 1 AS n")
+    assert undocumented(spark, "bare_marts") == [("extra", "n"), ("sales_time", "revenue")]
+    audit = {r.table_name: tuple(r)[1:] for r in suite.documentation_audit(spark, "bare_marts").collect()}
+    assert audit["sales_time"][1:] == (9, 8, 1) and audit["extra"] == (1, 1, 0, 1)
+    with pytest.raises(PySparkException, match=r"quality tests failed: mart_columns_documented \(2\)"):
+        suite.published_quality(spark, "bare_silver", "bare_marts", PRESET, stop=True).collect()
+
+
+def test_warnings_are_counted_by_the_writes(run):
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    assert rows(run.expectations) == rows(suite.expectation_report(run.silver))
+    warned = {r.rule: r.violations for r in run.expectations.filter("severity = 'warn'").collect()}
+    assert warned == {"product_registered": 2, "sold_after_created": 1, "price_plausible": 1}
+
+
+def test_bucketed_tables(spark, run, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop_buckets")
+    saved = save_bucketed(run.marts["sales_detail"], "shop_buckets", "detail", str(tmp_path / "d"), "customer_id", 4)
+    assert saved.exceptAll(run.marts["sales_detail"]).count() == 0 and saved.count() == 6
+    assert all(c.description for c in spark.catalog.listColumns("shop_buckets.detail"))
+    empty = save_bucketed(run.marts["sales_detail"].limit(0), "shop_buckets", "none", str(tmp_path / "n"), "customer_id", 4)
+    assert empty.count() == 0
+    hot = spark.range(300_000).selectExpr("if(id % 2 = 0, 0, id) AS k")
+    with pytest.raises(HotBucket, match="of hot by k holds"):
+        save_bucketed(hot, "shop_buckets", "hot", str(tmp_path / "h"), "k", 64)
 
 
 def test_a_broken_source_stops_the_refresh(spark, tmp_path):

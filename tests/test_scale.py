@@ -2,6 +2,7 @@
 
 from types import SimpleNamespace
 
+import pytest
 from explain import plan
 from pyspark.sql import functions as F
 
@@ -30,6 +31,11 @@ def test_the_shared_folder_never_is_a_machine_local_one():
 
     assert shared_folder(session(**{"spark.checkpoint.dir": "hdfs://x/y", "spark.sql.warehouse.dir": "hdfs://w"})) == "hdfs://x/y"
     assert shared_folder(session(**{"spark.sql.warehouse.dir": "hdfs://w/"})) == "hdfs://w/_stages"
+    own = {"spark.sql.warehouse.dir": "file:/home/x/spark-warehouse"}
+    assert shared_folder(session(**own, **{"spark.master": "local[4]"})) == "file:/home/x/spark-warehouse/_stages"
+    for place in ("file:/home/x/spark-warehouse", "/home/x/spark-warehouse"):
+        with pytest.raises(ValueError, match="machine-local"):
+            shared_folder(session(**{"spark.sql.warehouse.dir": place, "spark.master": "spark://host:7077"}))
 
 
 def test_stages_can_be_dropped(spark, tmp_path):
