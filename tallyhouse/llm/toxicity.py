@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +18,17 @@ from .words import Words, byte_class, mix, powers, slices, words
 #: A token is looked up by its first 4, 5, 6 and 8 bytes and as a whole.
 PREFIXES = (4, 5, 6, 8)
 LEVELS = len(PREFIXES) + 1
-#: Slots of each level: the size of the model is fixed, whatever the vocabulary.
-SLOTS = 1 << 20
+#: The classifier is fitted on labelled documents of about this many bytes at most (a sample by doc_id where
+#: there are more), and on half as many as long as the model has more entries than MODEL_ENTRIES.
+LABELLED_BYTES = 4 << 30
+MODEL_ENTRIES = 16 << 20
 #: Strength of the Dirichlet prior: pseudo documents that follow the next shorter prefix.
 PRIOR = 12.0
 #: Log-odds that a passage must gain per token beyond the average of clean text.
 DRIFT = 0.5
 FLOOR, CEILING = -2.0, 8.0
+#: A token's evidence is halved, then a third and so on where it repeats within so many tokens.
+REACH = 100
 #: A passage is significant if a clean text has so many as good by chance at most.
 SIGNIFICANT = 0.05
 #: Documents decide for predicted = 1 from this score on.
@@ -35,23 +40,20 @@ LETTERS = byte_class(lambda c: c.isalnum() or c == "'")
 
 
 class Model(NamedTuple):
-    toxic: np.ndarray  # [level, slot]: toxic training documents with the token, float32
-    clean: np.ndarray
-    documents: np.ndarray  # toxic and clean training documents
-
-
-class Sparse(NamedTuple):
-    """A model as it travels: only the slots that toxic documents have."""
+    """Training documents of both classes by token; tokens of a single document are left out."""
 
-    slot: np.ndarray
+    key: np.ndarray  # sorted 64-bit hashes of level and prefix
     toxic: np.ndarray
     clean: np.ndarray
-    documents: np.ndarray
+    documents: np.ndarray  # toxic and clean training documents
 
-    def dense(self) -> Model:
-        tables = np.zeros((2, LEVELS * SLOTS), np.float32)
-        tables[0, self.slot], tables[1, self.slot] = self.toxic, self.clean
-        return Model(*tables.reshape(2, LEVELS, SLOTS), self.documents)
+    def counts(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Toxic and clean documents with the tokens of these keys."""
+        if not len(self.key):
+            return np.zeros(len(key)), np.zeros(len(key))
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        known = self.key[at] == key
+        return np.where(known, self.toxic[at], 0.0), np.where(known, self.clean[at], 0.0)
 
 
 class Law(NamedTuple):
@@ -62,7 +64,7 @@ class Law(NamedTuple):
 
 
 def _keys(w: Words) -> np.ndarray:
-    """[level, word]: slots of each word's prefixes (the word itself where it is shorter) and of the word."""
+    """[level, word]: hashes of each word's prefixes (the word itself where it is shorter) and of the word."""
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((w.data.astype(np.uint64) + np.uint64(1)) * powers(len(w.data)))])
     back = powers(len(w.data) + 1, pow(0x9E3779B97F4A7C15, -1, 1 << 64))[w.start]
     keys = []
@@ -70,39 +72,53 @@ def _keys(w: Words) -> np.ndarray:
         end = np.minimum(w.start + length, w.end)
         keys.append(mix((total[end] - total[w.start]) * back + np.uint64(level + 1)))
     keys.append(mix(w.hash))
-    return (np.stack(keys) % np.uint64(SLOTS)).astype(np.int64)
+    return np.stack(keys)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each class with each token, added up within the task's batches."""
+    """Documents of each class with each token, added up within the task's batches; a null key counts documents."""
     for batch in batches:
-        parts = []
+        parts = [np.zeros((2, 0), np.uint64)]
+        labels = np.zeros(2, np.int64)
         for part in slices(batch, "text"):
             w = words(part.column("text"), LETTERS)
             text = np.repeat(np.arange(part.num_rows), np.diff(w.first))
             toxic = np.asarray(part.column("toxic")).astype(np.int64)
-            for level, key in enumerate(_keys(w)):
-                once = np.unique(text * SLOTS + key)
-                parts.append((level * SLOTS + once % SLOTS) * 2 + toxic[once // SLOTS])
-            # documents of each class, with or without words
-            parts.append(LEVELS * SLOTS * 2 + toxic)
-        key, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(key // 2), pa.array(key % 2), pa.array(n)], ["slot", "toxic", "n"])
-
-
-def _fit(labelled: DataFrame) -> Sparse:
-    """Grouped document counts; slots never seen in toxic documents need no counts of their own."""
-    counted = labelled.mapInArrow(_count, "slot long, toxic long, n long")
-    grouped = counted.groupBy("slot").agg(F.sum(F.col("n") * F.col("toxic")).alias("t"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("c"))
-    end = LEVELS * SLOTS
-    rows = grouped.where(f"t > 0 or slot = {end}").toPandas()  # at most LEVELS * SLOTS rows
-    total, token = rows[rows["slot"] == end], rows[rows["slot"] < end]
-    documents = np.array([total["t"].sum(), total["c"].sum()], float)
-    return Sparse(token["slot"].to_numpy(np.int32), token["t"].to_numpy(np.float32), token["c"].to_numpy(np.float32), documents)
+            labels += np.bincount(toxic, minlength=2)[:2]
+            for key in _keys(w):
+                order = np.lexsort((text, key))
+                key, owner = key[order], text[order]
+                once = np.ones(len(key), bool)
+                once[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+                parts.append(np.stack([key[once], toxic[owner[once]].astype(np.uint64)]))
+        key, toxic = np.concatenate(parts, 1)
+        key, place = np.unique(key, return_inverse=True)
+        hits, every = np.bincount(place, toxic.astype(float), len(key)), np.bincount(place, minlength=len(key))
+        keys = pa.array([*key.view(np.int64).tolist(), None], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [keys, pa.array([*hits.astype(np.int64), labels[1]], pa.int64()), pa.array([*(every - hits).astype(np.int64), labels[0]], pa.int64())],
+            ["key", "toxic", "clean"],
+        )
+
+
+def _fit(labelled: DataFrame) -> Model | None:
+    """Grouped document counts of all tokens that two documents have; None if there are too many to be sent."""
+    counted = labelled.mapInArrow(_count, "key long, toxic long, clean long")
+    grouped = counted.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    grouped = written(grouped.where("key is null or toxic + clean > 1"), "counts")
+    if grouped.count() > MODEL_ENTRIES:
+        return None
+    rows = grouped.select("key", F.col("toxic").cast("float").alias("toxic"), F.col("clean").cast("float").alias("clean")).toArrow()
+    token = rows.filter(pc.is_valid(rows["key"]))
+    total = rows.filter(pc.is_null(rows["key"]))
+    key = np.asarray(token["key"]).astype(np.int64).view(np.uint64)
+    order = np.argsort(key)
+    documents = np.array([sum(total["toxic"].to_pylist()), sum(total["clean"].to_pylist())], float)
+    return Model(key[order], np.asarray(token["toxic"])[order], np.asarray(token["clean"])[order], documents)
 
 
 def token_scores(model: Model, w: Words, own: np.ndarray | None = None) -> np.ndarray:
-    """Log-odds of each token against the average, less the drift; a token counts once in a text.
+    """Log-odds of each token against the average, less the drift; a repetition within one passage tells less.
 
     The share of toxic documents among those with a token has a Dirichlet prior centred on
     the share of its next shorter prefix; the shortest prefix starts from the overall share. So
@@ -110,46 +126,57 @@ def token_scores(model: Model, w: Words, own: np.ndarray | None = None) -> np.nd
     `own` (the label of each text) leaves a training document's own counts out.
     """
     text = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
-    toxic_text = np.zeros(len(text)) if own is None else own[text]
-    clean_text = np.zeros(len(text)) if own is None else 1 - own[text]
+    # equal words of equally labelled texts have one score
+    label = np.zeros(len(text), np.uint64) if own is None else own[text].astype(np.uint64)
+    _, at, place = np.unique(w.hash * np.uint64(2) + label, return_index=True, return_inverse=True)
+    toxic_text = np.zeros(len(at)) if own is None else own[text[at]]
+    clean_text = np.zeros(len(at)) if own is None else 1 - own[text[at]]
     t, c = np.maximum(model.documents, 1.0)
     base = t / (t + c)
-    share = np.full(len(w.hash), base)
-    for level, key in enumerate(_keys(w)):
-        seen_t = np.maximum(model.toxic[level][key] - toxic_text, 0)
-        seen_c = np.maximum(model.clean[level][key] - clean_text, 0)
-        # without toxic documents the clean ones are not stored: clean by a fixed step
-        share = np.where(seen_t == 0, share * 0.8, (seen_t + PRIOR * share) / (seen_t + seen_c + PRIOR))
+    share = np.full(len(at), base)
+    for key in _keys(w)[:, at]:
+        seen_t, seen_c = model.counts(key)
+        seen_t, seen_c = np.maximum(seen_t - toxic_text, 0), np.maximum(seen_c - clean_text, 0)
+        share = (seen_t + PRIOR * share) / (seen_t + seen_c + PRIOR)
     share = np.clip(share, 1e-6, 1 - 1e-6)
-    scores = np.clip(np.log(share / (1 - share)) - np.log(base / (1 - base)) - DRIFT, FLOOR, CEILING)
-    _, first = np.unique(mix(w.hash + text.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)), return_index=True)
-    again = np.ones(len(scores), bool)
-    again[first] = False
-    return np.where(again, np.minimum(scores, -DRIFT), scores)
+    scores = np.clip(np.log(share / (1 - share)) - np.log(base / (1 - base)) - DRIFT, FLOOR, CEILING)[place]
+    return np.where(scores > 0, scores / (1 + _repeats(w.hash, text)), scores)
+
+
+def _repeats(key: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """How often each token has stood before it in its text without a gap of more than REACH tokens."""
+    key = mix(key + text.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+    order = np.argsort(key, kind="stable")
+    first = np.ones(len(key), bool)
+    first[1:] = (key[order][1:] != key[order][:-1]) | (np.diff(order) > REACH)
+    count = np.zeros(len(key), np.int64)
+    count[order] = np.arange(len(key)) - np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+    return count
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (begin, end, score), in linear time (Ruzzo and Tompa).
 
-    Each candidate remembers the running sums before and at its end; a new positive score
-    is merged with earlier candidates as long as that makes a segment with a larger score.
+    Each candidate remembers the running sums before and at its end, and the last earlier candidate
+    that began lower; a new positive score is merged with earlier candidates as long as that makes a
+    segment with a larger score. The search for one that began lower jumps along what
+    the passed ones remember, so that no candidate is passed twice.
     """
     total = np.concatenate([[0.0], np.cumsum(scores)])
-    stack: list[tuple[int, int, float, float]] = []  # begin, end, sum before, sum at the end
-    for i in np.flatnonzero(scores > 0).tolist():
-        begin, end, low, high = i, i + 1, float(total[i]), float(total[i + 1])
+    places = np.flatnonzero(scores > 0)
+    stack: list[tuple[int, int, float, float, int]] = []  # begin, end, sum before, sum at the end, began lower
+    for i, low, high in zip(places.tolist(), total[places].tolist(), total[places + 1].tolist(), strict=True):
+        begin = i
         while True:
             j = len(stack) - 1
-            skipped = []
             while j >= 0 and stack[j][2] >= low:
-                skipped.append(j)
-                j -= 1
+                j = stack[j][4]
             if j < 0 or stack[j][3] >= high:
                 break
             begin, low = stack[j][0], stack[j][2]
             del stack[j:]
-        stack.append((begin, end, low, high))
-    return [(b, e, h - l) for b, e, l, h in stack]
+        stack.append((begin, i + 1, low, high, j))
+    return [(b, e, h - l) for b, e, l, h, _ in stack]
 
 
 def _segments(model: Model, part: pa.RecordBatch, own: np.ndarray | None = None) -> tuple[np.ndarray, list]:
@@ -174,7 +201,7 @@ def _best(sent: Broadcast):
     """Counts of clean documents by log2 of their length and by the score of their best segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value.dense()
+        model = sent.value
         for batch in batches:
             for part in slices(batch, "text"):
                 toxic = np.asarray(part.column("toxic")).astype(np.int64)
@@ -192,7 +219,7 @@ def _evidence(sent: Broadcast, law: Law):
     """Counts of documents by class and by their evidence on a logarithmic scale."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value.dense()
+        model = sent.value
         for batch in batches:
             for part in slices(batch, "text"):
                 toxic = np.asarray(part.column("toxic")).astype(np.int64)
@@ -264,7 +291,7 @@ class Judge(NamedTuple):
 
 def _score(judge: Judge):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = judge.model.value.dense()
+        model = judge.model.value
         for batch in batches:
             for part in slices(batch, "text"):
                 score, n, found = judge.scores(model, part)
@@ -279,7 +306,7 @@ def _score(judge: Judge):
 
 def _keep(judge: Judge, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = judge.model.value.dense()
+        model = judge.model.value
         for batch in batches:
             for part in slices(batch, "text"):
                 yield part.filter(pa.array(judge.scores(model, part)[0] < threshold))
@@ -297,9 +324,19 @@ def learn(documents: DataFrame, labels: DataFrame) -> Judge:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().where(~_aside())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # labels grow with the documents: the same join at every size
-    labelled = written(docs.where(~_aside()).join(known.hint("merge"), "doc_id").select("text", "toxic"), "labelled")
-    # at most LEVELS * SLOTS entries of 12 bytes
-    model = documents.sparkSession.sparkContext.broadcast(_fit(labelled))
+    joined = docs.where(~_aside()).join(known.hint("merge"), "doc_id")
+    labelled = written(joined.select("doc_id", "text", "toxic"), "labelled")
+    size = labelled.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    share = min(1.0, LABELLED_BYTES / max(size, 1))
+    while True:
+        chosen = labelled if share == 1.0 else labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        fitted = _fit(chosen.select("text", "toxic"))
+        if fitted:
+            break
+        share /= 2
+    labelled = chosen.select("text", "toxic")
+    # at most MODEL_ENTRIES entries of 16 bytes
+    model = documents.sparkSession.sparkContext.broadcast(fitted)
     law = fit_law(_counted(labelled, _best(model), 64 * BINS).reshape(64, BINS))
     return Judge(model, law, *fit_logistic(_counted(labelled, _evidence(model, law), 2 * BINS)))
 
@@ -308,7 +345,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """One row per document: doc_id, held_out, score, predicted, spans (significant passages, in tokens).
 
     Token log-odds are learned from labelled documents that are not held out (crc32 of the
-    doc_id as text, modulo 3, is not 1) as grouped counts in a fixed number of slots. The law of
+    doc_id as text, modulo 3, is not 1) as grouped counts by the full hash of a token; every occurrence
+    of a token scores, a repetition nearby less than the first. The law of
     best segments in clean documents, and the map from a document's evidence to a probability,
     are fitted on the same documents, each scored without its own counts.
 
