@@ -1,9 +1,18 @@
-"""Main text of web pages by deducing each host's page template."""
+"""Main text of web pages by deducing each host's page templates.
+
+The tokens of a page are its elements and its text blocks, each told apart by its path. Tokens of a host
+that occur equally often on the same pages are one equivalence class. A class with enough pages
+is a template if it has structure: elements, in their order on the page, that enclose text which is not
+the class's own. So a host may have several templates, each with the pages that carry it. The text blocks of a
+template's class are fixed; what its elements enclose otherwise are its slots, and among these
+lies the main text.
+"""
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -15,12 +24,15 @@ from pyspark.sql import types as T
 
 from .tables import written
 
-#: A class belongs to the template if its tokens are on at least this share of a host's pages,
-#: and text blocks only if there are that many pages at all.
-SHARE = 0.95
-LEAST_PAGES = 10
+#: Fewest pages of a template.
+LEAST_PAGES = 5
+#: A text block on this share of a host's pages is fixed, whatever class it is in, if the host has ten pages.
+SHARE, MANY_PAGES = 0.95, 10
 #: The main region holds at least this share of the text in slots.
 MAIN_SHARE = 0.6
+#: Fixed blocks that make up more than this share of a page's region are the page's own text: pages that
+#: are copies of each other have their text in common, too.
+FIXED_SHARE = 0.5
 
 # fixed values: element names of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -30,7 +42,6 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td "
     "template tfoot th thead tr ul".split()
 )
-HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that never hold main text.
 APART = frozenset("head nav header footer aside form script style template noscript button select textarea title iframe svg canvas menu dialog object video audio".split())
 #: Words in class, id and role that mark what is not main text.
@@ -41,10 +52,16 @@ APART_WORDS = frozenset(
     "related recommended recommendations pagination pager copyright skip complementary contentinfo".split()
 )
 CENTRE = frozenset("article main".split())
+#: A marked element with this share of a page's text is a wrapper, if nothing else tells.
+WRAPPER_SHARE = 0.9
 #: Elements that are parts of a text, not the place of a whole one.
 PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figure figcaption table thead tbody tfoot tr td th address summary caption".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)>|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?][^>]*>|<([a-zA-Z/][^<>]*\Z)", re.S)
+# a start tag to its end, with quoted attributes; and as it is read where no quote ends any more
+_OPEN = re.compile(r"<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>")
+_OPEN_PLAIN = re.compile(r"<([a-zA-Z][^\s/>]*)([^>]*+)>")
+_CLOSE = re.compile(r"</([a-zA-Z][^\s/>]*)[^>]*+>")
+_CUT_OFF = re.compile(r"<[a-zA-Z/][^<>]*+\Z")
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-zA-Z]+")
 
@@ -53,7 +70,7 @@ class Element(NamedTuple):
     name: str
     path: str  # names and classes from the root
     apart: bool  # it or an ancestor never holds main text
-    heading: bool
+    marked: tuple[int, ...]  # the marked elements around it, by number
 
 
 class Block(NamedTuple):
@@ -63,96 +80,196 @@ class Block(NamedTuple):
     linked: int  # characters inside links
 
 
+class Tag(NamedTuple):
+    start: int
+    end: int
+    opened: str
+    attributes: str
+    closed: str
+
+
+def tags(page: str) -> Iterator[Tag]:
+    """The tags of a page (comments and declarations without a name), each character looked at a few times at most."""
+    at, last, pattern = 0, page.rfind(">"), _OPEN
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = len(page) if end < 0 else end + 3
+            yield Tag(start, at, "", "", "")
+            continue
+        if start > last:  # no tag ends any more: a tag cut off at the end of the page is none
+            cut = _CUT_OFF.search(page, start)
+            if cut:
+                yield Tag(cut.start(), len(page), "", "", "")
+            return
+        after = page[start + 1 : start + 2]
+        if after in ("!", "?"):
+            at = page.find(">", start) + 1
+            yield Tag(start, at, "", "", "")
+        elif after == "/":
+            found = _CLOSE.match(page, start)
+            at = found.end() if found else start + 1
+            if found:
+                yield Tag(start, at, "", "", found[1].lower())
+        else:
+            found = pattern.match(page, start)
+            if not found and after.isascii() and after.isalpha() and pattern is _OPEN:
+                # every end that follows stands in quotes; later tags would be searched as far again
+                pattern = _OPEN_PLAIN
+                found = pattern.match(page, start)
+            at = found.end() if found else start + 1
+            if found:
+                yield Tag(start, at, found[1].lower(), found[2], "")
+                if found[1].lower() in RAW:
+                    end = _raw_end(found[1].lower()).search(page, at)
+                    at = end.end() if end else len(page)
+
+
+_RAW_ENDS: dict[str, re.Pattern] = {}
+
+
+def _raw_end(name: str) -> re.Pattern:
+    return _RAW_ENDS.setdefault(name, re.compile(rf"</{name}\b[^>]*+(?:>|\Z)", re.I))
+
+
 def parse(page: str) -> tuple[list[Block], list[str]]:
     """The text blocks of a page in order, and the paths of its elements.
 
     Tolerates what browsers do: unclosed and stray tags, quotes inside scripts, a page that ends anywhere.
     """
-    stack = [Element("", "", False, False)]
-    blocks, paths = [], []
+    stack = [Element("", "", False, ())]
+    open_names: Counter = Counter()
+    open_blocks = [0]  # places of block elements in the stack
+    blocks: list[tuple[Block, tuple[int, ...]]] = []
+    paths: list[str] = []
+    centred: set[int] = set()  # marked elements around an article, a main element or a first heading
+    marks = 0
     text: list[str] = []
-    linked = 0
-    at = 0
+    linked = at = 0
 
     def flush():
         nonlocal linked
         joined = " ".join(entities.unescape("".join(text)).split())
         if joined:
-            blocks.append(Block(stack[-1].path if stack[-1].name in BLOCK else _block_path(stack), joined, stack[-1].apart, linked))
+            holder = stack[open_blocks[-1]]
+            blocks.append((Block(holder.path, joined, stack[-1].apart, linked), stack[-1].marked))
         text.clear()
         linked = 0
 
-    while at < len(page):
-        found = _TOKEN.search(page, at)
-        piece = page[at : found.start()] if found else page[at:]
-        if piece:
-            text.append(piece)
-            if any(e.name == "a" for e in stack):
-                linked += len(piece.strip())
-        if not found:
-            break
-        at = found.end()
-        opened, attributes, closed = found[1], found[2], found[3]
-        if opened:
-            name = opened.lower()
+    def cut(place: int):
+        for element in stack[place:]:
+            open_names[element.name] -= 1
+        del stack[place:]
+        while open_blocks[-1] >= place:
+            open_blocks.pop()
+
+    def take(end: int):
+        nonlocal linked
+        if end > at:
+            text.append(page[at:end])
+            if open_names["a"] > 0:
+                linked += len(page[at:end].strip())
+
+    for tag in tags(page):
+        take(tag.start)
+        at = tag.end
+        name = tag.opened
+        if name:
             if name == "br":
                 text.append(" ")
                 continue
             if name in BLOCK:
                 flush()
-                _close_implied(stack, name)
-            if name in VOID or (attributes.endswith("/") and name in ("svg", "path", "use")):
+                place = _implied_end(stack, open_blocks, name)
+                if place:
+                    cut(place)
+            if name in VOID or (tag.attributes.endswith("/") and name in ("svg", "path", "use")):
                 continue
-            element = _element(stack[-1], name, attributes)
-            stack.append(element)
+            element, marked = _element(stack[-1], name, tag.attributes, marks)
+            marks += marked
+            if name in CENTRE or name == "h1":
+                centred.update(element.marked)
             if name in BLOCK:
                 paths.append(element.path)
             if name in RAW:
-                end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                end = _raw_end(name).search(page, at)
                 at = end.end() if end else len(page)
-                stack.pop()
-        elif closed:
-            name = closed.lower()
+                continue
+            if name in BLOCK:
+                open_blocks.append(len(stack))
+            stack.append(element)
+            open_names[name] += 1
+        elif tag.closed:
+            name = tag.closed
             if name in BLOCK:
                 flush()
-            if any(e.name == name for e in stack):
-                while stack[-1].name != name:
-                    stack.pop()
-                stack.pop()
+            if open_names[name] > 0:
+                place = len(stack) - 1
+                while stack[place].name != name:
+                    place -= 1
+                cut(place)
             elif name == "br":
                 text.append(" ")
+    take(len(page))
     flush()
-    return blocks, paths
+    return _without_wrappers(blocks, centred), paths
 
 
-def _block_path(stack: list[Element]) -> str:
-    return next((e.path for e in reversed(stack) if e.name in BLOCK), "")
+def _without_wrappers(blocks: list[tuple[Block, tuple[int, ...]]], centred: set[int]) -> list[Block]:
+    """The blocks with what their marked elements decide.
 
-
-def _close_implied(stack: list[Element], name: str) -> None:
-    """A block ends an open paragraph; a list item, cell or row ends its predecessor."""
+    A class name like `sidebar` sets an element apart, unless the element is plainly a wrapper of the main text: it
+    encloses an article, a main element or the page's heading, or, where nothing does, nearly all text.
+    """
+    free = [(b, marked) for b, marked in blocks if not b.apart]
+    total = sum(len(b.text) for b, _ in free)
+    wrappers = set(centred)
+    if not centred:
+        while True:
+            left = [m[0] for m in (tuple(x for x in marked if x not in wrappers) for _, marked in free) if m]
+            outside = sum(len(b.text) for b, marked in free if not any(x not in wrappers for x in marked))
+            if not left or outside >= (1 - WRAPPER_SHARE) * total:
+                break
+            # the outermost mark with the most text is a wrapper
+            mass: Counter = Counter()
+            for b, marked in free:
+                for x in marked:
+                    if x not in wrappers:
+                        mass[x] += len(b.text)
+                        break
+            wrappers.add(max(mass, key=lambda x: (mass[x], -x)))
+    return [b._replace(apart=b.apart or any(x not in wrappers for x in marked)) for b, marked in blocks]
+
+
+def _implied_end(stack: list[Element], open_blocks: list[int], name: str) -> int:
+    """The place of the element that a new block ends: an open paragraph, or a list item, cell or row before it; or 0."""
     ends = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "option": ("option",)}.get(name, ())
-    stops = ("ul", "ol", "dl", "table", "tr", "select", "body", "div", "article", "section")
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].name == "p" or stack[i].name in ends:
-            del stack[i:]
-            return
-        if stack[i].name in BLOCK and (stack[i].name in stops or not ends):
-            return
-
-
-def _element(parent: Element, name: str, attributes: str) -> Element:
-    marks = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _MARK.finditer(attributes)] if attributes else []
-    named = " ".join(sorted(v for k, v in marks if k == "class"))
-    words = {w.lower() for _, v in marks for w in _WORD.findall(v)}
-    own = name in APART or (bool(words & APART_WORDS) and name not in ("html", "body", *CENTRE))
-    heading = parent.heading or name in HEADING
+    passed = ("p", "td", "th") if name == "tr" else ("p",)
+    place = 0
+    for k in range(len(open_blocks) - 1, 0, -1):
+        at = open_blocks[k]
+        if stack[at].name in ends:
+            return at
+        if stack[at].name == "p":
+            place = at
+        if stack[at].name not in passed or not ends:
+            return place
+    return place
+
+
+def _element(parent: Element, name: str, attributes: str, marks: int) -> tuple[Element, bool]:
+    """A new element, and whether its class, id or role marks it as something else than main text."""
+    found = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _MARK.finditer(attributes)] if attributes else []
+    named = " ".join(sorted(v for k, v in found if k == "class"))
+    words = {w.lower() for _, v in found for w in _WORD.findall(v)}
+    deep = parent.path.count("/") >= 60
+    marked = bool(words & APART_WORDS) and name not in ("html", "body", *CENTRE) and not deep
     # the heading of an article may stand in its own header
     inside = any(part.split(".")[0] in CENTRE for part in parent.path.split("/"))
-    own = own and not (name == "header" and inside and not words & APART_WORDS)
-    step = f"{name}.{named}" if named and len(named) < 100 else name
-    path = f"{parent.path}/{step}" if parent.path.count("/") < 60 else parent.path
-    return Element(name, path, parent.apart or own, heading)
+    apart = name in APART and not (name == "header" and inside and not marked)
+    step = f"{name}.{named if len(named) < 100 else xxhash.xxh64_hexdigest(named)}" if named else name
+    path = parent.path if deep else f"{parent.path}/{step}"
+    return Element(name, path, parent.apart or apart, parent.marked + (marks,) if marked else parent.marked), marked
 
 
 def _token(path: str, text: str = "") -> int:
@@ -210,74 +327,128 @@ def main_region(masses: dict[str, int]) -> str:
     return max(wide, key=lambda p: (p.count("/"), under[p], p), default="")
 
 
-def extract(page: str, region: str, fixed: frozenset[int]) -> str:
-    """The main text: blocks in the region's slots, without what stands apart or belongs to the template."""
-    blocks, _ = parse(page)
-    inside = lambda path, top: path == top or path.startswith(top + "/")
-    slots = [b for b in blocks if not b.apart and _token(b.path, b.text) not in fixed]
-    chosen = [b.text for b in slots if region and inside(b.path, region)]
-    if not chosen and slots:  # another layout than the host's template
-        masses: dict[str, int] = {}
-        for b in slots:
-            masses[b.path] = masses.get(b.path, 0) + max(len(b.text) - b.linked, 0)
-        own = main_region(masses)
-        chosen = [b.text for b in slots if inside(b.path, own) or not own]
-    return "\n".join(chosen)
+class Template(NamedTuple):
+    """A class of tokens: one of them to know its pages by, its fixed blocks, the text in its slots by path."""
+
+    marker: int
+    pages: int
+    fixed: frozenset[int]
+    region: str
+
+
+def _inside(path: str, top: str) -> bool:
+    return path == top or path.startswith(top + "/")
+
+
+def extract(page: str, templates: list[Template], everywhere: frozenset[int]) -> str:
+    """The main text: blocks in the region's slots, without what stands apart or is fixed.
+
+    `templates` are those of the page's host, of which the page has those whose marker it has; of those that hold
+    most of the page's text the one with the fewest pages tells the region. `everywhere` are blocks of nearly all pages.
+    """
+    blocks, paths = parse(page)
+    tokens = {_token(path) for path in paths}
+    carried = sorted((t for t in templates if t.marker in tokens), key=lambda t: (t.pages, t.marker))
+    open_blocks = [(b, _token(b.path, b.text)) for b in blocks if not b.apart]
+    fixed = everywhere.union(*(t.fixed for t in carried))
+    slots = [(b, token) for b, token in open_blocks if token not in fixed]
+    total = sum(len(b.text) for b, _ in slots)
+    held = [(sum(len(b.text) for b, _ in slots if _inside(b.path, t.region)), t.region) for t in carried if t.region]
+    # the first that holds most of the page's text in slots, else the one that holds most
+    region = next((r for n, r in held if n >= MAIN_SHARE * total), max(held, key=lambda x: x[0], default=(0, ""))[1])
+    if not total or not region:  # no template, or another layout than the host's
+        region = main_region(_masses(b for b, _ in slots or open_blocks))
+    here = [(b, token) for b, token in open_blocks if _inside(b.path, region) or not region]
+    # blocks that are fixed only in a class of pages may be what these pages have in common as copies
+    for known in (fixed, everywhere):
+        chosen = [b.text for b, token in here if token not in known]
+        if sum(map(len, chosen)) >= (1 - FIXED_SHARE) * sum(len(b.text) for b, _ in here):
+            return "\n".join(chosen)
+    return "\n".join(chosen or [b.text for b, _ in here])
+
+
+def _masses(blocks) -> dict[str, int]:
+    masses: dict[str, int] = {}
+    for b in blocks:
+        masses[b.path] = masses.get(b.path, 0) + max(len(b.text) - b.linked, 0)
+    return masses
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        regions: dict = {}
-        fixed = batch.column("fixed").to_pylist()
-        masses = batch.column("masses").to_pylist()
+        hosts: dict = {}
         out = []
-        for page, tokens, mass in zip(batch.column("html"), fixed, masses, strict=True):
-            known = tuple((m["path"], m["chars"]) for m in mass or ())
-            if known not in regions:
-                regions[known] = main_region(dict(known))
-            out.append(extract(page.as_py(), regions[known], frozenset(tokens or ())))
+        for host, page, templates, fixed in zip(
+            batch.column("host").to_pylist(), batch.column("html"), batch.column("templates"), batch.column("everywhere"), strict=True
+        ):
+            if host not in hosts:
+                known = [
+                    Template(t["marker"], t["pages"], frozenset(t["fixed"] or ()), main_region({m["path"]: m["chars"] for m in t["masses"] or ()}))
+                    for t in templates.as_py() or ()
+                ]
+                hosts[host] = known, frozenset(fixed.as_py() or ())
+            out.append(extract(page.as_py(), *hosts[host]))
         text = pa.array(out, pa.string())
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), text, pa.array([len(t) for t in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
+#: SQL: a path and all paths above it.
+_ABOVE = "transform(sequence(2, size(split(path, '/'))), n -> array_join(slice(split(path, '/'), 1, n), '/'))"
+
+
+def deduced_templates(tokens: DataFrame) -> DataFrame:
+    """(host, marker, pages, fixed, masses) of every valid class, from the tokens of all hosts.
+
+    Classes with fewer than LEAST_PAGES pages leave before they are collected. A class is valid if
+    one of its elements encloses text in slots: blocks that no class of so many pages has.
+    """
+    often = tokens.where(F.col("pages") >= LEAST_PAGES)
+    classes = often.groupBy("host", "vector", "pages").agg(
+        F.collect_list(F.when(F.col("is_block") & ~F.col("apart"), F.col("token"))).alias("fixed"),
+        F.array_sort(F.collect_list(F.when(~F.col("is_block"), F.struct("place", "path", "token")))).alias("elements"),
+    ).where("size(elements) > 0")
+    # the first element on the page stands for all: they are on the same pages
+    classes = written(classes.select("host", "pages", F.element_at("elements", 1)["token"].alias("marker"), "fixed", "elements"), "classes")
+    slots = tokens.where("is_block and not apart").where(F.col("pages") < LEAST_PAGES).groupBy("host", "path").agg(F.sum("chars").alias("chars"))
+    slots = slots.select("host", "path", "chars", F.explode(F.expr(_ABOVE)).alias("above"))
+    structure = classes.select("host", "marker", F.explode("elements").alias("e")).select("host", "marker", F.col("e.path").alias("above"))
+    held = slots.join(structure, ["host", "above"]).select("host", "marker", "path", "chars").distinct()
+    masses = held.groupBy("host", "marker").agg(F.array_sort(F.collect_list(F.struct("path", "chars"))).alias("masses"))
+    return classes.drop("elements").join(masses, ["host", "marker"])
+
+
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
-    Tokens are a page's elements and text blocks, each told apart by its path. Tokens of a host
-    whose occurrence vectors over its pages are equal form a class; the vector is a digest that
-    is added up in any order, so a host's pages never meet in one task. Classes on nearly all pages
-    are the template: their elements enclose each other by path, their text blocks are fixed.
-    What remains are slots; the main region is the element whose slots hold the text, and
-    everything in it is kept, but for elements that stand apart by name (menus, headers, footers,
-    sidebars, notices, adverts, forms, comments).
-
-    A page of a host with few pages, or with another layout, is judged on its own slots. Null and
-    empty pages have an empty text; a null URL counts as a host of its own; repeated
-    rows are repeated results.
+    Tokens of a host whose occurrence vectors over its pages are equal form a class; the vector is a
+    digest that is added up in any order, so a host's pages never meet in one task. Classes with enough pages
+    whose elements enclose slots are the host's templates (see `deduced_templates`). A page has the templates whose
+    tokens it has: their text blocks are fixed, and the main region is the element whose slots hold the text. All
+    blocks of the region are kept but fixed ones and those that stand apart by element (menus, headers, footers,
+    sidebars, forms). A class name that tells such a thing (notices, adverts, comments) decides only for elements that
+    do not enclose the main text.
+
+    A page without template is judged on its own slots; where fixed blocks are most of a region, pages are copies,
+    and the blocks are kept. Of regions with equal text the outermost, then the last by path, is taken. Null and
+    empty pages have an empty text; a null URL counts as a host of its own; repeated rows are repeated
+    results. Of other columns none is read. Very long and hostile pages (tags that never end, very deep nesting)
+    take time in proportion to their length; paths are told apart down to depth 60.
     """
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     base = pages.select("page_id", "url", F.lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)).alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     keyed = base.select("host", F.monotonically_increasing_id().alias("key"), "html")
     tokens = keyed.mapInArrow(_occurrences, _STATS).groupBy("host", "token").agg(
         F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.min("path").alias("path"),
-        F.first("is_block").alias("is_block"), F.first("apart").alias("apart"), F.sum("chars").alias("chars"), (F.sum("place") / F.sum("pages")).alias("place"),
-    )
-    # every page has the path-less root, so the largest count of a host is its number of pages
-    known = base.groupBy("host").agg(F.count("*").alias("all_pages"))
-    tokens = written(tokens.join(known, "host"), "tokens")
-    classes = tokens.groupBy("host", "vector", "pages", "all_pages").agg(
-        F.collect_list(F.when(F.col("is_block") & ~F.col("apart") & (F.col("pages") >= SHARE * F.col("all_pages")) & (F.col("all_pages") >= LEAST_PAGES), F.col("token"))).alias("fixed"),
-        F.collect_list(F.when(~F.col("is_block") & (F.col("pages") >= SHARE * F.col("all_pages")), F.struct("place", "path"))).alias("elements"),
+        F.first("is_block").alias("is_block"), F.bool_and("apart").alias("apart"), F.sum("chars").alias("chars"), (F.sum("place") / F.sum("pages")).alias("place"),
     )
-    classes = classes.where("size(fixed) > 0 or size(elements) > 0")
-    template = classes.groupBy("host").agg(F.flatten(F.collect_list("fixed")).alias("fixed"), F.array_sort(F.flatten(F.collect_list("elements"))).alias("elements"))
-    slots = tokens.where("is_block and not apart").where((F.col("pages") < SHARE * F.col("all_pages")) | (F.col("all_pages") < LEAST_PAGES))
-    slots = slots.groupBy("host", "path").agg(F.sum("chars").alias("chars"), F.sum("pages").alias("pages"), F.first("all_pages").alias("all_pages"))
-    # slots that the template encloses
-    slots = slots.join(template.select("host", "elements"), "host").where(F.exists("elements", lambda e: e["path"] == F.col("path")))
-    masses = slots.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("path", "chars"))).alias("masses"))
+    tokens = written(tokens, "tokens")
+    sizes = base.groupBy("host").agg(F.count("*").alias("all_pages"))
+    common = tokens.where(F.col("is_block") & ~F.col("apart") & (F.col("pages") >= SHARE * MANY_PAGES)).join(sizes, "host")
+    common = common.where((F.col("pages") >= SHARE * F.col("all_pages")) & (F.col("all_pages") >= MANY_PAGES))
+    everywhere = common.groupBy("host").agg(F.collect_list("token").alias("everywhere"))
+    templates = deduced_templates(tokens).groupBy("host").agg(F.collect_list(F.struct("marker", "pages", "fixed", "masses")).alias("templates"))
     # a table of its own: Spark sees its size, and splits hot hosts if it is too large to be broadcast
-    plan = written(template.join(masses, "host", "left").select("host", "fixed", "masses"), "templates")
-    return base.join(plan, "host", "left").select("page_id", "url", "html", "fixed", "masses").mapInArrow(
+    plan = written(templates.join(everywhere, "host", "full").select("host", "templates", "everywhere"), "templates")
+    return base.join(plan, "host", "left").select("page_id", "url", "host", "html", "templates", "everywhere").mapInArrow(
         _extract, T.StructType([*base.select("page_id", "url").schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     )

@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from .tables import written
 from .words import mix, powers, text_bytes
 
 #: (verdict, host, path prefix); the longest fitting rule decides.
@@ -22,89 +22,120 @@ RULES = (
     ("block", "com", "/de/"),
 )
 ORDER = 5  # characters of context at most
-#: Counters of each order: the size of the models is fixed, whatever the number of URLs.
-SLOTS = 1 << 18
 #: Weight of the shorter context's estimate, in observations.
 WEIGHT = 4.0
 #: One labelled URL in so many sets the threshold instead of training.
 HELD_OUT = 5
+#: Text of the URLs that are scored together, in bytes.
+BLOCK_BYTES = 1 << 20
 #: Bins of the score, from -SPAN to SPAN, in which the threshold is sought.
 BINS, SPAN = 400, 4.0
 
 
-class Models(NamedTuple):
-    counts: np.ndarray  # [class, order, slot]: how often a run of order + 1 characters was seen
-    totals: np.ndarray  # [class]
+class Counts(NamedTuple):
+    """How often runs of characters were seen in accepted and rejected URLs, by the runs' full hashes."""
+
+    key: np.ndarray  # sorted
+    seen: np.ndarray  # [class, run]
+    totals: np.ndarray  # [class]: all characters
+
+    def of(self, key: np.ndarray, c: int) -> np.ndarray:
+        if not len(self.key):
+            return np.zeros(len(key))
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(self.key[at] == key, self.seen[c, at], 0.0)
 
 
 def _grams(column: pa.Array, order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each length 0..order+1: the slot of the run of that length that ends at each character; and the owner."""
+    """For each length 0..order+1: the hash of the run of that length that ends at each character; and the owner."""
     data, at = text_bytes(column)
     owner = np.repeat(np.arange(len(column)), np.diff(at))
     room = np.arange(len(data)) - at[:-1][owner] if len(data) else owner
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data)))])
     back = powers(len(data) + 1, pow(0x9E3779B97F4A7C15, -1, 1 << 64))
     ends = np.arange(1, len(data) + 1)
-    slots = []
+    keys = []
     for length in range(order + 2):
         # at the beginning of a text, runs are as short as the text allows, and marked as such
         start = ends - np.minimum(length, room + 1)
-        value = mix((total[ends] - total[start]) * back[start] + (np.uint64(length) << np.uint64(48)) + (ends - start).astype(np.uint64))
-        slots.append((value % np.uint64(SLOTS)).astype(np.int64))
-    return slots, owner
+        keys.append(mix((total[ends] - total[start]) * back[start] + (np.uint64(length) << np.uint64(48)) + (ends - start).astype(np.uint64)))
+    return keys, owner
+
+
+#: The run of no characters: it is seen at every character.
+EMPTY = int(mix(np.zeros(1, np.uint64)).view(np.int64)[0])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        slots, owner = _grams(batch.column("text"), ORDER)
+        keys, owner = _grams(batch.column("text"), ORDER)
         allowed = np.asarray(batch.column("allowed"), dtype=bool)[owner]
-        keys = np.concatenate([length * SLOTS + slot for length, slot in enumerate(slots)])
-        key, where = np.unique(keys, return_inverse=True)
-        both = np.tile(allowed, len(slots))
+        key, where = np.unique(np.concatenate(keys), return_inverse=True)
+        both = np.tile(allowed, len(keys))
         yes, every = np.bincount(where, both, len(key)), np.bincount(where, minlength=len(key))
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(yes.astype(np.int64)), pa.array((every - yes).astype(np.int64))], ["key", "allow", "block"])
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(yes.astype(np.int64)), pa.array((every - yes).astype(np.int64))], ["key", "allow", "block"])
+
+
+def _runs(key: tuple[pa.Scalar, ...], urls: pa.Table) -> pa.Table:
+    """The distinct runs of a block of URLs."""
+    keys, _ = _grams(urls.column("text").combine_chunks(), ORDER)
+    found = np.unique(np.concatenate(keys[1:]))
+    return pa.table({"block": pa.array(np.full(len(found), key[0].as_py())), "key": pa.array(found.view(np.int64))})
 
 
-def difference(models: Models, column: pa.Array) -> np.ndarray:
+def difference(counts: Counts, column: pa.Array) -> np.ndarray:
     """log P(text | accepted) - log P(text | rejected), per character; 0 for an empty text.
 
     Each model mixes contexts of all lengths: the estimate for a context is its counts plus
-    WEIGHT observations distributed as the next shorter context has it, down to equal bytes.
+    WEIGHT observations distributed as the next shorter context has it, down to equal bytes. A
+    context is a run without its last character; at a text's first character it is all characters.
     """
-    slots, owner = _grams(column, ORDER)
+    keys, owner = _grams(column, ORDER)
+    first = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, bool)
     logs = []
     for c in range(2):
         p = np.full(len(owner), 1 / 256)
-        for length in range(1, ORDER + 2):
-            seen = models.counts[c, length][slots[length]]
-            # the context is the same run without its last character: it ended one character earlier
-            before = np.full(len(owner), float(models.totals[c]))
-            if length > 1 and len(owner):
-                earlier = models.counts[c, length - 1][slots[length - 1]]
-                before[1:] = earlier[:-1]
-                first = np.concatenate([[True], owner[1:] != owner[:-1]])
-                before[first] = float(models.totals[c])
-            p = (seen + WEIGHT * p) / (np.maximum(before, seen) + WEIGHT)
+        earlier = np.full(len(owner), float(counts.totals[c]))
+        for key in keys[1:]:
+            seen = counts.of(key, c)
+            before = np.where(first, float(counts.totals[c]), np.concatenate([earlier[:1], earlier[:-1]]))
+            p = (seen + WEIGHT * p) / (before + WEIGHT)
+            earlier = seen
         logs.append(np.log(p))
     n = np.maximum(np.bincount(owner, minlength=len(column)), 1)
     return np.bincount(owner, logs[0] - logs[1], len(column)) / n
 
 
-def _score(models: Models):
-    seen = np.flatnonzero(models.counts)  # few of the slots: only these travel
-    values, totals = models.counts.ravel()[seen], models.totals
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(2 * (ORDER + 2) * SLOTS, np.float32)
-        counts[seen] = values
-        models = Models(counts.reshape(2, ORDER + 2, SLOTS), totals)
-        for batch in batches:
-            score = pa.array(difference(models, batch.column("text")))
-            yield batch.append_column("score", score)
+def _score(totals: np.ndarray):
+    def run(key: tuple[pa.Scalar, ...], urls: pa.Table, runs: pa.Table) -> pa.Table:
+        keys = np.asarray(runs["key"]).astype(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        seen = np.stack([np.asarray(runs[c]).astype(float)[order] for c in ("allow", "block")])
+        text = urls.column("text").combine_chunks()
+        return pa.table({"text": text, "score": pa.array(difference(Counts(keys[order], seen, totals), text))})
 
     return run
 
 
+def scored_urls(urls: DataFrame, labelled: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(text, score) of distinct URLs by two models counted from (text, allowed), and the models' sizes.
+
+    The counts are a table of all runs, which grows with the labelled URLs. URLs are dealt out in blocks by
+    their hash; a block's distinct runs are joined to the counts, and what is known of them comes back.
+    """
+    counted = labelled.mapInArrow(_count, "key long, allow long, block long").groupBy("key").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+    counted = written(counted, "runs")
+    whole = counted.where(F.col("key") == EMPTY).first()
+    totals = np.array([whole["allow"], whole["block"]] if whole else [0, 0], float)
+    urls = urls.select("text").distinct()
+    size = urls.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    block = F.pmod(F.xxhash64("text"), F.lit(max(1, -(-size // BLOCK_BYTES))))
+    urls = urls.select(block.alias("of"), "text")
+    runs = urls.groupBy("of").applyInArrow(_runs, "block long, key long").join(counted.withColumnRenamed("block", "blocked").hint("merge"), "key")
+    runs = runs.select(F.col("block").alias("at"), "key", "allow", F.col("blocked").alias("block"))
+    return urls.groupBy("of").cogroup(runs.groupBy("at")).applyInArrow(_score(totals), "text string, score double"), totals
+
+
 def _lower(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -117,9 +148,9 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     threshold maximises balanced accuracy on labelled URLs that were held out (by
     a hash of the URL; an allowed URL on the threshold passes).
 
-    The counts are grouped sums over all labelled URLs in a fixed number of slots, so the
-    models have the same bounded size for any input. A null URL or one without "://" has an
-    empty host and path and no rule; a null or empty one has score 0. Without labelled URLs of
+    Equal URLs are scored once, so a hot URL is no hot task. A null URL or one without "://" has an
+    empty host and path and no rule; a null or empty one has score 0; a very long one is scored whole.
+    Repeated rows are repeated results; of other columns none is read. Without labelled URLs of
     both kinds nothing is rejected but by rule.
     """
     host = r"(?s)^.*?://([^/?#]*)"
@@ -138,18 +169,14 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     base = base.withColumns({"rule": rule, "given": given})
     labelled = base.where("given is not null").select("text", (F.col("given") == "allow").alias("allowed"))
     aside = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
-    counted = labelled.where(~aside).mapInArrow(_count, "key long, allow long, block long").groupBy("key").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
-    counted = counted.toPandas()  # at most (ORDER + 2) * SLOTS rows
-    counts = np.zeros((2, (ORDER + 2) * SLOTS))
-    counts[0, counted["key"]], counts[1, counted["key"]] = counted["allow"], counted["block"]
-    counts = counts.reshape(2, ORDER + 2, SLOTS)
-    models = Models(counts.astype(np.float32), counts[:, 0].sum(1))
-    threshold = _threshold(labelled.where(aside).mapInArrow(_score(models), "text string, allowed boolean, score double"))
-    if not models.totals.all():
+    scores, totals = scored_urls(base, labelled.where(~aside))
+    scores = written(scores, "scores")
+    threshold = _threshold(labelled.where(aside).join(scores, "text"))
+    if not totals.all():
         threshold = -np.inf
-    scored = base.mapInArrow(_score(models), T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType())]))
     judged = F.when(F.col("score") >= F.lit(float(threshold)), "allow").otherwise("block")
-    return scored.select("page_id", "host", "path", "rule", F.coalesce("given", judged).alias("verdict"), "score")
+    # a hot URL is split by adaptive execution: scores have one row for it
+    return base.join(scores, "text").select("page_id", "host", "path", "rule", F.coalesce("given", judged).alias("verdict"), "score")
 
 
 def _threshold(held_out: DataFrame) -> float:
