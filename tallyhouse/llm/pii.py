@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import written
@@ -85,13 +85,11 @@ def _matches(pattern: str, gate: str) -> Column:
 
 
 def base_spans(documents: DataFrame) -> DataFrame:
-    """row, doc_id, text and the valid matches of each kind."""
+    """doc_id, text and the valid matches of each kind."""
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    # equal rows have equal spans, so a digest of the row identifies it in every branch of the plan
-    docs = docs.withColumn("row", F.md5(F.concat_ws(":", "doc_id", "text")))
     shapes = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True))
     docs = docs.withColumns({kind: _matches(shapes[kind], _GATE[kind]) for kind in KINDS})
     return docs.withColumns({kind: F.expr(f"filter({kind}, m -> {_VALID[kind]})") for kind in KINDS})
@@ -130,17 +128,22 @@ def personal_data(documents: DataFrame, rounds: int = ROUNDS, seeds: int = SEEDS
     pattern graph is scored over all documents, and candidates that
     confident patterns mark are spans of kind `context`.
 
-    Only texts with a digit or an @ are searched for candidates. Null and empty texts have no
-    span; repeated rows are repeated results.
+    Only texts with a digit are searched for candidates. Null and empty texts have no span; repeated rows
+    are repeated results; other columns are not read. A candidate that overlaps a seed is none. A pattern is two words of at
+    most 20 characters, so longer words make none. Very long texts are searched whole; their matches are sorted by
+    place, not compared with each other.
     """
-    found = base_spans(documents)
-    seed = F.explode(F.concat(*KINDS)).alias("m")
-    known = found.select("row", seed).select("row", "m.*", F.lit(True).alias("seed"))
-    every = F.array_sort(F.transform(F.concat(*KINDS), lambda m: F.struct(m["start"], m["end"])))
-    other = found.select("row", every.alias("taken"), _matches(CANDIDATE, "text rlike '[0-9]'").alias("candidates"))
-    free = "filter(candidates, c -> length(c.value) >= 5 and not exists(taken, t -> t.start < c.end and c.start < t.end))"
-    other = other.select("row", F.explode(F.expr(free)).alias("m")).select("row", "m.*", F.lit(False).alias("seed"))
+    found = base_spans(documents).withColumn("candidates", _matches(CANDIDATE, "text rlike '[0-9]'"))
+    # written once, without the texts, and read by all that follows
+    found = written(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", *KINDS, "candidates"), "matches")
+    known = found.select("row", F.explode(F.concat(*KINDS)).alias("m")).select("row", "m.*", F.lit(True).alias("seed"))
+    other = found.select("row", F.explode(F.expr("filter(candidates, c -> length(c.value) >= 5)")).alias("m")).select("row", "m.*", F.lit(False).alias("seed"))
+    # the furthest end of the seeds that begin before or with a match, and the next begin of one after or with it
+    up, down = (Window.partitionBy("row").orderBy(o).rangeBetween(Window.unboundedPreceding, 0) for o in (F.col("start"), F.col("start").desc()))
     both = known.unionByName(other)
+    both = both.withColumn("reach", F.max(F.when(F.col("seed"), F.col("end"))).over(up)).withColumn("next", F.min(F.when(F.col("seed"), F.col("start"))).over(down))
+    overlaps = F.coalesce(F.col("reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("next") < F.col("end"), F.lit(False))
+    both = both.where(F.col("seed") | ~overlaps)
     words = F.regexp_extract("before", r"(\S{1,20}\s{1,3}\S{1,20})\s{0,3}\z", 1)
     pattern = F.lower(F.regexp_replace(words, r"[^\p{L}\p{N}:=#]+", " "))
     both = both.withColumn("pattern", pattern).where(F.length("pattern") > 2)

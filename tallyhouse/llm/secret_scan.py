@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -53,13 +55,15 @@ def find_secrets(text: str, encode: Callable[[str], list[int]], min_run: int = M
     spans = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
     spans += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if len(m[0]) >= 16]
     spans += [(m.start(), 2, m.end()) for m in _HEX.finditer(text) if len(m[0]) >= 32]
-    known = spans[:]
+    known = sorted((a, b) for a, _, b in spans)
+    starts, reach = [a for a, _ in known], list(accumulate((b for _, b in known), max))
     for m in _RUN.finditer(text):
         run = m[0]
         if len(run) < min_run or _DIGEST.match(run) or _IDENTIFIER.match(run):
             continue
-        if any(a < m.end() and m.start() < b for a, _, b in known):
-            continue
+        earlier = bisect_left(starts, m.end())
+        if earlier and reach[earlier - 1] > m.start():
+            continue  # a known span begins before its end and ends after its start
         if len(run) < max_ratio * len(encode(run)):
             spans.append((m.start(), 3, m.end()))
     return sorted(spans)
@@ -125,8 +129,10 @@ def scan_secrets(documents: DataFrame, path: str | None = None, min_run: int = M
 
     Beside the known shapes, a long run of letters, digits and + / _ = - counts as random when the
     vocabulary needs a token for fewer than `max_ratio` of its characters, unless
-    it is a digest of a usual length, a UUID, or a number. Names of known words need fewer tokens. Rows are scanned where they are read. Null and empty texts have no
-    span; repeated rows are repeated results.
+    it is a digest of a usual length, a UUID, or a number, or overlaps a known shape. Names of known words need fewer
+    tokens. Rows are scanned where they are read. Null and empty texts have no
+    span; repeated rows are repeated results; spans with one start are listed by kind. Very long texts are scanned
+    whole, in time proportional to their length and the logarithm of their spans. Other columns are not read.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = docs.mapInArrow(

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import string
+import time
 
 import brute
 
@@ -81,6 +82,28 @@ def test_contexts_discover_unseen_identifiers(documents):
     assert out[11][1] == 0
 
 
+def test_one_long_text_with_very_many_matches(documents):
+    secrets = "token=abcdefgh0 deadbeefdeadbeefdeadbeefdeadbeef Zm9vYmFyMTIzcXdlcnR5OTg3NjU0MzIx " * 25_000
+    people = "a.b@c.de id x12345 10.0.0.1 +1 (017) 555-7713 " * 17_000
+    start = time.time()
+    (found,) = scan_secrets(documents([(1, secrets)])).collect()
+    assert (found.n_assign, found.n_access, found.n_hex, found.base_sha256) == brute.secrets(secrets) and found.n_random == 25_000
+    assert time.time() - start < 30
+    start = time.time()
+    (found,) = personal_data(documents([(1, people)])).collect()
+    assert tuple(found)[1:6] == brute.personal(people)
+    assert time.time() - start < 60
+
+
+def test_candidates_that_overlap_a_seed_are_none(documents):
+    rows = [(i, f"the customer number: {i}0.20.30.{i} and customer number: a{i}b2c3") for i in range(1, 9)] + [(None, "5:x"), (5, "x"), (None, None)]
+    out = personal_data(documents(rows)).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        spans = sorted(tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_empty_tables(documents):
     none = documents([(1, "x")]).where("false")
     empty = hashlib.sha256(b"").hexdigest()
