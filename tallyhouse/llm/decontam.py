@@ -48,18 +48,19 @@ class Suffixes:
         at = self.order[suffix] + offset
         return np.where(at < len(self.codes), self.codes[np.minimum(at, len(self.codes) - 1)], 0)
 
-    def search(self, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each row of `patterns`: the interval of suffixes that share its longest prefix, and that length.
+    def search(self, code: np.ndarray, start: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each pattern, `lengths` words of `code` from `start` on: the interval of suffixes that share its longest
+        prefix, and that length.
 
         All patterns are narrowed together, one word deeper at a time, each by two binary searches.
         """
-        low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), len(self.order), np.int64)
-        length, live = np.zeros(len(patterns), np.int64), np.arange(len(patterns))
-        for offset in range(patterns.shape[1] if len(self.order) else 0):
+        low, high = np.zeros(len(start), np.int64), np.full(len(start), len(self.order), np.int64)
+        length, live = np.zeros(len(start), np.int64), np.arange(len(start))
+        for offset in range(int(lengths.max(initial=0)) if len(self.order) else 0):
             live = live[lengths[live] > offset]
             if not len(live):
                 break
-            word = patterns[live, offset]
+            word = code[start[live] + offset]
             a = self._bisect(low[live], high[live], word, offset, False)
             b = self._bisect(low[live], high[live], word, offset, True)
             found = a < b
@@ -84,7 +85,7 @@ class Items:
         w = words(column, LETTER_DIGIT)
         self.window, count = window, np.diff(w.first)
         self.vocabulary = np.unique(w.hash)
-        self.code = np.searchsorted(self.vocabulary, w.hash) + 1
+        self.code = (np.searchsorted(self.vocabulary, w.hash) + 1).astype(np.int32)
         starts, owners, sizes = [], [], []
         for i, n in enumerate(count):
             size = min(n, window)
@@ -92,9 +93,9 @@ class Items:
                 at = np.arange(w.first[i], w.first[i + 1] - size + 1)
                 starts.append(at), owners.append(np.full(len(at), i)), sizes.append(np.full(len(at), size))
         empty = [np.zeros(0, np.int64)]
-        start, self.owner, self.size = (np.concatenate(x or empty) for x in (starts, owners, sizes))
-        reach = np.minimum(start[:, None] + np.arange(window), max(len(self.code) - 1, 0))
-        self.patterns = np.where(np.arange(window) < self.size[:, None], self.code[reach], 0) if len(start) else np.zeros((0, window), np.int64)
+        # a window is a place in the items' words, not a copy of them
+        self.start, self.owner, self.size = (np.concatenate(x or empty).astype(np.int32) for x in (starts, owners, sizes))
+        self.first = w.first.astype(np.int32)
         self.ids = ids
 
     def codes(self, w: Words) -> np.ndarray:
@@ -111,8 +112,9 @@ def _find(items: Items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SHARD_BYTES):
-                n_words, edges, found = _shard(items, part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), n_words, edges, found], ["row", "doc_id", "n_words", "edges", "items"])
+                n_words, edges, found, matches = _shard(items, part.column("text"))
+                columns = [part.column("row"), part.column("doc_id"), n_words, edges, found, matches]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_words", "edges", "items", "matches"])
 
     return run
 
@@ -121,20 +123,23 @@ def _keep(items: Items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SHARD_BYTES):
-                _, _, found = _shard(items, part.column("text"))
+                _, _, found, _ = _shard(items, part.column("text"))
                 yield part.filter(pc.equal(pc.list_value_length(found), 0))
 
     return run
 
 
-def _shard(items: Items, column: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
-    """Of each document: its words, the edges of its hit ranges, the items found in it."""
+_MATCH = pa.struct([("item", pa.string()), ("item_start", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+
+
+def _shard(items: Items, column: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+    """Of each document: its words, the edges of its hit ranges, the items found in it, its longest matches with items."""
     n = len(column)
     w = words(column, LETTER_DIGIT)
     n_words = np.diff(w.first)
     begin = w.first[:-1] + np.arange(n)  # of each document among the codes
     array = Suffixes(items.codes(w), items.window)
-    low, high, length = array.search(items.patterns, items.size)
+    low, high, length = array.search(items.code, items.start, items.size)
     whole = np.flatnonzero((length == items.size) & (length > 0))
     spread = high[whole] - low[whole]
     which = np.repeat(whole, spread)
@@ -156,24 +161,40 @@ def _shard(items: Items, column: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array
         return pa.ListArray.from_arrays(pa.array((np.searchsorted(owner, np.arange(n + 1)) * each).astype(np.int32)), values)
 
     found = lists(pair_text, names.take(pa.array(pair_item, pa.int64())), 1)
-    return pa.array(n_words, pa.int64()), lists(span_text, pa.array(span, pa.int64()), 2), found
-
-
-_FOUND = "row long, doc_id long, n_words long, edges array<long>, items array<string>"
+    # windows that follow each other in the document and in the item are one match
+    item = items.owner[which].astype(np.int64)
+    place = items.start[which].astype(np.int64) - items.first[item]
+    order = np.lexsort((at, at - place, item, text))
+    at, text, item, place, size = at[order], text[order], item[order], place[order], items.size[which][order]
+    goes_on = np.zeros(len(at), bool)
+    goes_on[1:] = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (at[1:] == at[:-1] + 1) & (place[1:] == place[:-1] + 1)
+    opens, closes = np.flatnonzero(~goes_on), np.flatnonzero(~np.concatenate([goes_on[1:], np.zeros(min(len(at), 1), bool)]))
+    owner = text[opens]
+    columns = [names.take(pa.array(item[opens])), place[opens], at[opens] - begin[owner], at[closes] + size[closes] - begin[owner]]
+    matches = pa.StructArray.from_arrays([columns[0], *(pa.array(c, pa.int64()) for c in columns[1:])], fields=list(_MATCH))
+    return pa.array(n_words, pa.int64()), lists(span_text, pa.array(span, pa.int64()), 2), found, lists(owner, matches, 1)
+
+
+_FOUND = (
+    "row long, doc_id long, n_words long, edges array<long>, items array<string>, "
+    "matches array<struct<item: string, item_start: bigint, start: bigint, end: bigint>>"
+)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, edges.
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, edges, matches.
 
     A window is `window` consecutive words of an item, or a whole item that has fewer; a
     document word inside any occurrence of a window is hit. `edges` has the hit ranges
-    (begin, end, begin, end ... in words), the longest verbatim matches with their places.
+    (begin, end, begin, end ... in words). `matches` has every longest verbatim match with an item, of `window`
+    words or more or a whole item: the item, its first word there, and the range in the document.
 
     Documents stay where they are read: every task builds suffix arrays over shards of its
     own rows and looks up all windows of a block of items. A block is bounded by
     `block_bytes`; larger benchmarks take more passes, whose ranges are then united
     per document. Null texts have no words; null items and items without words
-    have no window; item_ids count once however often they are repeated.
+    have no window; item_ids count once however often they are repeated. Repeated rows and rows without
+    doc_id have a result each; a very long text is a shard of its own; other columns are not read.
     """
     docs = documents.select(
         F.monotonically_increasing_id().alias("row"),
@@ -185,7 +206,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         here = docs.mapInArrow(_find(items), _FOUND)
         found, blocks = here if found is None else found.unionByName(here), blocks + 1
     if blocks > 1:
-        found = found.groupBy("row", "doc_id", "n_words").agg(F.flatten(F.collect_list("edges")).alias("edges"), F.flatten(F.collect_list("items")).alias("items"))
+        found = found.groupBy("row", "doc_id", "n_words").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("edges", "items", "matches")))
         found = found.withColumn("edges", F.expr(_UNITE))
     found = found.withColumn("items", F.array_sort(F.array_distinct("items")))
     hit = F.expr("aggregate(transform(edges, (e, i) -> if(i % 2 = 0, -e, e)), 0L, (total, x) -> total + x)")
@@ -193,7 +214,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), "items", "edges",
+        (F.col("n_hit") > 0).alias("contaminated"), "items", "edges", F.array_sort("matches").alias("matches"),
     )
 
 
