@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import written
 from .words import SLICE_BYTES, range_hash
 
 #: Bytes of a chunk: at least, the size around which the boundary rule eases, at most.
@@ -176,9 +177,12 @@ def chunk_fingerprints(documents: DataFrame, partitions: int | None = None) -> D
     ranges = keyed.repartitionByRange(count, *order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
     inner = ranges.mapInArrow(_inner, _ROWS)
     ends = ranges.mapInArrow(_ends, "part int, head string, doc_id long, text string")
-    # one row per range, in one small sort: which text comes after which
+    ends = written(ends, "range_ends")
+    # which range comes after which: the numbers of the ranges that have rows are sorted alone, texts are joined to them
     ranged = Window.orderBy("part")
-    first = F.first("head").over(ranged.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    outer = ends.withColumn("following", F.coalesce(F.lead("head").over(ranged), first))
+    first = F.first("part").over(ranged.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    after = ends.select("part").withColumn("next", F.coalesce(F.lead("part").over(ranged), first))
+    heads = ends.select(F.col("part").alias("next"), F.col("head").alias("following"))
+    outer = ends.select("part", "doc_id", "text").join(after, "part").join(heads, "next")
     outer = outer.select("doc_id", "text", "following").mapInArrow(_outer, _ROWS)
     return inner.unionByName(outer)
