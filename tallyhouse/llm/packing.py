@@ -83,7 +83,8 @@ class Packer:
     An example's demand is the vector (tokens, one segment, loss-bearing tokens), each as
     a share of its limit. Of the examples that fit, the one with the largest dot product
     of demand and remaining room is placed. When none fits, the longest is cut to fill the
-    rest, so only the last sequences of a task are short; those are cut at powers of two.
+    rest. A sequence that stays short, because its segments or its loss-bearing tokens run out or because
+    a task ends, is cut back to a power of two, and what was cut off waits again.
     """
 
     def __init__(self, tokens: int, segments: int, loss: int, waiting: int, emit: Callable):
@@ -108,9 +109,9 @@ class Packer:
     def _loss(begin, end, loss_start):
         return np.maximum(end - np.maximum(begin, loss_start), 0)
 
-    def _place(self, i: int, length: int, used: np.ndarray) -> None:
+    def _place(self, i: int, length: int, used: np.ndarray, placed: list) -> None:
         begin, end, loss_start = (int(x) for x in self.rows[i])
-        self.emit(self.owner[i], begin, length, self.sequence, int(used[0]))
+        placed.append((self.owner[i], begin, length, loss_start))
         used += (length, 1, int(self._loss(begin, begin + length, loss_start)))
         if begin + length < end:
             self.rows[i, 0] += length
@@ -119,9 +120,35 @@ class Packer:
             self.rows[i], self.owner[i] = self.rows[last], self.owner[last]
             self.owner.pop()
 
+    def _wait(self, owner, begin: int, end: int, loss_start: int) -> None:
+        """A part waits (again), as one with what of its example waits already."""
+        for i, other in enumerate(self.owner):
+            if other is owner and int(self.rows[i, 0]) == end:
+                self.rows[i, 0] = begin
+                return
+        self.rows[len(self.owner)] = begin, end, loss_start
+        self.owner.append(owner)
+
+    def _emit(self, placed: list, total: int) -> None:
+        """The pieces of a sequence, cut back to a power of two if it is not full."""
+        keep = total if total == self.limit[0] else 1 << (total.bit_length() - 1)
+        while total > keep:
+            owner, begin, length, loss_start = placed.pop()
+            rest = max(length - (total - keep), 0)
+            self._wait(owner, begin + rest, begin + length, loss_start)
+            if rest:
+                placed.append((owner, begin, rest, loss_start))
+            total -= length - rest
+        offset = 0
+        for owner, begin, length, _ in placed:
+            self.emit(owner, begin, length, self.sequence, offset)
+            offset += length
+        self.sequence += 1
+
     def fill(self) -> None:
         """One sequence."""
         used = np.zeros(3, np.int64)
+        placed: list = []
         while self.owner and used[0] < self.limit[0] and used[1] < self.limit[1]:
             rows = self.rows[: len(self.owner)]
             begin, end, loss_start = rows.T
@@ -132,7 +159,7 @@ class Packer:
             if fits.any():
                 score = np.where(fits, (need / self.limit) @ (room / self.limit), -1.0)
                 i = int(score.argmax())
-                self._place(i, int(need[i, 0]), used)
+                self._place(i, int(need[i, 0]), used, placed)
                 continue
             # cut the longest possible piece: as many tokens as tokens and loss allow
             free = np.maximum(loss_start - begin, 0)
@@ -140,8 +167,8 @@ class Packer:
             i = int(length.argmax())
             if length[i] <= 0:
                 break
-            self._place(i, int(length[i]), used)
-        self.sequence += 1
+            self._place(i, int(length[i]), used, placed)
+        self._emit(placed, int(used[0]))
 
     def finish(self) -> None:
         tokens = int(self.limit[0])
@@ -208,8 +235,11 @@ def pack_documents(
 
     Every task packs the rows it reads and numbers its sequences in a range of its own, so
     nothing is shuffled; a task holds a bounded number of waiting examples. Null and empty
-    texts are one end id. Sequences at the end of a task are cut to powers of two, so they
-    need no padding either.
+    texts are one end id. Sequences that stay short, at the end of a task or because very short documents use
+    up all segments, are cut to powers of two, so they need no padding either. Repeated rows
+    and rows without doc_id are packed each on its own; of equally good examples the one that waits at the lowest
+    place is taken. A very long text fills sequences of its own and is held whole in its task. Other columns
+    are not read.
     """
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -73,6 +73,23 @@ def test_limits_on_segments_and_loss(documents, spark):
     assert sum(sizes.values()) == sum({p.doc_id: p.doc_tokens for p in out}.values())
 
 
+def test_very_short_documents_need_no_padding(documents):
+    for n, words in ((20_000, 4), (20_000, 9), (3_000, 1)):
+        rows = [(i, " ".join(["word"] * words)) for i in range(n)]
+        padding, total = check(rows, pack_documents(documents(rows)).collect())
+        assert padding <= 0.01 * total, (words, padding, total)
+
+
+def test_loss_limit_needs_no_padding(documents):
+    rows = [(i, "word " * (50 + i % 300)) for i in range(300)]
+    pieces = pack_documents(documents(rows), max_loss=1500).collect()
+    padding, total = check(rows, pieces)
+    sizes = {}
+    for p in pieces:
+        sizes[p.sequence_id] = sizes.get(p.sequence_id, 0) + p.length
+    assert padding == 0 and max(sizes.values()) <= 1500
+
+
 def test_empty_table(documents):
     assert pack_documents(documents([(1, "x")]).where("false")).collect() == []
     assert [(p.doc_id, p.length, p.offset) for p in pack_documents(documents([(None, None)])).collect()] == [(None, 1, 0)]
