@@ -18,7 +18,7 @@ def test_stages_take_effect(spark, tmp_path):
     assert all(steps[name].columns == columns for name, _ in corpus_pipeline.STAGES[:-1])
     toxic = {r.doc_id for r in toxicity(spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")).where("predicted = 1").collect()}
     assert ids["toxicity"] == set(before) - toxic
-    parts = brute.near_components([(i, t) for i, t in before.items() if i in ids["toxicity"]])
+    parts = brute.near_components([(i, t) for i, t in before.items() if i in ids["toxicity"]], 80)
     assert ids["minhash_near_dedup"] == {i for i, (_, c) in parts.items() if i == c}
     items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
     kept = [(i, t) for i, t in before.items() if i in ids["minhash_near_dedup"]]
@@ -45,6 +45,17 @@ def test_awkward_documents_pass_all_stages(spark, documents, tmp_path):
         none = none_out if name != "packing" else none
 
 
+def test_near_duplicates_are_dropped_from_a_similarity_of_four_fifths(spark, documents):
+    words = [f"w{i}" for i in range(200)]
+    near = words[:60] + ["x"] + words[61:120] + ["y"] + words[121:160] + ["z"] + words[161:195] + ["u", "v", "t"] + words[198:]
+    a, b = brute.shingles(" ".join(words)), brute.shingles(" ".join(near))
+    assert 0.8 <= len(a & b) / len(a | b) < 0.85
+    docs = documents([(1, " ".join(words)), (2, " ".join(near)), (None, " ".join(words)), (3, None), (3, None)]).withColumnRenamed("row", "_rejected")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "3", "None"]
+
+
 def test_stage_list():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_near_dedup", "benchmark_decontamination", "secret_scans", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None
