@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.helpers import free_name
+
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Keep one row per key: the first by `order_by`, by default by all other columns.
@@ -18,7 +20,8 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> D
     """
     order = list(order_by) or [c for c in df.columns if c not in keys]
     first = Window.partitionBy(*keys).orderBy(*(order or keys))
-    return df.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy")
+    copy = free_name(df.columns, "copy_number")
+    return df.withColumn(copy, F.row_number().over(first)).filter(F.col(copy) == 1).drop(copy)
 
 
 def dedup_dimension(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -32,5 +35,6 @@ def dedup_dimension(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     if not rest:
         return df.select(*keys).distinct()
     ordered = [*order_by, *(c for c in rest if c not in order_by)]
-    survivor = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_row"))
-    return survivor.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    row = free_name(df.columns, "first_row")
+    survivor = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias(row))
+    return survivor.select(*[F.col(c) if c in keys else F.col(row)[c].alias(c) for c in df.columns])

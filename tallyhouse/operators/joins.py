@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.helpers import free_name
+
 
 def _join_facts(fact: DataFrame, dim: DataFrame, key: str, how: str) -> DataFrame:
     """Join facts, in which a key may be hot, to a table that is unique on `key`.
@@ -22,7 +24,7 @@ def _join_facts(fact: DataFrame, dim: DataFrame, key: str, how: str) -> DataFram
     which that partitioning does not cover. If the table is small enough to be
     broadcast, nothing is shuffled anyway.
     """
-    side = _free_name([*fact.columns, *dim.columns], "key_hash")
+    side = free_name([*fact.columns, *dim.columns], "key_hash")
     hashed = F.hash(key).alias(side)
     return fact.select("*", hashed).join(dim.select("*", hashed), [key, side], how).drop(side)
 
@@ -68,20 +70,12 @@ def unique_on(df: DataFrame, key: str) -> DataFrame:
     pass through as they are. The numbering needs rows partitioned and sorted by the key: a grouped
     frame is partitioned so already, and the join that follows takes over both.
     """
-    nth = _free_name(df.columns, "nth_row")
+    nth = free_name(df.columns, "nth_row")
     message = F.concat(F.lit(f"{key} is not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
     numbered = df.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key)))
     return numbered.filter(F.when(F.col(nth) == 1, True).otherwise(F.raise_error(message).cast("boolean"))).drop(nth)
 
 
-def _free_name(columns: Sequence[str], name: str) -> str:
-    """`name`, lengthened until none of `columns` has it."""
-    taken = {c.lower() for c in columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def join_many_to_one(left: DataFrame, right: DataFrame, key: str, how: str = "left", grouped: bool = False) -> DataFrame:
     """Join on `key`, failing if `right` could multiply rows of `left`; `grouped` as in `lookup`."""
     checked = unique_on(right, key)

@@ -18,20 +18,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.helpers import free_name
 from tallyhouse.session import stage
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number << 33 | row in the partition
 
 
-def _rows_before(placed: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Per partition (and group): how many rows (of the group) lie in earlier partitions."""
-    parts = placed.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select(
-        F.col("_part").alias("_of_part"),
-        *[F.col(g).alias(f"_of_{g}") for g in group],
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-    )
+def _rows_before(placed: DataFrame, part: str, group: Sequence[str]) -> DataFrame:
+    """Per partition (and group): how many rows (of the group) lie in earlier partitions.
+
+    Columns: of_part, of_0 (the group), rows_before.
+    """
+    parts = placed.groupBy(F.col(part).alias("of_part"), *[F.col(g).alias(f"of_{i}") for i, g in enumerate(group)])
+    counted = parts.agg(F.count(F.lit(1)).alias("rows"))
+    names = [f"of_{i}" for i in range(len(group))]
+    earlier = Window.partitionBy(*names).orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.select("of_part", *names, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"))
 
 
 def add_ranks(
@@ -43,26 +45,30 @@ def add_ranks(
     rank to the column within whose values it counts (NULL is a value of its own).
     """
     columns = list(df.columns)
+    names = [*columns, *(group_outs or {}), *([out] if out else [])]
+    place, part, inside = (free_name(names, name) for name in ("sorted_place", "sorted_part", "place_in_part"))
     in_order = df.orderBy(F.col(measure).desc(), key)
-    placed = stage(in_order.withColumn("_place", F.monotonically_increasing_id()), f"ranked-by-{measure}")
-    placed = placed.withColumn("_part", F.shiftright("_place", _ROW_BITS))
+    placed = stage(in_order.withColumn(place, F.monotonically_increasing_id()), f"ranked-by-{measure}")
+    placed = placed.withColumn(part, F.shiftright(place, _ROW_BITS))
     ranked = placed
 
+    def with_rank(rows: DataFrame, group: Sequence[str], row: Column, name: str) -> DataFrame:
+        """`row` counts inside a partition; the rank is that many rows after those of earlier partitions."""
+        before = _rows_before(placed, part, group).alias("before")
+        same = F.col(f"rows.{part}") == F.col("before.of_part")
+        for i, g in enumerate(group):
+            same = same & F.col(f"rows.{g}").eqNullSafe(F.col(f"before.of_{i}"))
+        joined = rows.withColumn(inside, row).alias("rows").join(before, same, "left")
+        rank = (F.col("before.rows_before") + F.col(f"rows.{inside}")).cast("long").alias(name)
+        return joined.select(*[F.col(f"rows.{c}") for c in (*columns, place, part)], rank)
+
     if out:
         # One row per written partition: the size is set by the shuffle, not by the data.
-        before = _rows_before(placed, [])
-        row = F.col("_place") - F.shiftleft("_part", _ROW_BITS) + 1
-        ranked = ranked.join(before, F.col("_part") == F.col("_of_part"), "left")
-        ranked = ranked.withColumn(out, (F.col("_before") + row).cast("long")).drop("_of_part", "_before")
+        ranked = with_rank(ranked, [], F.col(place) - F.shiftleft(part, _ROW_BITS) + 1, out)
         columns.append(out)
     for name, group in (group_outs or {}).items():
-        inside = F.row_number().over(Window.partitionBy("_part", group).orderBy("_place"))
-        same = (F.col("_part") == F.col("_of_part")) & F.col(group).eqNullSafe(F.col(f"_of_{group}"))
-        ranked = ranked.withColumn("_inside", inside).join(_rows_before(placed, [group]), same, "left")
+        ranked = with_rank(ranked, [group], F.row_number().over(Window.partitionBy(part, group).orderBy(place)), name)
         columns.append(name)
-        ranked = ranked.withColumn(name, (F.col("_before") + F.col("_inside")).cast("long")).select(
-            *columns, "_place", "_part"
-        )
     return ranked.select(*columns)
 
 

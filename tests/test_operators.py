@@ -153,7 +153,7 @@ def test_ranking_never_gathers_the_rows(spark, many_partitions):
     ranked = add_ranks(df, "m", "id", "r", {"g_r": "g"})
     # The only single-partition step is the running sum over one row per partition.
     before_single = plan(ranked).split("SinglePartition")
-    assert len(before_single) == 2 and "HashAggregate(keys=[_part" in before_single[1].split("\n")[1]
+    assert len(before_single) == 2 and "HashAggregate(keys=[sorted_part" in before_single[1].split("\n")[1]
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -197,6 +197,15 @@ def test_sql_parameters(spark, chosen, expected):
     assert spark.sql(sql, args=args, t=df).first()[0] == expected
 
 
+def test_columns_named_like_helpers_stay(spark):
+    names = ["copy_number", "first_row", "sorted_place", "sorted_part", "place_in_part", "of_part", "rows_before", "rows"]
+    df = spark.createDataFrame([("a", 1, *range(8)), ("b", 3, *range(8)), ("b", 2, *range(8))], ["k", "m", *names])
+    assert dedup(df, ["k"], ["m"]).columns == dedup_dimension(df, ["k"], ["m"]).columns == df.columns
+    assert rows(dedup(df, ["k"], ["m"])) == rows(dedup_dimension(df, ["k"], ["m"])) == [("a", 1, *range(8)), ("b", 2, *range(8))]
+    ranked = add_ranks(df.filter("m <> 3"), "m", "k", "place", {"inside": "rows"})
+    assert rows(ranked) == [("a", 1, *range(8), 2, 2), ("b", 2, *range(8), 1, 1)]
+
+
 def test_with_total(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 4), (None, 8)], "k string, n int")
     got = {(r.k, r.n, r.is_total) for r in with_total(df, "k", {"n": F.sum("n")}, "Total").collect()}
