@@ -73,7 +73,7 @@ def category_revenue(sales: Dataset) -> DataFrame:
 
 def top_products(
     sales: DataFrame,
-    products_of: Callable[[DataFrame], DataFrame],
+    products_of: DataFrame | Callable[[DataFrame], DataFrame],
     k: int,
     period: Range = (None, None),
     channels: Sequence[str] = (),
@@ -82,7 +82,7 @@ def top_products(
 
     Grouped by product key before any label is looked up, so a hot product is reduced before the
     shuffle. The k rows are written once; their keys then restrict the raw catalogue, so that k
-    products are deduplicated and cleaned and not all of them.
+    products are deduplicated and cleaned and not all of them. Cleaned products can be given instead.
     """
     chosen = apply_filters(sales, {"sale_date": period}, {"channel": text.codes_of(channels, fixed.CHANNEL_LABELS)})
     per_product = chosen.groupBy("product_id").agg(
@@ -92,8 +92,9 @@ def top_products(
         money.ratio(F.sum("revenue"), F.count(F.lit(1))).alias("avg_ticket"),
     )
     best = stage(top_k(per_product, [F.desc("revenue"), "product_id"], k, "position"), "top-products")
+    products = products_of if isinstance(products_of, DataFrame) else products_of(best)
     labels = {c: fixed.UNREGISTERED[c] for c in ("product_name", "category")}
-    named = label_missing(lookup(best, products_of(best), "product_id", list(labels), grouped=True), labels)
+    named = label_missing(lookup(best, products, "product_id", list(labels), grouped=True), labels)
     return named.select(
         "position", "product_id", "product_name", "category", "sales", "items_sold", "revenue", "avg_ticket"
     ).orderBy("position")
