@@ -15,7 +15,7 @@ from tallyhouse.operators.joins import label_missing, lookup, summarise_per_enti
 from tallyhouse.operators.ranking import add_ranks, global_rank
 from tallyhouse.plans import preset as fixed
 from tallyhouse.plans.preset import RetailPreset
-from tallyhouse.plans.silver import PRODUCT_LABELS
+from tallyhouse.plans.silver import PRODUCT_LABELS, SALE_DERIVED, derive_sale_columns, with_product
 
 
 def customer_segments(customers: DataFrame, sales: DataFrame, preset: RetailPreset) -> DataFrame:
@@ -71,16 +71,26 @@ def rank_products(per_product: DataFrame) -> DataFrame:
     return add_ranks(per_product, "revenue", "product_id", "revenue_rank", {"category_rank": "category"})
 
 
-def sales_detail(sales: DataFrame, products: DataFrame, segments: DataFrame) -> DataFrame:
-    """One row per sale with product labels and customer attributes.
+def sales_detail_rows(sales: DataFrame, products: DataFrame, segments: DataFrame) -> DataFrame:
+    """One row per sale with product labels and customer attributes, still without what follows from a row's own columns.
+
+    `sales` are cleaned ones or `unique_sales`. Customers come first, because their attributes are narrower than
+    the product labels; rows are moved for a lookup before anything that can be derived is added.
 
     Customer attributes stay NULL for an unknown customer, for the quality suite
     to find. Product labels are looked up only if `sales` does not carry them.
     """
-    if not set(PRODUCT_LABELS) <= set(sales.columns):
-        sales = lookup(sales, products, "product_id", PRODUCT_LABELS)
-    rows = label_missing(sales, fixed.UNREGISTERED)
-    return lookup(rows, segments, "customer_id", ["customer_name", "state", "region", "segment"])
+    rows = lookup(sales.drop(*SALE_DERIVED), segments, "customer_id", ["customer_name", "state", "region", "segment"])
+    if "is_registered" not in rows.columns:
+        rows = with_product(rows, products)
+    elif not set(PRODUCT_LABELS) <= set(rows.columns):
+        rows = lookup(rows, products, "product_id", PRODUCT_LABELS)
+    return label_missing(rows, fixed.UNREGISTERED)
+
+
+def sales_detail(sales: DataFrame, products: DataFrame, segments: DataFrame) -> DataFrame:
+    """One row per sale with product labels, customer attributes, calendar parts and revenue."""
+    return derive_sale_columns(sales_detail_rows(sales, products, segments))
 
 
 def price_position(

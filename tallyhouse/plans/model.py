@@ -61,14 +61,13 @@ class RetailModel:
         return self._table(silver.clean_customers(self.raw["customers"]), tables.CUSTOMERS)
 
     @cached_property
-    def _sales_with_product(self) -> DataFrame:
-        """Sales with the product labels; as a staged table both are columns to choose from."""
-        rows = silver.clean_sales(self.raw["sales"], self.products, self.preset)
-        return self._kept(rows.select(*tables.SALES.column_names, *silver.PRODUCT_LABELS), tables.SALES.name)
+    def _unique_sales(self) -> DataFrame:
+        """Sales without repeats; staged in these few columns, as all others are cheap to add again."""
+        return self._kept(silver.unique_sales(self.raw["sales"], self.preset), tables.SALES.name)
 
     @cached_property
     def sales(self) -> DataFrame:
-        return conform(self._sales_with_product, tables.SALES)
+        return conform(silver.clean_unique_sales(self._unique_sales, self.products), tables.SALES)
 
     @cached_property
     def competitor_prices(self) -> DataFrame:
@@ -100,11 +99,15 @@ class RetailModel:
         return self._table(marts.rank_products(self.product_sales_unranked), tables.PRODUCT_SALES)
 
     @cached_property
-    def sales_detail(self) -> DataFrame:
+    def sales_detail_rows(self) -> DataFrame:
+        """The detail mart without the columns that `silver.derive_sale_columns` adds."""
         ranked = tables.CUSTOMER_SEGMENTS.name in self.staged
         segments = self.customer_segments if ranked else self.customer_segments_unranked
-        detail = marts.sales_detail(self._sales_with_product, self.products, segments)
-        return self._table(detail, tables.SALES_DETAIL)
+        return marts.sales_detail_rows(self._unique_sales, self.products, segments)
+
+    @cached_property
+    def sales_detail(self) -> DataFrame:
+        return self._table(silver.derive_sale_columns(self.sales_detail_rows), tables.SALES_DETAIL)
 
     @cached_property
     def price_position(self) -> DataFrame:

@@ -49,31 +49,51 @@ def clean_customers_by_nation(raw: DataFrame, nations: DataFrame) -> DataFrame:
     return lookup(rows, nations, "nation_key", ["nation_name", "region"])
 
 
-def clean_sales(raw: DataFrame, products: DataFrame, preset: RetailPreset) -> DataFrame:
-    """Unique sales with revenue, calendar parts and flags, plus the (possibly NULL) product labels.
+#: Columns of a sale that the source sends, and those that follow from them alone: no shuffle need carry the latter.
+SALE_SOURCE = ["sale_id", "sold_at", "customer_id", "product_id", "channel", "quantity", "unit_price"]
+SALE_DERIVED = ["sale_date", "sale_hour", "weekday_num", "weekday", "revenue"]
 
-    The product labels ride on the one product lookup, so the detail mart needs
-    no second join; whoever does not use them does not pay for them.
-    """
-    unique = dedup(raw, ["sale_id"], preset.sale_order)
-    rows = lookup(unique, products, "product_id", ["created_at", *PRODUCT_LABELS])
-    rows = rows.withColumns(
+
+def unique_sales(raw: DataFrame, preset: RetailPreset) -> DataFrame:
+    """The first version of every sale, with the columns of the source."""
+    return dedup(raw, ["sale_id"], preset.sale_order).select(*SALE_SOURCE)
+
+
+def with_product(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales with the flags and the (possibly NULL) product labels, both from one product lookup."""
+    rows = lookup(sales, products, "product_id", ["created_at", *PRODUCT_LABELS])
+    flagged = rows.withColumns(
         {
             "unit_price": money.money(F.col("unit_price")),
-            "sale_date": F.to_date("sold_at"),
-            "sale_hour": F.hour("sold_at"),
-            "weekday_num": calendar.weekday_number(F.col("sold_at")),
             # A catalogued product without a creation date counts as unregistered.
             "is_registered": F.col("created_at").isNotNull(),
             "sold_before_created": calendar.happened_before(F.col("sold_at"), F.col("created_at")),
         }
     )
-    return rows.withColumns(
+    return flagged.drop("created_at")
+
+
+def derive_sale_columns(sales: DataFrame) -> DataFrame:
+    """Sales with `SALE_DERIVED`: calendar parts and revenue."""
+    rows = sales.withColumns(
         {
-            "weekday": calendar.weekday_name(F.col("weekday_num"), fixed.WEEKDAYS),
+            "sale_date": F.to_date("sold_at"),
+            "sale_hour": F.hour("sold_at"),
+            "weekday_num": calendar.weekday_number(F.col("sold_at")),
             "revenue": money.line_total(F.col("quantity"), F.col("unit_price")),
         }
     )
+    return rows.withColumn("weekday", calendar.weekday_name(F.col("weekday_num"), fixed.WEEKDAYS))
+
+
+def clean_unique_sales(unique: DataFrame, products: DataFrame) -> DataFrame:
+    """Unique sales with revenue, calendar parts, flags and product labels; who does not use these does not pay for them."""
+    return derive_sale_columns(with_product(unique, products))
+
+
+def clean_sales(raw: DataFrame, products: DataFrame, preset: RetailPreset) -> DataFrame:
+    """The same from raw sales."""
+    return clean_unique_sales(unique_sales(raw, preset), products)
 
 
 def clean_competitor_prices(raw: DataFrame, products: DataFrame, preset: RetailPreset) -> DataFrame:
