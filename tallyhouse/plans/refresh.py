@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.operators.contracts import TableContract
 from tallyhouse.operators.expectations import RuleCounts, report
@@ -19,6 +20,11 @@ from tallyhouse.sources.tables import materialize, publish
 CLUSTER_BY = {"sales_detail": "sale_date"}
 
 
+def dated(sales: DataFrame) -> DataFrame:
+    """Sales with the column of their layout, and no other that can be derived."""
+    return sales.withColumn("sale_date", F.to_date("sold_at"))
+
+
 @dataclass(frozen=True)
 class Refresh:
     folder: str
@@ -49,11 +55,11 @@ def refresh(raw: Mapping[str, DataFrame], folder: str, preset: RetailPreset | No
     preset = preset or RetailPreset()
     counts: list[RuleCounts] = []
 
-    def write(df: DataFrame, contract: TableContract) -> DataFrame:
+    def write(df: DataFrame, contract: TableContract, **layout) -> DataFrame:
         rules = silver.RULES.get(contract.name, ())
         counts.append(RuleCounts(contract.name, rules))
         path = f"{folder}/{contract.name}"
-        return materialize(df, contract, path, CLUSTER_BY.get(contract.name), rules, counts[-1])
+        return materialize(df, contract, path, CLUSTER_BY.get(contract.name), rules, counts[-1], **layout)
 
     products = write(silver.clean_products(raw["products"], preset), tables.PRODUCTS)
     customers = write(silver.clean_customers(raw["customers"]), tables.CUSTOMERS)
@@ -68,7 +74,10 @@ def refresh(raw: Mapping[str, DataFrame], folder: str, preset: RetailPreset | No
         "customer_segments": segments,
         "sales_time": write(marts.sales_time(sales), tables.SALES_TIME),
         "product_sales": write(marts.rank_products(marts.product_sales(sales, products)), tables.PRODUCT_SALES),
-        "sales_detail": write(marts.sales_detail(sales, products, segments), tables.SALES_DETAIL),
+        "sales_detail": write(
+            dated(marts.sales_detail_rows(sales, products, segments)), tables.SALES_DETAIL,
+            sized_by=sales, finish=silver.derive_sale_columns,
+        ),
         "price_position": write(marts.price_position(products, prices, sales, preset), tables.PRICE_POSITION),
     }
     cleaned = {"products": products, "customers": customers, "sales": sales, "competitor_prices": prices}

@@ -15,10 +15,10 @@ from tallyhouse.operators.measures import evaluate
 from tallyhouse.plans import datasets, questions, silver, suite, tables
 from tallyhouse.plans.model import RetailModel
 from tallyhouse.plans.preset import SAMPLE
-from tallyhouse.plans.refresh import Refresh, refresh
+from tallyhouse.plans.refresh import Refresh, dated, refresh
 from tallyhouse.session import configure, exists, stage_path
 from tallyhouse.sources import raw as raw_source
-from tallyhouse.sources.tables import materialize, save_bucketed
+from tallyhouse.sources.tables import bucket_count, materialize, save_bucketed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +114,7 @@ def _published_quality(spark: SparkSession, folder: str) -> DataFrame:
         return suite.published_quality(spark, cleaned, marts, SAMPLE, stop=True)
 
 
+#: At least; a larger detail mart has more.
 BUCKETS = 8
 
 
@@ -122,8 +123,9 @@ def _bucketed_profiles(spark: SparkSession, folder: str) -> DataFrame:
     run = _refreshed(spark, folder)
     with _databases(spark, "buckets") as (database,):
         spark.sql(f"CREATE DATABASE {database}")
+        buckets = bucket_count(run.marts["sales_detail"], BUCKETS)
         detail, segments = (
-            save_bucketed(run.marts[name], database, name, stage_path(spark, name), "customer_id", BUCKETS)
+            save_bucketed(run.marts[name], database, name, stage_path(spark, name), "customer_id", buckets)
             for name in ("sales_detail", "customer_segments")
         )
         return questions.sales_by_customer_profile(detail, segments)
@@ -154,7 +156,10 @@ def _clustered_detail(spark: SparkSession, folder: str) -> DataFrame:
     """Write the detail mart in date order, then answer a period question from the written files."""
     model = RetailModel.from_folder(configure(spark), folder, staged=SALES_TWICE)
     path = stage_path(spark, "sales_detail")
-    written = materialize(model.sales_detail, tables.SALES_DETAIL, path, cluster_by="sale_date")
+    written = materialize(
+        dated(model.sales_detail_rows), tables.SALES_DETAIL, path, cluster_by="sale_date",
+        sized_by=model.sales, finish=silver.derive_sale_columns,
+    )
     return written.filter(F.col("sale_date").between(*PERIOD)).groupBy("channel").agg(
         F.count(F.lit(1)).alias("sales"), F.sum("revenue").cast("decimal(28,2)").alias("revenue")
     )

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.contracts import TableContract, conform
 from tallyhouse.operators.expectations import Rule, RuleCounts, abort_on_violation
+from tallyhouse.operators.helpers import free_name
 from tallyhouse.session import stage
 
 
 #: A bucket this many times the mean, and larger than `SMALL_BUCKET` rows, is a hot one.
 HOT_BUCKET = 4
 SMALL_BUCKET = 100_000
+#: Rows of a range of a clustered table and of a bucket, of which there are as many as the table needs.
+RANGE_ROWS = 500_000
+BUCKET_ROWS = 500_000
 
 
 class HotBucket(ValueError):
@@ -29,6 +33,29 @@ def read_catalog(spark: SparkSession, database: str, names: Iterable[str]) -> di
     return {name: spark.table(f"{database}.{name}") for name in names}
 
 
+def in_ranges(df: DataFrame, column: str, grain: Sequence[str], sized_by: DataFrame | None = None) -> DataFrame:
+    """`df` in equal ranges of `column`, one per task, sorted; a hot value is spread over several by the hash of its grain.
+
+    Ranges are cut by the exact row counts of the column's values in `sized_by` (default: `df`), a frame with the same
+    rows that is cheaper to read. So nothing is sampled, and `df` runs once and need not be written first.
+    """
+    spark = df.sparkSession
+    names = [free_name(df.columns, name) for name in ("of_value", "rows_of", "rows_before", "range_number")]
+    value, rows, before, number = names
+    sizes = (df if sized_by is None else sized_by).groupBy(F.col(column).alias(value)).agg(F.count(F.lit(1)).alias(rows))
+    sizes = stage(sizes, f"sizes-by-{column}")
+    # the distinct values alone are put in one order
+    earlier = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn(before, F.coalesce(F.sum(rows).over(earlier), F.lit(0)))
+    total = sizes.agg(F.sum(rows)).first()[0] or 0
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_ROWS))
+    share = F.pmod(F.xxhash64(*grain), F.lit(1 << 20)) / F.lit(1 << 20)
+    place = (F.col(before) + F.col(rows) * share) * count / max(total, 1)
+    numbered = df.join(sizes, F.col(column).eqNullSafe(F.col(value)), "left").withColumn(number, F.floor(place).cast("int"))
+    ranged = numbered.select(*df.columns, number).repartitionById(count, number)
+    return ranged.sortWithinPartitions(column, *grain).select(*df.columns)
+
+
 def materialize(
     df: DataFrame,
     contract: TableContract,
@@ -36,26 +63,33 @@ def materialize(
     cluster_by: str | None = None,
     rules: Iterable[Rule] = (),
     counts: RuleCounts | None = None,
+    sized_by: DataFrame | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Write a table to `path` as its contract declares it and return the written table.
 
     Failure rules run inside the write, so a broken source leaves no finished
     table; `counts` takes the violations of all rules from the same pass. `cluster_by` lays rows out in ranges of that column, which lets later
-    period filters skip files and row groups; the grain is part of the range, so
-    one hot date is spread over several files.
+    period filters skip files and row groups; the grain spreads one hot date over several files.
+    `sized_by` as in `in_ranges`. `finish` adds columns that follow from a row's others, after rows were moved.
     """
+    if cluster_by:
+        df = in_ranges(df, cluster_by, contract.grain, sized_by)
+    if finish is not None:
+        df = finish(df)
     out = conform(abort_on_violation(df, list(rules), contract.name), contract)
     if counts is not None:
         out = counts.watch(out)
-    if cluster_by:
-        # range bounds come from a sample: taken from the written rows, not from a second run of their plan
-        out = stage(out, contract.name)
-        out = out.repartitionByRange(cluster_by, *contract.grain).sortWithinPartitions(cluster_by, *contract.grain)
     out = out.to(contract.schema)
     out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
+def bucket_count(df: DataFrame, least: int) -> int:
+    """How many buckets keep one bucket of `df` at about `BUCKET_ROWS` rows, however large `df` is; at least `least`."""
+    return max(least, -(-df.count() // BUCKET_ROWS))
+
+
 def save_bucketed(df: DataFrame, database: str, name: str, path: str, key: str, buckets: int) -> DataFrame:
     """Write `df` to `path` in `buckets` sorted buckets of `key`, as the catalog table `database.name`.
 
