@@ -117,36 +117,38 @@ def _rows(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatch:
     )
 
 
-def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted partition but its last: their next text is at hand."""
+def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a sorted partition but its last, whose next text is at hand; then the partition's end: its first text and last row."""
     ids: list = []
     texts: list[str] = []
     size = 0
+    part = head = None
     for batch in batches:
-        for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+        for doc, text, number in zip(batch.column("doc_id"), batch.column("text"), batch.column("part"), strict=True):
             ids.append(doc.as_py())
             texts.append(text.as_py())
             size += len(texts[-1])
+            if part is None:
+                part, head = number.as_py(), texts[0]
             if size > SLICE_BYTES and len(ids) > 1:
-                yield _rows(ids[:-1], texts[:-1], texts[1:])
+                yield _with_end(_rows(ids[:-1], texts[:-1], texts[1:]))
                 ids, texts = ids[-1:], texts[-1:]
                 size = len(texts[0])
     if len(ids) > 1:
-        yield _rows(ids[:-1], texts[:-1], texts[1:])
+        yield _with_end(_rows(ids[:-1], texts[:-1], texts[1:]))
+    if ids:
+        yield pa.RecordBatch.from_pylist([{"part": part, "head": head, "doc_id": ids[-1], "text": texts[-1]}], _RANGED_SCHEMA)
 
 
-def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first text of a sorted partition and its last row."""
-    head = last = None
-    for batch in batches:
-        if batch.num_rows:
-            head = head if head is not None else batch.slice(0, 1).to_pylist()[0]
-            last = batch.slice(batch.num_rows - 1).to_pylist()[0]
-    if last is not None:
-        yield pa.RecordBatch.from_pylist([{"part": last["part"], "head": head["text"], "doc_id": last["doc_id"], "text": last["text"]}], _END_SCHEMA)
+def _with_end(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Result rows with the (empty) columns of a range's end."""
+    nothing = [pa.nulls(rows.num_rows, field.type) for field in _END_FIELDS]
+    return pa.RecordBatch.from_arrays([*rows.columns, *nothing], schema=_RANGED_SCHEMA)
 
 
-_END_SCHEMA = pa.schema([("part", pa.int32()), ("head", pa.string()), ("doc_id", pa.int64()), ("text", pa.string())])
+_END_FIELDS = [pa.field("part", pa.int32()), pa.field("head", pa.string()), pa.field("text", pa.string())]
+_TYPES = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
+_RANGED_SCHEMA = pa.schema([*(pa.field(n, _TYPES[t]) for n, t in (field.split() for field in _ROWS.split(", "))), *_END_FIELDS])
 
 
 def _outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +167,7 @@ def chunk_fingerprints(documents: DataFrame, partitions: int | None = None) -> D
 
     Texts are shuffled once, into `partitions` ranges of doc_id (default: the session's
     shuffle partitions); neighbours meet inside a range, and only one row per range
-    waits for the first text of the next one. Null texts are empty; an empty text
+    waits for the first text of the next one. Rows and ends of the ranges are written once. Null texts are empty; an empty text
     has the empty fingerprint, like only another empty one.
     """
     spark = documents.sparkSession
@@ -175,13 +177,14 @@ def chunk_fingerprints(documents: DataFrame, partitions: int | None = None) -> D
     keyed = docs.withColumns({"tie": order[1], "row": order[2]})
     order = [F.col("doc_id").desc_nulls_last(), F.col("tie"), F.col("row")]
     ranges = keyed.repartitionByRange(count, *order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
-    inner = ranges.mapInArrow(_inner, _ROWS)
-    ends = ranges.mapInArrow(_ends, "part int, head string, doc_id long, text string")
-    ends = written(ends, "range_ends")
+    # ranges are cut by a sample that differs from run to run, so rows and ends must come from one run
+    ranged = written(ranges.mapInArrow(_ranged, _ROWS + ", part int, head string, text string"), "ranges", "zstd")
+    inner = ranged.where("part is null").select(*_NAMES)
+    ends = ranged.where("part is not null").select("part", "head", "doc_id", "text")
     # which range comes after which: the numbers of the ranges that have rows are sorted alone, texts are joined to them
-    ranged = Window.orderBy("part")
-    first = F.first("part").over(ranged.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    after = ends.select("part").withColumn("next", F.coalesce(F.lead("part").over(ranged), first))
+    in_order = Window.orderBy("part")
+    first = F.first("part").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    after = ends.select("part").withColumn("next", F.coalesce(F.lead("part").over(in_order), first))
     heads = ends.select(F.col("part").alias("next"), F.col("head").alias("following"))
     outer = ends.select("part", "doc_id", "text").join(after, "part").join(heads, "next")
     outer = outer.select("doc_id", "text", "following").mapInArrow(_outer, _ROWS)

@@ -50,3 +50,15 @@ def test_ties_nulls_and_empty_tables(documents):
     assert [(r.doc_id, r.edited_sha256) for r in alone] == [(7, hashlib.sha256(b"abcabc").hexdigest())]
     out = c.chunk_fingerprints(documents([(None, None), (3, "same"), (3, "same"), (None, "x")])).collect()
     assert sorted((str(r.doc_id), r.n_chars) for r in out) == [("3", 4), ("3", 4), ("None", 0), ("None", 1)]
+
+
+def test_ranges_of_a_small_sample_keep_every_document(spark):
+    spark.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", "2")
+    try:
+        docs = spark.range(0, 5000, 1, 8).selectExpr("id * 7919 % 5003 AS doc_id", "concat('text of ', id) AS text")
+        out = c.chunk_fingerprints(docs, 7).select("doc_id", "edited_sha256").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.rangeExchange.sampleSizePerPartition")
+    texts = sorted(((i * 7919 % 5003, f"text of {i}") for i in range(5000)), reverse=True)
+    expected = {d: hashlib.sha256(c.edited(t, texts[(k + 1) % 5000][1]).encode()).hexdigest() for k, (d, t) in enumerate(texts)}
+    assert len(out) == 5000 and {r.doc_id: r.edited_sha256 for r in out} == expected
