@@ -7,6 +7,8 @@ join moves one row per key instead of one per sale.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,17 +76,27 @@ def rank_products(per_product: DataFrame) -> DataFrame:
 def sales_detail_rows(sales: DataFrame, products: DataFrame, segments: DataFrame) -> DataFrame:
     """One row per sale with product labels and customer attributes, still without what follows from a row's own columns.
 
-    `sales` are cleaned ones or `unique_sales`. Customers come first, because their attributes are narrower than
-    the product labels; rows are moved for a lookup before anything that can be derived is added.
+    `sales` are cleaned ones or `unique_sales`.
+    """
+    return labelled_sales(sales.drop(*SALE_DERIVED), products, segments)
+
+
+def labelled_sales(
+    sales: DataFrame, products: DataFrame, segments: DataFrame, look: Callable[..., DataFrame] = lookup
+) -> DataFrame:
+    """Sales with customer attributes and product labels, both looked up by `look`.
+
+    Customers come first, because their attributes are narrower than the product labels; rows are moved for
+    a lookup before anything that can be derived is added.
 
     Customer attributes stay NULL for an unknown customer, for the quality suite
     to find. Product labels are looked up only if `sales` does not carry them.
     """
-    rows = lookup(sales.drop(*SALE_DERIVED), segments, "customer_id", ["customer_name", "state", "region", "segment"])
+    rows = look(sales, segments, "customer_id", ["customer_name", "state", "region", "segment"])
     if "is_registered" not in rows.columns:
-        rows = with_product(rows, products)
+        rows = with_product(rows, products, look)
     elif not set(PRODUCT_LABELS) <= set(rows.columns):
-        rows = lookup(rows, products, "product_id", PRODUCT_LABELS)
+        rows = look(rows, products, "product_id", PRODUCT_LABELS)
     return label_missing(rows, fixed.UNREGISTERED)
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators.contracts import TableContract, conform
+from tallyhouse.operators.joins import lookup
 from tallyhouse.plans import marts, silver, tables
 from tallyhouse.plans import preset as fixed
 from tallyhouse.plans.preset import SAMPLE, RetailPreset
@@ -61,13 +62,13 @@ class RetailModel:
         return self._table(silver.clean_customers(self.raw["customers"]), tables.CUSTOMERS)
 
     @cached_property
-    def _unique_sales(self) -> DataFrame:
+    def source_sales(self) -> DataFrame:
         """Sales without repeats; staged in these few columns, as all others are cheap to add again."""
         return self._kept(silver.unique_sales(self.raw["sales"], self.preset), tables.SALES.name)
 
     @cached_property
     def sales(self) -> DataFrame:
-        return conform(silver.clean_unique_sales(self._unique_sales, self.products), tables.SALES)
+        return conform(silver.clean_unique_sales(self.source_sales, self.products), tables.SALES)
 
     @cached_property
     def competitor_prices(self) -> DataFrame:
@@ -98,12 +99,16 @@ class RetailModel:
     def product_sales(self) -> DataFrame:
         return self._table(marts.rank_products(self.product_sales_unranked), tables.PRODUCT_SALES)
 
+    def labelled_sales(self, sales: DataFrame, look: Callable[..., DataFrame] = lookup) -> DataFrame:
+        """Sales with customer attributes and product labels, looked up by `look`."""
+        ranked = tables.CUSTOMER_SEGMENTS.name in self.staged
+        segments = self.customer_segments if ranked else self.customer_segments_unranked
+        return marts.labelled_sales(sales, self.products, segments, look)
+
     @cached_property
     def sales_detail_rows(self) -> DataFrame:
         """The detail mart without the columns that `silver.derive_sale_columns` adds."""
-        ranked = tables.CUSTOMER_SEGMENTS.name in self.staged
-        segments = self.customer_segments if ranked else self.customer_segments_unranked
-        return marts.sales_detail_rows(self._unique_sales, self.products, segments)
+        return self.labelled_sales(self.source_sales)
 
     @cached_property
     def sales_detail(self) -> DataFrame:

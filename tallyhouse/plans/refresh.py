@@ -22,7 +22,7 @@ CLUSTER_BY = {"sales_detail": "sale_date"}
 
 def dated(sales: DataFrame) -> DataFrame:
     """Sales with the column of their layout, and no other that can be derived."""
-    return sales.withColumn("sale_date", F.to_date("sold_at"))
+    return sales.drop(*silver.SALE_DERIVED).withColumn("sale_date", F.to_date("sold_at"))
 
 
 @dataclass(frozen=True)
@@ -75,8 +75,9 @@ def refresh(raw: Mapping[str, DataFrame], folder: str, preset: RetailPreset | No
         "sales_time": write(marts.sales_time(sales), tables.SALES_TIME),
         "product_sales": write(marts.rank_products(marts.product_sales(sales, products)), tables.PRODUCT_SALES),
         "sales_detail": write(
-            dated(marts.sales_detail_rows(sales, products, segments)), tables.SALES_DETAIL,
-            sized_by=sales, finish=silver.derive_sale_columns,
+            dated(sales), tables.SALES_DETAIL, sized_by=sales,
+            look_up=lambda rows, look: marts.labelled_sales(rows, products, segments, look),
+            finish=silver.derive_sale_columns,
         ),
         "price_position": write(marts.price_position(products, prices, sales, preset), tables.PRICE_POSITION),
     }

@@ -157,8 +157,8 @@ def _clustered_detail(spark: SparkSession, folder: str) -> DataFrame:
     model = RetailModel.from_folder(configure(spark), folder, staged=SALES_TWICE)
     path = stage_path(spark, "sales_detail")
     written = materialize(
-        dated(model.sales_detail_rows), tables.SALES_DETAIL, path, cluster_by="sale_date",
-        sized_by=model.sales, finish=silver.derive_sale_columns,
+        dated(model.source_sales), tables.SALES_DETAIL, path, cluster_by="sale_date",
+        sized_by=model.sales, look_up=model.labelled_sales, finish=silver.derive_sale_columns,
     )
     return written.filter(F.col("sale_date").between(*PERIOD)).groupBy("channel").agg(
         F.count(F.lit(1)).alias("sales"), F.sum("revenue").cast("decimal(28,2)").alias("revenue")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,9 +61,9 @@ def unique_sales(raw: DataFrame, preset: RetailPreset) -> DataFrame:
     return dedup(raw, ["sale_id"], preset.sale_order).select(*SALE_SOURCE)
 
 
-def with_product(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """Sales with the flags and the (possibly NULL) product labels, both from one product lookup."""
-    rows = lookup(sales, products, "product_id", ["created_at", *PRODUCT_LABELS])
+def with_product(sales: DataFrame, products: DataFrame, look: Callable[..., DataFrame] = lookup) -> DataFrame:
+    """Sales with the flags and the (possibly NULL) product labels, both from one product lookup, made by `look`."""
+    rows = look(sales, products, "product_id", ["created_at", *PRODUCT_LABELS])
     flagged = rows.withColumns(
         {
             "unit_price": money.money(F.col("unit_price")),

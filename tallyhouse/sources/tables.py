@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.contracts import TableContract, conform
 from tallyhouse.operators.expectations import Rule, RuleCounts, abort_on_violation
 from tallyhouse.operators.helpers import free_name
-from tallyhouse.session import stage
+from tallyhouse.session import free_shuffles, stage
 
 
 #: A bucket this many times the mean, and larger than `SMALL_BUCKET` rows, is a hot one.
@@ -33,15 +33,30 @@ def read_catalog(spark: SparkSession, database: str, names: Iterable[str]) -> di
     return {name: spark.table(f"{database}.{name}") for name in names}
 
 
-def in_ranges(df: DataFrame, column: str, grain: Sequence[str], sized_by: DataFrame | None = None) -> DataFrame:
+#: Adds columns of a table that is unique on a key to rows: (rows, table, key, columns), as `joins.lookup` does.
+Look = Callable[[DataFrame, DataFrame, str, Sequence[str]], DataFrame]
+
+
+def in_ranges(
+    df: DataFrame,
+    column: str,
+    grain: Sequence[str],
+    sized_by: DataFrame | None = None,
+    look_up: Callable[[DataFrame, Look], DataFrame] | None = None,
+) -> DataFrame:
     """`df` in equal ranges of `column`, one per task, sorted; a hot value is spread over several by the hash of its grain.
 
     Ranges are cut by the exact row counts of the column's values in `sized_by` (default: `df`), a frame with the same
-    rows that is cheaper to read. So nothing is sampled, and `df` runs once and need not be written first.
+    rows that is cheaper to read. So nothing is sampled, and `df` need not be written first.
+
+    `look_up` adds columns of other tables, by a lookup that it is given, to rows that lie in their range already: the
+    ranges in which a key occurs are sent to the table, and its columns come back to each of them once, however many rows
+    of the range have the key. So rows themselves are moved once for the layout and all lookups; `df` is read once more
+    for every lookup.
     """
     spark = df.sparkSession
-    names = [free_name(df.columns, name) for name in ("of_value", "rows_of", "rows_before", "range_number")]
-    value, rows, before, number = names
+    names = [free_name(df.columns, name) for name in ("of_value", "rows_of", "rows_before", "range_number", "in_ranges")]
+    value, rows, before, number, numbers = names
     sizes = (df if sized_by is None else sized_by).groupBy(F.col(column).alias(value)).agg(F.count(F.lit(1)).alias(rows))
     sizes = stage(sizes, f"sizes-by-{column}")
     # the distinct values alone are put in one order
@@ -51,9 +66,18 @@ def in_ranges(df: DataFrame, column: str, grain: Sequence[str], sized_by: DataFr
     count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_ROWS))
     share = F.pmod(F.xxhash64(*grain), F.lit(1 << 20)) / F.lit(1 << 20)
     place = (F.col(before) + F.col(rows) * share) * count / max(total, 1)
-    numbered = df.join(sizes, F.col(column).eqNullSafe(F.col(value)), "left").withColumn(number, F.floor(place).cast("int"))
-    ranged = numbered.select(*df.columns, number).repartitionById(count, number)
-    return ranged.sortWithinPartitions(column, *grain).select(*df.columns)
+    sized = df.join(sizes, F.col(column).eqNullSafe(F.col(value)), "left")
+    numbered = sized.select(*df.columns, F.coalesce(F.floor(place).cast("int"), F.lit(0)).alias(number))
+
+    def look(rows: DataFrame, table: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+        wanted = numbered.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_set(number).alias(numbers))
+        found = wanted.join(table.select(key, *columns), key).select(F.explode(numbers).alias(number), key, *columns)
+        return rows.join(found.repartitionById(count, number), [number, key], "left")
+
+    ranged = numbered.repartitionById(count, number)
+    if look_up is not None:
+        ranged = look_up(ranged, look)
+    return ranged.sortWithinPartitions(column, *grain).drop(number)
 
 
 def materialize(
@@ -64,6 +88,7 @@ def materialize(
     rules: Iterable[Rule] = (),
     counts: RuleCounts | None = None,
     sized_by: DataFrame | None = None,
+    look_up: Callable[[DataFrame, Look], DataFrame] | None = None,
     finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Write a table to `path` as its contract declares it and return the written table.
@@ -71,10 +96,10 @@ def materialize(
     Failure rules run inside the write, so a broken source leaves no finished
     table; `counts` takes the violations of all rules from the same pass. `cluster_by` lays rows out in ranges of that column, which lets later
     period filters skip files and row groups; the grain spreads one hot date over several files.
-    `sized_by` as in `in_ranges`. `finish` adds columns that follow from a row's others, after rows were moved.
+    `sized_by` and `look_up` as in `in_ranges`. `finish` adds columns that follow from a row's others, after rows were moved.
     """
     if cluster_by:
-        df = in_ranges(df, cluster_by, contract.grain, sized_by)
+        df = in_ranges(df, cluster_by, contract.grain, sized_by, look_up)
     if finish is not None:
         df = finish(df)
     out = conform(abort_on_violation(df, list(rules), contract.name), contract)
@@ -82,6 +107,7 @@ def materialize(
         out = counts.watch(out)
     out = out.to(contract.schema)
     out.write.mode("overwrite").parquet(path)
+    free_shuffles(df.sparkSession)
     return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
