@@ -20,12 +20,13 @@ def _join_facts(fact: DataFrame, dim: DataFrame, key: str, how: str) -> DataFram
 
     Adaptive execution splits a hot key only if both inputs are shuffled for the
     join itself. A deduplicated table comes already partitioned by its key and
-    would be joined as it lies, so the hash of the key is made a second join key,
-    which that partitioning does not cover. If the table is small enough to be
-    broadcast, nothing is shuffled anyway.
+    would be joined as it lies, so one bit of the key's hash is made a second join
+    key, which that partitioning does not cover and which hardly adds to the rows
+    that are moved. If the table is small enough to be broadcast, nothing is
+    shuffled anyway.
     """
     side = free_name([*fact.columns, *dim.columns], "key_hash")
-    hashed = F.hash(key).alias(side)
+    hashed = F.hash(key).bitwiseAND(1).alias(side)
     return fact.select("*", hashed).join(dim.select("*", hashed), [key, side], how).drop(side)
 
 

@@ -133,3 +133,9 @@ def test_the_written_detail_of_a_folder_equals_the_model(spark, tmp_path, no_bro
     )
     assert written.exceptAll(model.sales_detail).count() == model.sales_detail.exceptAll(written).count() == 0
     assert written.count() > 5000
+
+
+def test_a_lookup_moves_one_bit_beside_the_key(spark, no_broadcast):
+    facts = spark.range(100).selectExpr("concat('k', id % 10) AS k", "id")
+    text = plan(lookup(facts, spark.range(10).selectExpr("concat('k', id) AS k", "id AS x"), "k", ["x"]))
+    assert "key_hash" in text and all("(hash(" in line and " & 1)" in line for line in text.splitlines() if "AS key_hash" in line), text
