@@ -61,14 +61,21 @@ class RetailModel:
     def customers(self) -> DataFrame:
         return self._table(silver.clean_customers(self.raw["customers"]), tables.CUSTOMERS)
 
+    @property
+    def _whole_sales(self) -> bool:
+        """Whether sales are staged as they are, to be read alone: only if products are staged, too."""
+        return {tables.SALES.name, tables.PRODUCTS.name} <= self.staged
+
     @cached_property
     def source_sales(self) -> DataFrame:
-        """Sales without repeats; staged in these few columns, as all others are cheap to add again."""
-        return self._kept(silver.unique_sales(self.raw["sales"], self.preset), tables.SALES.name)
+        """Sales without repeats; if they alone are staged, in these few columns, as all others are cheap to add again."""
+        rows = silver.unique_sales(self.raw["sales"], self.preset)
+        return rows if self._whole_sales else self._kept(rows, tables.SALES.name)
 
     @cached_property
     def sales(self) -> DataFrame:
-        return conform(silver.clean_unique_sales(self.source_sales, self.products), tables.SALES)
+        rows = conform(silver.clean_unique_sales(self.source_sales, self.products), tables.SALES)
+        return self._kept(rows, tables.SALES.name) if self._whole_sales else rows
 
     @cached_property
     def competitor_prices(self) -> DataFrame:
@@ -108,7 +115,7 @@ class RetailModel:
     @cached_property
     def sales_detail_rows(self) -> DataFrame:
         """The detail mart without the columns that `silver.derive_sale_columns` adds."""
-        return self.labelled_sales(self.source_sales)
+        return self.labelled_sales(self.sales.drop(*silver.SALE_DERIVED) if self._whole_sales else self.source_sales)
 
     @cached_property
     def sales_detail(self) -> DataFrame:
